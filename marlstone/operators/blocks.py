@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 MAX_QUERIES = 4096
 CORPUS_BLOCK = 50_000
+MATRIX_CELLS = 4_000_000
 SCORE_DIGITS = 8
 
 # prepares the queries once and returns a function: corpus batch -> matrix (rows x queries)
@@ -59,10 +60,18 @@ def _score_batch(pdf, score, query_ids, ids, k):
     return out
 
 
+def _slices(batches: Iterator[pd.DataFrame], n_queries: int) -> Iterator[pd.DataFrame]:
+    """Batches cut so that a score matrix has at most ``MATRIX_CELLS`` cells."""
+    rows = max(1, MATRIX_CELLS // max(n_queries, 1))
+    for pdf in batches:
+        for at in range(0, len(pdf), rows):
+            yield pdf.iloc[at : at + rows]
+
+
 def _merged(batches: Iterator[pd.DataFrame], score, query_ids, ids, k) -> pd.DataFrame | None:
     """Best k per query over a stream of batches; memory is queries x k plus one batch."""
     held = None
-    for pdf in batches:
+    for pdf in _slices(batches, len(query_ids)):
         found = _score_batch(pdf, score, query_ids, ids, k)
         if found is not None:
             held = found if held is None else _trim(pd.concat([held, found], ignore_index=True), ids, k)
@@ -106,7 +115,7 @@ def top_k(
         def cell(asked: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
             if len(asked) == 0 or len(rows) == 0:
                 return pd.DataFrame({f.name: [] for f in fields})
-            return _score_batch(rows, scorer(asked), asked[query_id].to_numpy(), ids, k)
+            return _merged(iter([rows]), scorer(asked), asked[query_id].to_numpy(), ids, k)
 
         partial = left.groupBy("_qb", "_cb").cogroup(right.groupBy("_qb", "_cb")).applyInPandas(cell, schema)
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), *ids)
@@ -136,9 +145,7 @@ def score_summary(
     def part(asked: pd.DataFrame):
         def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             score, names = scorer(asked), asked[query_id].to_numpy()
-            for pdf in batches:
-                if len(pdf) == 0:
-                    continue
+            for pdf in _slices(batches, len(names)):
                 scores = np.round(score(pdf), SCORE_DIGITS)
                 best = _score_batch(pdf, lambda _: scores, names, ids, 1)
                 best.insert(1, "n", len(pdf))

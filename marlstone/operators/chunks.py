@@ -84,19 +84,20 @@ def word_chunk_offsets(df: DataFrame, doc_id: str, text: str, size: int, overlap
     )
 
 
-@F.pandas_udf("array<struct<start:int,end:int>>")
-def _spans_of(pieces: pd.Series) -> pd.Series:
-    def spans(lengths: np.ndarray) -> list[dict]:
-        ends = np.cumsum(np.abs(lengths))
-        return [{"start": int(e - n), "end": int(e)} for n, e in zip(lengths, ends, strict=True) if n > 0]
-
-    return pd.Series([spans(np.asarray(p, dtype=np.int64)) for p in pieces], dtype=object)
+def _spans(lengths: np.ndarray) -> list[dict]:
+    ends = np.cumsum(np.abs(lengths))
+    return [{"start": int(e - n), "end": int(e)} for n, e in zip(lengths, ends, strict=True) if n > 0]
 
 
 def _word_spans(pieces: Column) -> Column:
     """Start and end of each word. White space is passed as a negative length."""
+
+    @F.pandas_udf("array<struct<start:int,end:int>>")
+    def spans_of(listed: pd.Series) -> pd.Series:
+        return pd.Series([_spans(np.asarray(p, dtype=np.int64)) for p in listed], dtype=object)
+
     signed = F.transform(pieces, lambda p: F.when(F.trim(p).rlike(r"\S"), F.length(p)).otherwise(-F.length(p)))
-    return _spans_of(signed)
+    return spans_of(signed)
 
 
 def _packed(pieces: Sequence[str], separator: str, size: int) -> list[str]:

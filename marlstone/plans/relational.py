@@ -305,14 +305,14 @@ def source_lookup(spark, folder):
     return found.join(sources, "doc_id", "left").na.fill("", ["title", "preview"])
 
 
-_CENTROIDS_SQL = """slots AS (SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS m
+CENTROIDS_SQL = """slots AS (SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS m
     FROM (SELECT label, embedding, unnest(generate_series(1, len(embedding))) AS i FROM embeddings) GROUP BY 1, 2),
   centroids AS (SELECT label AS query_id, list(m ORDER BY i) AS q FROM slots GROUP BY 1)"""
 
 
 @query(
     "join_10_query_corpus",
-    f"""WITH {_CENTROIDS_SQL},
+    f"""WITH {CENTROIDS_SQL},
     scored AS (SELECT query_id, vec_id, round(list_cosine_similarity(q, CAST(embedding AS DOUBLE[])), 8) AS s
                FROM centroids CROSS JOIN embeddings)
     SELECT query_id, count(*) AS n_scored, round(avg(s), 6) AS mean_score, max(s) AS best_score,
@@ -616,7 +616,7 @@ def cumulative_sum(spark, folder):
 
 @query(
     "win_05_result_rank",
-    f"""WITH {_CENTROIDS_SQL}
+    f"""WITH {CENTROIDS_SQL}
     SELECT query_id, vec_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) AS INTEGER) AS rank
     FROM (SELECT query_id, vec_id, round(list_dot_product(q, CAST(embedding AS DOUBLE[])), 8) AS s
           FROM centroids CROSS JOIN embeddings)

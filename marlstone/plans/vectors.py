@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from marlstone.functions.embed import char_embedding, char_hash, embed_with, spaced_words, word_embedding
 from marlstone.operators import blocks, vectors
 from marlstone.plans.registry import query, table
-from marlstone.plans.relational import _CENTROIDS_SQL as CENTROIDS_SQL
+from marlstone.plans.relational import CENTROIDS_SQL
 
 DIM = 64
 
