@@ -36,17 +36,17 @@ def positioned(df: DataFrame, order: Sequence[str | Column], chunk_rows: int = C
     """
     by = _columns(order)
     placed = written(
-        df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id()),
+        df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_row_id", F.monotonically_increasing_id()),
         "positions",
-    ).withColumn("_part", F.shiftright("_at", _ROW_BITS))
+    ).withColumn("_part", F.shiftright("_row_id", _ROW_BITS))
     sizes = placed.groupBy("_part").agg(F.count("*").alias("_size"))
     offsets = sizes.select("_part", (F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")).alias("_before"))
-    row = F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    row = F.col("_row_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return (
         placed.join(F.broadcast(offsets), "_part")
         .withColumn("_pos", F.col("_before") + row)
         .withColumn("_chunk", F.expr(f"_pos div {int(chunk_rows)}"))
-        .drop("_at", "_part", "_before")
+        .drop("_row_id", "_part", "_before")
     )
 
 

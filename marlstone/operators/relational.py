@@ -66,6 +66,19 @@ def service_summary(log: DataFrame) -> DataFrame:
     )
 
 
+# fixed values: price of one token
+INPUT_TOKEN_COST = 0.00001
+OUTPUT_TOKEN_COST = 0.00003
+
+
+def daily_cost(log: DataFrame) -> DataFrame:
+    """Tokens and cost of the successful requests per endpoint and day."""
+    per_day = log.where("status = 'Success'").groupBy("endpoint", F.to_date("ts").alias("day"))
+    tokens = per_day.agg(F.sum("prompt_tokens").alias("input_tokens"), F.sum("completion_tokens").alias("output_tokens"))
+    cost = F.col("input_tokens") * F.lit(INPUT_TOKEN_COST) + F.col("output_tokens") * F.lit(OUTPUT_TOKEN_COST)
+    return tokens.withColumn("cost", F.round(cost, 6))
+
+
 def log_summary(log: DataFrame) -> DataFrame:
     """One row, zeros on an empty log. ``success_rate`` is a fraction."""
     ok = F.avg(F.when(F.col("status") == "Success", 1.0).otherwise(0.0))

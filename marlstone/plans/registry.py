@@ -6,7 +6,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
@@ -33,7 +32,3 @@ def query(name: str, sql: str | None = None) -> Callable[[Plan], Plan]:
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
-
-def whole(column: str):
-    """Counts come out of sums as bigint on both sides."""
-    return F.col(column).cast("bigint")

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marlstone.functions import text as tx
 from marlstone.functions import vectors as vx
 from marlstone.operators import blocks, ordered, relational as rel, vectors
-from marlstone.plans.registry import query, table, whole
+from marlstone.plans.registry import query, table
 from marlstone.sources.logs import REQUEST_LOG_SQL, RUN_METRICS_SQL, request_log, run_metrics
 
 # --- projections, predicates, sorting, set operations ---------------------------------
@@ -486,13 +485,13 @@ def recent_service_summary(spark, folder):
 @query(
     "agg_11_daily_cost",
     f"""WITH {REQUEST_LOG_SQL}
-    SELECT endpoint, CAST(ts AS DATE) AS day, round(sum(prompt_tokens) * 0.00001::DOUBLE + sum(completion_tokens) * 0.00003::DOUBLE, 6) AS cost
-    FROM log GROUP BY 1, 2""",
+    SELECT endpoint, CAST(ts AS DATE) AS day, CAST(sum(prompt_tokens) AS BIGINT) AS input_tokens,
+    CAST(sum(completion_tokens) AS BIGINT) AS output_tokens,
+    round(sum(prompt_tokens) * 0.00001::DOUBLE + sum(completion_tokens) * 0.00003::DOUBLE, 6) AS cost
+    FROM log WHERE status = 'Success' GROUP BY 1, 2""",
 )
 def daily_cost(spark, folder):
-    log = request_log(table(spark, folder, "events"))
-    cost = F.sum("prompt_tokens") * F.lit(0.00001) + F.sum("completion_tokens") * F.lit(0.00003)
-    return log.groupBy("endpoint", F.to_date("ts").alias("day")).agg(F.round(cost, 6).alias("cost"))
+    return rel.daily_cost(request_log(table(spark, folder, "events")))
 
 
 @query(
