@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,41 +63,34 @@ def char_chunks(df: DataFrame, doc_id: str, text: str, size: int, overlap: int)
     )
 
 
+_WORD = re.compile(r"[^ \t\n\x0b\f\r]+")
+
+
 def word_chunk_offsets(df: DataFrame, doc_id: str, text: str, size: int, overlap: int) -> DataFrame:
     """(doc_id, chunk_no, start_char, end_char): exact places of word chunks in the source text.
 
     Offsets come from where each word really starts, so overlapping chunks overlap here too.
     """
     _check(size, overlap)
-    # word starts: places after the runs of white space; lengths of alternating pieces summed up
-    pieces = F.regexp_extract_all(F.col(text), F.lit(r"(\s+|\S+)"), F.lit(1))
-    listed = df.select(doc_id, _word_spans(pieces).alias("_w"))
-    cut = listed.select(
-        doc_id, "_w", F.posexplode(_starts(F.size("_w").cast("bigint"), size, overlap)).alias("chunk_no", "_s")
-    )
-    last = F.least(F.col("_s") + size, F.size("_w").cast("bigint"))
-    return cut.select(
-        doc_id,
-        "chunk_no",
-        F.element_at("_w", (F.col("_s") + 1).cast("int"))["start"].cast("bigint").alias("start_char"),
-        F.element_at("_w", last.cast("int"))["end"].cast("bigint").alias("end_char"),
-    )
-
-
-def _spans(lengths: np.ndarray) -> list[dict]:
-    ends = np.cumsum(np.abs(lengths))
-    return [{"start": int(e - n), "end": int(e)} for n, e in zip(lengths, ends, strict=True) if n > 0]
 
+    @F.pandas_udf("array<struct<start_char:bigint,end_char:bigint>>")
+    def offsets(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            yield pd.Series([_offsets(t or "", size, overlap) for t in batch], dtype=object)
 
-def _word_spans(pieces: Column) -> Column:
-    """Start and end of each word. White space is passed as a negative length."""
+    cut = df.select(doc_id, F.posexplode(offsets(F.col(text))).alias("chunk_no", "_o"))
+    return cut.select(doc_id, "chunk_no", "_o.start_char", "_o.end_char")
 
-    @F.pandas_udf("array<struct<start:int,end:int>>")
-    def spans_of(listed: pd.Series) -> pd.Series:
-        return pd.Series([_spans(np.asarray(p, dtype=np.int64)) for p in listed], dtype=object)
 
-    signed = F.transform(pieces, lambda p: F.when(F.trim(p).rlike(r"\S"), F.length(p)).otherwise(-F.length(p)))
-    return spans_of(signed)
+def _offsets(text: str, size: int, overlap: int) -> list[dict]:
+    spans = [m.span() for m in _WORD.finditer(text)]
+    found = []
+    for first in range(0, len(spans), size - overlap):
+        last = min(first + size, len(spans)) - 1
+        found.append({"start_char": spans[first][0], "end_char": spans[last][1]})
+        if last == len(spans) - 1:
+            break
+    return found
 
 
 def _packed(pieces: Sequence[str], separator: str, size: int) -> list[str]:

@@ -18,9 +18,17 @@ STD_FLOOR = 1e-10
 MIN_RANGE = 1e-10
 
 
-def statistic(df: DataFrame, aggregate: Column) -> Column:
-    """One table-wide value as a scalar subquery."""
-    return df.agg(aggregate).scalar()
+def summary(df: DataFrame, column: str) -> Column:
+    """Mean, deviations, minimum and maximum of a column as one scalar subquery (a struct)."""
+    return df.agg(
+        F.struct(
+            F.avg(column).alias("mean"),
+            F.stddev_pop(column).alias("std_pop"),
+            F.stddev_samp(column).alias("std_samp"),
+            F.min(column).alias("low"),
+            F.max(column).alias("high"),
+        )
+    ).scalar()
 
 
 # --- scaling --------------------------------------------------------------------------
@@ -35,43 +43,46 @@ def fit_standard(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*means, *stds)
 
 
-def _parameter(fitted: DataFrame, name: str) -> Column:
-    if name not in fitted.columns:
-        raise ValueError(f"the scaler was not fitted for {name.rsplit('_', 1)[0]}")
-    return fitted.select(name).scalar()
+def _parameters(fitted: DataFrame, columns: Sequence[str]) -> Column:
+    unfitted = [c for c in columns if f"{c}_mean" not in fitted.columns]
+    if unfitted:
+        raise ValueError(f"the scaler was not fitted for {unfitted}")
+    return fitted.select(F.struct(*fitted.columns)).scalar()
 
 
 def scale(df: DataFrame, fitted: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.withColumns({c: (F.col(c) - _parameter(fitted, f"{c}_mean")) / _parameter(fitted, f"{c}_std") for c in columns})
+    p = _parameters(fitted, columns)
+    return df.withColumns({c: (F.col(c) - p[f"{c}_mean"]) / p[f"{c}_std"] for c in columns})
 
 
 def unscale(df: DataFrame, fitted: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.withColumns({c: F.col(c) * _parameter(fitted, f"{c}_std") + _parameter(fitted, f"{c}_mean") for c in columns})
+    p = _parameters(fitted, columns)
+    return df.withColumns({c: F.col(c) * p[f"{c}_std"] + p[f"{c}_mean"] for c in columns})
 
 
 def zscore(df: DataFrame, column: str) -> Column:
     """With the sample deviation; NULL when it is zero."""
-    std = statistic(df, F.stddev_samp(column))
-    return (F.col(column) - statistic(df, F.avg(column))) / F.nullif(std, F.lit(0.0))
+    s = summary(df, column)
+    return (F.col(column) - s["mean"]) / F.nullif(s["std_samp"], F.lit(0.0))
 
 
 def zscore_or_fail(df: DataFrame, column: str) -> Column:
     """With the population deviation; a constant column is an error."""
-    std = statistic(df, F.stddev_pop(column))
+    s = summary(df, column)
     failed = F.raise_error(F.lit(f"column {column} is constant")).cast("double")
-    return F.when(std == 0, failed).otherwise((F.col(column) - statistic(df, F.avg(column))) / F.nullif(std, F.lit(0.0)))
+    return F.when(s["std_pop"] == 0, failed).otherwise((F.col(column) - s["mean"]) / F.nullif(s["std_pop"], F.lit(0.0)))
 
 
 def minmax(df: DataFrame, column: str) -> Column:
-    low, high = statistic(df, F.min(column)), statistic(df, F.max(column))
-    width = high - low
-    return F.when(width < MIN_RANGE, F.lit(0.0)).otherwise((F.col(column) - low) / F.greatest(width, F.lit(MIN_RANGE)))
+    s = summary(df, column)
+    width = s["high"] - s["low"]
+    return F.when(width < MIN_RANGE, F.lit(0.0)).otherwise((F.col(column) - s["low"]) / F.greatest(width, F.lit(MIN_RANGE)))
 
 
 def equal_width_bin(df: DataFrame, column: str, n_bins: int) -> Column:
     """Bin 0..n-1 between minimum and maximum, the maximum in the last bin; all 0 when the range is 0."""
-    low, high = statistic(df, F.min(column)), statistic(df, F.max(column))
-    return bin_between(F.col(column), low, high, n_bins)
+    s = summary(df, column)
+    return bin_between(F.col(column), s["low"], s["high"], n_bins)
 
 
 def bin_between(x: Column, low: Column, high: Column, n_bins: int) -> Column:
@@ -172,14 +183,14 @@ HIGH_RISK_CATEGORIES = (5, 12, 18)
 
 def fraud_features(df: DataFrame) -> DataFrame:
     """Six features of (amount, merchant_category, hour_of_day, day_of_week, is_online)."""
-    spread = F.greatest(statistic(df, F.stddev_pop("amount")), F.lit(1.0))
+    s = summary(df, "amount")
 
     def flag(c: Column) -> Column:
         return c.cast("double")
 
     return df.withColumns(
         {
-            "amount_normalized": (F.col("amount") - statistic(df, F.avg("amount"))) / spread,
+            "amount_normalized": (F.col("amount") - s["mean"]) / F.greatest(s["std_pop"], F.lit(1.0)),
             "amount_log": F.log(F.col("amount") + 1.0),
             "is_high_risk_category": flag(F.col("merchant_category").isin(*HIGH_RISK_CATEGORIES)),
             "is_night_transaction": flag((F.col("hour_of_day") < 6) | (F.col("hour_of_day") > 22)),

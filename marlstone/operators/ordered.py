@@ -31,22 +31,25 @@ def positioned(df: DataFrame, order: Sequence[str | Column], chunk_rows: int = C
     """Add ``_pos`` (0-based position in ``order``) and ``_chunk``.
 
     The sorted rows are written once: row numbers and partition sizes must come from
-    the same run, also when an executor is lost. The size table has
-    one row per range partition.
+    the same run, also when an executor is lost. The driver sees one count per range partition.
     """
     by = _columns(order)
     placed = written(
         df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_row_id", F.monotonically_increasing_id()),
         "positions",
-    ).withColumn("_part", F.shiftright("_row_id", _ROW_BITS))
-    sizes = placed.groupBy("_part").agg(F.count("*").alias("_size"))
-    offsets = sizes.select("_part", (F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")).alias("_before"))
+    )
+    part = F.shiftright("_row_id", _ROW_BITS)
+    sizes = {r["part"]: r["n"] for r in placed.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()}
+    before, total = [], 0
+    for p in range(max(sizes, default=0) + 1):
+        before.append(total)
+        total += sizes.get(p, 0)
+    starts = F.array(*[F.lit(n).cast("bigint") for n in before])  # folded to one literal
     row = F.col("_row_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return (
-        placed.join(F.broadcast(offsets), "_part")
-        .withColumn("_pos", F.col("_before") + row)
+        placed.withColumn("_pos", F.get(starts, part.cast("int")) + row)
         .withColumn("_chunk", F.expr(f"_pos div {int(chunk_rows)}"))
-        .drop("_row_id", "_part", "_before")
+        .drop("_row_id")
     )
 
 
@@ -194,7 +197,8 @@ def quantiles(
     ).unionByName(
         targets.select(*keys, F.col("_q.name").alias("_name"), F.col("_high").alias("_pos"), F.col("_share").alias("_weight"))
     )
-    hits = ends.join(placed.select("_pos", value), "_pos")
+    # written, so that Spark knows its size and broadcasts it when it is small
+    hits = placed.select("_pos", value).join(written(ends, "targets"), "_pos")
     return hits.groupBy(*keys).agg(
         *[
             F.sum(F.when(F.col("_name") == n, F.col(value) * F.col("_weight"))).alias(n)

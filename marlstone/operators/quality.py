@@ -21,20 +21,26 @@ SHIFT_LIMIT = 0.1
 def psi(baseline: DataFrame, current: DataFrame, column: str, bins: int = 10) -> DataFrame:
     """One row (psi, band) over equal bins between the joint minimum and maximum."""
     both = baseline.select(column, F.lit(1).alias("_b")).unionByName(current.select(column, F.lit(0).alias("_b")))
-    low, high = both.agg(F.min(column)).scalar(), both.agg(F.max(column)).scalar()
+    joint = both.agg(
+        F.struct(
+            F.min(column).alias("low"),
+            F.max(column).alias("high"),
+            F.sum("_b").alias("n_base"),
+            F.sum(1 - F.col("_b")).alias("n_cur"),
+        )
+    ).scalar()
     counts = (
-        both.withColumn("_bin", bin_between(F.col(column), low, high, bins))
+        both.withColumn("_bin", bin_between(F.col(column), joint["low"], joint["high"], bins))
         .groupBy("_bin")
         .agg(F.sum("_b").alias("_base"), F.sum(1 - F.col("_b")).alias("_cur"))
     )
     every = baseline.sparkSession.range(bins).select(F.col("id").cast("int").alias("_bin"))
     full = every.join(counts, "_bin", "left").na.fill(0, ["_base", "_cur"])
-    n_base, n_cur = both.agg(F.sum("_b")).scalar(), both.agg(F.sum(1 - F.col("_b"))).scalar()
 
     def part(hits: str, n: Column) -> Column:
         return (F.col(hits) + PSI_EPS) / (n + PSI_EPS * bins)
 
-    b, c = part("_base", n_base), part("_cur", n_cur)
+    b, c = part("_base", joint["n_base"]), part("_cur", joint["n_cur"])
     total = full.agg(F.sum((c - b) * F.log(c / b)).alias("psi"))
     band = F.when(F.col("psi") < PSI_MODERATE, "none").when(F.col("psi") < PSI_SIGNIFICANT, "moderate").otherwise("significant")
     return total.withColumn("band", band)

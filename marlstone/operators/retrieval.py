@@ -20,6 +20,7 @@ from marlstone.functions.text import found_patterns, overlap, share, word_set, w
 from marlstone.operators.blocks import Scorer, top_k
 from marlstone.operators.chunks import word_chunks
 from marlstone.operators.vectors import text_scorer
+from marlstone.workspace import written
 
 DIM = 64
 
@@ -222,8 +223,8 @@ def answer_questions(
     )
     guarded = questions.withColumn("reason", reason)
     passed = guarded.where("reason IS NULL").select("query_id", "question")
-    found = retrieve(word_chunks(documents, "doc_id", "text", size, lap), passed, 2 * k)
-    best = rerank_overlap(with_texts(found, documents, passed, size, lap), ["doc_id", "chunk_no"], k)
+    found = written(retrieve(word_chunks(documents, "doc_id", "text", size, lap), passed, 2 * k), "candidates")
+    best = written(rerank_overlap(with_texts(found, documents, passed, size, lap), ["doc_id", "chunk_no"], k), "best")
     context = assemble(best, 0.0)
     preview = F.concat(F.substring("text", 1, 100), F.lit("..."))
     source = F.struct("rank", "doc_id", F.coalesce("title", F.lit("")).alias("title"), preview.alias("preview"), "score")

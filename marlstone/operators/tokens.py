@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +15,8 @@ from marlstone.operators.ordered import row_numbers
 PAD, UNK, BOS, EOS = 0, 1, 2, 3
 FIRST_ID = 4
 
+BROADCAST_WORDS = 2_000_000
+
 
 def build_vocabulary(df: DataFrame, text: str, min_freq: int = 2) -> DataFrame:
     """(word, token, n): words seen at least ``min_freq`` times, numbered from 4 in word order.
@@ -33,22 +36,55 @@ def _in_order(df: DataFrame, key: str, place: str, value: str, name: str) -> Dat
     return df.groupBy(key).agg(F.transform(listed, lambda p: p[value]).alias(name))
 
 
-def encode(df: DataFrame, key: str, text: str, vocabulary: DataFrame, special: bool = True) -> DataFrame:
+def _shared_dictionary(vocabulary: DataFrame, limit: int):
+    """The vocabulary as a broadcast list of (word, token), or None when it has more than ``limit`` words."""
+    rows = vocabulary.select("word", "token").limit(limit + 1).toPandas()
+    if len(rows) > limit:
+        return None
+    return vocabulary.sparkSession.sparkContext.broadcast((rows["word"].tolist(), rows["token"].tolist()))
+
+
+def encode(
+    df: DataFrame, key: str, text: str, vocabulary: DataFrame, special: bool = True, broadcast_limit: int = BROADCAST_WORDS
+) -> DataFrame:
     """(key, tokens): word ids in text order, unknown words as 1, with begin and end tokens if wanted.
 
-    ``key`` is unique, so a regrouped array is never longer than its text.
+    A vocabulary of up to ``broadcast_limit`` words is sent to the tasks and no row moves. A larger one is
+    joined by word; ``key`` is unique, so a regrouped array is never longer than its text.
     """
-    spread = df.select(key, F.posexplode_outer(words(F.col(text))).alias("_at", "word"))
-    known = spread.join(vocabulary.select("word", "token"), "word", "left")
-    coded = known.withColumn("_token", F.coalesce("token", F.lit(UNK)))
-    listed = _in_order(coded, key, "_at", "_token", "tokens")
+    shared = _shared_dictionary(vocabulary, broadcast_limit)
+    if shared is not None:
+
+        @F.pandas_udf("array<int>")
+        def look_up(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            ids = dict(zip(*shared.value, strict=True))
+            for batch in texts:
+                yield pd.Series([[ids.get(w, UNK) for w in t.split(" ") if w] for t in batch], dtype=object)
+
+        listed = df.select(key, look_up(F.coalesce(F.array_join(words(F.col(text)), " "), F.lit(""))).alias("tokens"))
+    else:
+        spread = df.select(key, F.posexplode_outer(words(F.col(text))).alias("_at", "word"))
+        known = spread.join(vocabulary.select("word", "token"), "word", "left")
+        coded = known.withColumn("_token", F.coalesce("token", F.lit(UNK)))
+        listed = _in_order(coded, key, "_at", "_token", "tokens")
     if not special:
         return listed
     return listed.withColumn("tokens", F.concat(F.array(F.lit(BOS)), "tokens", F.array(F.lit(EOS))))
 
 
-def decode(df: DataFrame, key: str, tokens: str, vocabulary: DataFrame) -> DataFrame:
+def decode(df: DataFrame, key: str, tokens: str, vocabulary: DataFrame, broadcast_limit: int = BROADCAST_WORDS) -> DataFrame:
     """(key, text): words of the ids, special tokens left out."""
+    shared = _shared_dictionary(vocabulary, broadcast_limit)
+    if shared is not None:
+
+        @F.pandas_udf("string")
+        def look_up(lists: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            named, ids = shared.value
+            names = dict(zip(ids, named, strict=True))
+            for batch in lists:
+                yield pd.Series([" ".join(names[t] for t in listed if t >= FIRST_ID) for listed in batch], dtype=object)
+
+        return df.select(key, look_up(F.col(tokens)).alias("text"))
     spread = df.select(key, F.posexplode_outer(F.filter(F.col(tokens), lambda t: t >= FIRST_ID)).alias("_at", "token"))
     named = spread.join(vocabulary.select("token", "word"), "token", "left")
     return _in_order(named, key, "_at", "word", "_words").select(key, F.array_join("_words", " ").alias("text"))

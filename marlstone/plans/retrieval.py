@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from marlstone.functions import text as tx
 from marlstone.operators import blocks, chunks, vectors
 from marlstone.operators import retrieval as re
-from marlstone.plans.registry import query, table
+from marlstone.plans.registry import query, table, texts
 from marlstone.plans.relational import CENTROIDS_SQL
 from marlstone.plans.vectors import word_hash_sql
 from marlstone.sources.logs import CHAT_PAIRS_SQL, chat_pairs
@@ -56,7 +56,7 @@ def _rerank_sql(score: str, k: int | None) -> str:
 
 
 def documents_of(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", "text")
+    return texts(spark, folder, "documents").select("doc_id", "text")
 
 
 def questions_of(spark, folder):
@@ -120,7 +120,7 @@ def chunk_offsets(spark, folder):
     CAST(64 * count(*) AS BIGINT) AS n_slots FROM chunks JOIN documents USING (doc_id) GROUP BY 1""",
 )
 def ingest(spark, folder):
-    documents = table(spark, folder, "documents").select("doc_id", "source", "text")
+    documents = texts(spark, folder, "documents").select("doc_id", "source", "text")
     path = scratch(spark, "ingest")
     cut = re.ingest(documents, SIZE, LAP).join(documents.select("doc_id", "source"), "doc_id")
     cut.write.partitionBy("source").parquet(path)
@@ -222,7 +222,7 @@ _BLOCKED = ["password", "secret", "confidential", "ssn"]
     CASE WHEN reason IS NULL THEN sources END AS sources FROM guard LEFT JOIN c USING (query_id)""",
 )
 def answer_questions(spark, folder):
-    documents = table(spark, folder, "documents")
+    documents = texts(spark, folder, "documents")
     titles = documents.select("doc_id", F.col("source").alias("title"))
     found = re.answer_questions(
         documents.select("doc_id", "text"), questions_of(spark, folder), _BLOCKED, 4096, 3, SIZE, LAP, titles

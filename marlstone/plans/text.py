@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from marlstone.functions import text as tx
 from marlstone.operators import prompts as pr
 from marlstone.operators import tokens as tk
-from marlstone.plans.registry import query, table
+from marlstone.plans.registry import query, table, texts
 from marlstone.plans.retrieval import _words
 from marlstone.sources.logs import CHAT_PAIRS_SQL, REQUEST_LOG_SQL, chat_pairs, request_log
+from marlstone.workspace import written
 
 VOCABULARY_SQL = f"""all_words AS (SELECT doc_id, lang, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos
     FROM (SELECT doc_id, lang, {_words("lower(text)")} AS ws FROM documents)),
@@ -19,7 +20,7 @@ VOCABULARY_SQL = f"""all_words AS (SELECT doc_id, lang, unnest(ws) AS word, gene
 
 
 def _vocabulary(spark, folder):
-    documents = table(spark, folder, "documents")
+    documents = texts(spark, folder, "documents")
     return documents, tk.build_vocabulary(documents, "text", 2)
 
 
@@ -220,7 +221,8 @@ def few_shot(spark, folder):
         .join(documents, "doc_id")
         .select("lang", "n_chars", "doc_id", F.col("text").alias("input"), F.when(F.col("quality") == 1, "good").otherwise("bad").alias("output"))
     )
-    shots = pr.few_shot_prefixes(examples, "lang", ["n_chars", "doc_id"], 2)
+    # written: Spark then knows how small it is and broadcasts it
+    shots = written(pr.few_shot_prefixes(examples, "lang", ["n_chars", "doc_id"], 2), "shots")
     prompt = pr.few_shot_prompt(F.lit(_RULES), F.col("examples"), F.col("text"))
     return documents.join(shots, "lang", "left").select("doc_id", prompt.alias("prompt"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from marlstone.functions.embed import char_embedding, char_hash, embed_with, spaced_words, word_embedding
 from marlstone.operators import blocks, vectors
-from marlstone.plans.registry import query, table
+from marlstone.plans.registry import query, table, texts
 from marlstone.plans.relational import CENTROIDS_SQL
 
 DIM = 64
@@ -39,7 +39,7 @@ def _slots(df, key, embedding):
     f"WITH {word_hash_sql('emb', 'documents', 'doc_id')} SELECT doc_id, CAST(slot AS INTEGER) AS slot, round(weight, 8) AS weight FROM emb",
 )
 def word_hash_embedding(spark, folder):
-    return _slots(table(spark, folder, "documents"), "doc_id", word_embedding(F.col("text"), DIM))
+    return _slots(texts(spark, folder, "documents"), "doc_id", word_embedding(F.col("text"), DIM))
 
 
 @query(
@@ -61,7 +61,7 @@ _CHAR_SQL = """c AS (SELECT doc_id, unnest(string_split(text, '')) AS c, unnest(
     f"WITH {_CHAR_SQL} SELECT doc_id, CAST(slot AS INTEGER) AS slot, round(weight, 8) AS weight FROM emb",
 )
 def char_hash_embedding(spark, folder):
-    return _slots(table(spark, folder, "documents"), "doc_id", char_embedding(F.col("text"), DIM))
+    return _slots(texts(spark, folder, "documents"), "doc_id", char_embedding(F.col("text"), DIM))
 
 
 @query(
@@ -70,7 +70,7 @@ def char_hash_embedding(spark, folder):
     round(sum(weight), 6) AS total_weight FROM emb GROUP BY 1""",
 )
 def batch_embedding(spark, folder):
-    embedded = table(spark, folder, "documents").select("doc_id", embed_with(char_hash, DIM)("text").alias("e"))
+    embedded = texts(spark, folder, "documents").select("doc_id", embed_with(char_hash, DIM)("text").alias("e"))
     return embedded.select(
         "doc_id",
         F.size("e").alias("dim"),
@@ -144,7 +144,7 @@ def filtered_search(spark, folder):
     CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM dots QUALIFY rank <= 5""",
 )
 def batch_search(spark, folder):
-    corpus = table(spark, folder, "documents").select("doc_id", spaced_words(F.col("text")).alias("text"))
+    corpus = texts(spark, folder, "documents").select("doc_id", spaced_words(F.col("text")).alias("text"))
     asked = table(spark, folder, "benchmark").select("item_id", spaced_words(F.col("text")).alias("query"))
     return blocks.top_k(corpus, ["doc_id"], asked, "item_id", vectors.text_scorer(DIM), 5)
 
@@ -163,7 +163,7 @@ def nearest_others(spark, folder):
 @query("vec_08_substring_search", "SELECT doc_id, lang, n_chars FROM documents WHERE contains(lower(text), lower('License'))")
 def substring_search(spark, folder):
     return (
-        table(spark, folder, "documents")
+        texts(spark, folder, "documents")
         .where(F.contains(F.lower("text"), F.lower(F.lit("License"))))
         .select("doc_id", "lang", "n_chars")
     )

@@ -7,7 +7,8 @@ its own output.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,6 +64,21 @@ def run_batches(stream: DataFrame, path: str, handle: Callable[[DataFrame, int],
     job.awaitTermination()
 
 
+@contextmanager
+def _state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Keep window state in RocksDB instead of executor memory while a job starts and runs."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def run_updates(stream: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
     """Run an aggregating stream in update mode and read the newest state of every key.
 
@@ -72,7 +88,8 @@ def run_updates(stream: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/updates/batch={batch_id}")
 
-    run_batches(stream, path, handle, "update")
+    with _state_on_disk(stream.sparkSession):
+        run_batches(stream, path, handle, "update")
     layout = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
     updates = stream.sparkSession.read.schema(layout).parquet(f"{path}/updates")
     values = [c for c in stream.columns if c not in keys]
