@@ -291,7 +291,14 @@ def fixed_window(spark, folder):
     return found.select("request_id", "window_no", "allowed", F.round("request_share", 6).alias("request_share"))
 
 
-@query("mon_17_sliding_log")
+SLIDING_LOG_SQL = """WITH RECURSIVE r AS (SELECT event_id AS request_id, user_id, ts, epoch_us(ts) AS t, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
+  f AS (SELECT DISTINCT user_id, CAST(0 AS BIGINT) AS n, []::BIGINT[] AS log, NULL::BIGINT AS request_id, NULL::TIMESTAMP AS ts, NULL::BOOLEAN AS allowed FROM r
+    UNION ALL SELECT user_id, n, CASE WHEN len(kept) < 3 THEN list_append(kept, t) ELSE kept END, request_id, ts, len(kept) < 3
+    FROM (SELECT r.user_id, r.n, r.request_id, r.ts, r.t, list_filter(f.log, lambda x: r.t - x <= 43200000000) AS kept FROM f JOIN r ON r.user_id = f.user_id AND r.n = f.n + 1))
+  SELECT request_id, user_id, ts, allowed, CAST(3 - len(log) AS BIGINT) AS remaining FROM f WHERE n > 0"""
+
+
+@query("mon_17_sliding_log", SLIDING_LOG_SQL)
 def sliding_log(spark, folder):
     log = request_log(table(spark, folder, "events")).select("request_id", "user_id", "ts")
     decided, _ = admission.sliding_log(log, "user_id", "ts", "request_id", limit=3, seconds=43200)

@@ -94,7 +94,16 @@ def char_chunks(spark, folder):
     return chunks.char_chunks(documents_of(spark, folder), "doc_id", "text", 500, 100)
 
 
-@query("ret_03_packed_paragraphs")
+_PACKED_SQL = r"""WITH RECURSIVE p AS (SELECT doc_id, string_split(text, chr(10)) AS ps FROM documents),
+  f AS (SELECT doc_id, 0 AS i, '' AS held, NULL::VARCHAR AS done FROM p
+    UNION ALL SELECT doc_id, i + 1, CASE WHEN full_up OR held = '' THEN next ELSE held || chr(10) || next END, CASE WHEN full_up THEN held END
+    FROM (SELECT doc_id, i, held, ps[i + 1] AS next, held <> '' AND length(held) + length(ps[i + 1]) > 500 AS full_up FROM f JOIN p USING (doc_id) WHERE i < len(ps))),
+  c AS (SELECT doc_id, i, done AS text FROM f WHERE done IS NOT NULL
+    UNION ALL SELECT doc_id, i + 1, held FROM f JOIN p USING (doc_id) WHERE i = len(ps) AND held <> '')
+  SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS INTEGER) AS chunk_no, trim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') AS text FROM c"""
+
+
+@query("ret_03_packed_paragraphs", _PACKED_SQL)
 def packed_paragraphs(spark, folder):
     return chunks.packed_chunks(documents_of(spark, folder), "doc_id", "text", 500)
 

@@ -8,7 +8,7 @@ from marlstone.operators import models as mo
 from marlstone.operators import quality as qu
 from marlstone.operators.relational import sigmoid
 from marlstone.plans.features import transactions
-from marlstone.plans.monitoring import INPUT_GUARD_SQL
+from marlstone.plans.monitoring import INPUT_GUARD_SQL, SLIDING_LOG_SQL
 from marlstone.plans.registry import query
 from marlstone.sources.logs import REQUEST_LOG_SQL, request_log
 from marlstone.streaming import jobs
@@ -53,7 +53,7 @@ def minute_usage(spark, folder):
     return jobs.run_updates(counted, scratch(spark, "usage"), ["window_start", "endpoint"])
 
 
-@query("str_04_stream_admission")
+@query("str_04_stream_admission", SLIDING_LOG_SQL)
 def stream_admission(spark, folder):
     arriving = request_log(jobs.read_files(spark, f"{folder}/events*.parquet")).select("request_id", "user_id", "ts")
     return jobs.admit(arriving, scratch(spark, "admitted"), "user_id", "ts", "request_id", limit=3, seconds=43200)
