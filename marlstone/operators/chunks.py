@@ -178,7 +178,7 @@ def recursive_chunks(
 def sentences(text: Column) -> Column:
     """Pieces that end in . ! or ?, and the rest."""
     found = F.regexp_extract_all(F.regexp_replace(text, r"\s+", " "), F.lit(r"([^.!?]+[.!?]*|[.!?]+)"), F.lit(1))
-    return F.filter(F.transform(found, F.trim), lambda s: s != "")
+    return F.filter(F.transform(found, lambda s: F.trim(s)), lambda s: s != "")
 
 
 def sentence_chunks(df: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
