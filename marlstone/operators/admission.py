@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections import deque
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,83 +57,114 @@ class _Log:
         self.limit, self.window = limit, window
         self.times: deque[int] = deque()
 
-    def expire(self, now: int) -> None:
-        while self.times and now - self.times[0] > self.window:
-            self.times.popleft()
+    def ask(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Decisions and places left for requests in time order.
+
+        While the log is full nothing passes until its first entry expires, so a run of refusals is one step.
+        """
+        allowed = np.zeros(len(at), dtype=bool)
+        remaining = np.zeros(len(at), dtype=np.int64)
+        i = 0
+        while i < len(at):
+            now = int(at[i])
+            while self.times and now - self.times[0] > self.window:
+                self.times.popleft()
+            if len(self.times) >= self.limit:
+                first = self.times[0] if self.times else now
+                i = max(i + 1, int(np.searchsorted(at, first + self.window, side="right")))
+                continue
+            self.times.append(now)
+            allowed[i] = True
+            remaining[i] = self.limit - len(self.times)
+            i += 1
+        return allowed, remaining
 
-    def ask(self, now: int) -> bool:
-        self.expire(now)
-        if len(self.times) >= self.limit:
-            return False
-        self.times.append(now)
-        return True
 
+def _sorted(rows: DataFrame, seeds: DataFrame | None, key: str, span: str) -> DataFrame:
+    """Rows and carried log entries by (key, span) and chunk, the entries of a chunk before its rows."""
+    listed = rows.select(key, F.col(span).alias("_span"), "_chunk", F.lit(0).alias("_seed"), "_at", "_tie")
+    if seeds is not None:
+        blank = F.lit("0").cast(rows.schema["_tie"].dataType)
+        listed = listed.unionByName(
+            seeds.select(key, F.col(span).alias("_span"), "_chunk", F.lit(1).alias("_seed"), "_at", blank.alias("_tie"))
+        )
+    return listed.repartition(key, "_span").sortWithinPartitions(key, "_span", "_chunk", F.desc("_seed"), "_at", "_tie")
 
-def _rows(batches: Iterator[pd.DataFrame], key: str) -> Iterator[tuple]:
-    for pdf in batches:
-        yield from zip(pdf[key].tolist(), pdf["_chunk"].tolist(), pdf["_seed"].tolist(), pdf["_at"].tolist(), pdf["_tie"].tolist())
 
+class _Fold:
+    """The log of the (key, span) at hand while sorted batches go by."""
 
-def _sorted(rows: DataFrame, seeds: DataFrame | None, key: str) -> DataFrame:
-    """Rows and carried log entries by (key, chunk), the entries first."""
-    listed = rows.select(key, "_chunk", F.lit(0).alias("_seed"), "_at", "_tie")
-    if seeds is not None:
-        carried = seeds.select(key, "_chunk", F.lit(1).alias("_seed"), "_at", F.lit(None).cast(rows.schema["_tie"].dataType).alias("_tie"))
-        listed = listed.unionByName(carried)
-    return listed.repartition(key, "_chunk").sortWithinPartitions(key, "_chunk", F.desc("_seed"), "_at", "_tie")
+    def __init__(self, key: str, limit: int, window: int):
+        self.key, self.limit, self.window = key, limit, window
+        self.group, self.chunk, self.log = None, None, None
+
+    def stretches(self, pdf: pd.DataFrame) -> Iterator[tuple[int, int, tuple | None]]:
+        """(low, high, finished) per stretch of one chunk; finished is (key, chunk, times) of the chunk before it."""
+        keys, spans, chunks = (pdf[c].to_numpy() for c in (self.key, "_span", "_chunk"))
+        cut = (keys[1:] != keys[:-1]) | (spans[1:] != spans[:-1]) | (chunks[1:] != chunks[:-1])
+        edges = [0, *(np.flatnonzero(cut) + 1).tolist(), len(pdf)]
+        for low, high in zip(edges, edges[1:], strict=False):
+            group, chunk, finished = (keys[low], spans[low]), chunks[low], None
+            if group != self.group or chunk != self.chunk:
+                finished = self.finished()
+                if group != self.group:
+                    self.log = _Log(self.limit, self.window)
+                self.group, self.chunk = group, chunk
+            yield low, high, finished
+
+    def finished(self) -> tuple | None:
+        return None if self.group is None else (self.group[0], self.chunk, list(self.log.times))
+
+    def ask(self, seeds: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Decisions for a stretch; its carried entries come first and enter the log unasked."""
+        n = int(seeds.sum())
+        self.log.times.extend(at[:n].tolist())
+        allowed, remaining = self.log.ask(at[n:])
+        return np.concatenate([np.zeros(n, dtype=bool), allowed]), np.concatenate([np.zeros(n, dtype=np.int64), remaining])
 
 
 def _decisions(rows: DataFrame, seeds: DataFrame | None, key: str, limit: int, window: int) -> DataFrame:
-    schema = T.StructType(
-        [
-            T.StructField("_tie", rows.schema["_tie"].dataType),
-            T.StructField("allowed", T.BooleanType()),
-            T.StructField("remaining", T.LongType()),
-        ]
-    )
+    tie = rows.schema["_tie"].dataType.simpleString()
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        group, log, out = None, _Log(limit, window), []
-        for k, chunk, seed, at, tie in _rows(batches, key):
-            if (k, chunk) != group:
-                group, log = (k, chunk), _Log(limit, window)
-            if seed:
-                log.times.append(at)
+        state = _Fold(key, limit, window)
+        for pdf in batches:
+            if len(pdf) == 0:
                 continue
-            allowed = log.ask(at)
-            out.append((tie, allowed, limit - len(log.times)))
-            if len(out) >= 10_000:
-                yield pd.DataFrame(out, columns=schema.names)
-                out = []
-        if out:
-            yield pd.DataFrame(out, columns=schema.names)
+            seed, at = pdf["_seed"].to_numpy(), pdf["_at"].to_numpy()
+            parts = [state.ask(seed[low:high], at[low:high]) for low, high, _ in state.stretches(pdf)]
+            allowed, remaining = (np.concatenate(x) for x in zip(*parts, strict=True))
+            out = pd.DataFrame({"_tie": pdf["_tie"].to_numpy(), "allowed": allowed, "remaining": remaining})
+            yield out[seed == 0]
 
-    return _sorted(rows, seeds, key).mapInPandas(fold, schema)
+    return _sorted(rows, seeds, key, "_chunk").mapInPandas(fold, f"_tie {tie}, allowed boolean, remaining bigint")
 
 
-def _trailing(rows: DataFrame, seeds: DataFrame | None, key: str, limit: int, window: int) -> DataFrame:
-    """(key, _chunk, _at): the log at the end of each chunk, at most ``limit`` rows."""
+def _trailing(rows: DataFrame, seeds: DataFrame | None, key: str, limit: int, window: int, span: str = "_chunk") -> DataFrame:
+    """(key, _chunk, _at): the log at the end of each chunk, at most ``limit`` rows. The chunks of a span run one after the other."""
     schema = T.StructType([rows.schema[key], rows.schema["_chunk"], T.StructField("_at", T.LongType())])
 
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        group, log = None, _Log(limit, window)
-
-        def left() -> pd.DataFrame:
-            return pd.DataFrame([(*group, t) for t in log.times], columns=schema.names)
+    def table(ends: list[tuple]) -> pd.DataFrame:
+        listed = [(k, c, t) for k, c, times in ends for t in times]
+        return pd.DataFrame(listed, columns=schema.names)
 
-        for k, chunk, seed, at, _ in _rows(batches, key):
-            if (k, chunk) != group:
-                if group is not None and log.times:
-                    yield left()
-                group, log = (k, chunk), _Log(limit, window)
-            if seed:
-                log.times.append(at)
-            else:
-                log.ask(at)
-        if group is not None and log.times:
-            yield left()
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        state = _Fold(key, limit, window)
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            seed, at, ends = pdf["_seed"].to_numpy(), pdf["_at"].to_numpy(), []
+            for low, high, finished in state.stretches(pdf):
+                if finished is not None:
+                    ends.append(finished)
+                state.ask(seed[low:high], at[low:high])
+            if any(times for *_, times in ends):
+                yield table(ends)
+        last = state.finished()
+        if last is not None and last[2]:
+            yield table([last])
 
-    return _sorted(rows, seeds, key).mapInPandas(fold, schema)
+    return _sorted(rows, seeds, key, span).mapInPandas(fold, schema)
 
 
 def _digest(states: DataFrame, key: str, name: str) -> DataFrame:
@@ -142,34 +174,43 @@ def _digest(states: DataFrame, key: str, name: str) -> DataFrame:
 def _settle(rows: DataFrame, first: DataFrame | None, key: str, limit: int, window: int) -> DataFrame | None:
     """Log entries each chunk starts with, or None when there are none at all.
 
-    Chunks that continue a key are folded from an empty log first. A chunk whose incoming log differs from the one it was
-    folded with is folded again, until none differs. The first chunks of a key are right at once, so the rounds end.
+    Every chunk of a key with several chunks is folded from an empty log. Chunks whose incoming log differs from the one
+    they were folded with are folded again, together with the chunks after them in a span that doubles each round. Most
+    differences die out within one chunk; at the latest a span covers the whole key, so there are at most
+    log2(chunks) + 1 rounds.
     """
     groups = rows.select(key, "_chunk").distinct()
     earlier = F.lag("_chunk").over(Window.partitionBy(key).orderBy("_chunk"))
     linked = written(groups.withColumn("_from", earlier), "links").where("_from IS NOT NULL")
     if linked.isEmpty():
         return first
+    links = linked.select(F.col(key), F.col("_chunk").alias("_next"), F.col("_from").alias("_chunk"))
+
+    def passed_on(states: DataFrame) -> DataFrame:
+        return states.join(links, [key, "_chunk"]).select(key, F.col("_next").alias("_chunk"), "_at")
+
     spread = rows.join(linked.select(key).distinct(), key, "left_semi")
     opening = None if first is None else first.join(linked.select(key).distinct(), key, "left_semi")
     ends = written(_trailing(spread, opening, key, limit, window), "trailing")
-    given = ends.limit(0)
+    given, width = ends.limit(0), 1
     while True:
-        links = linked.select(F.col(key), F.col("_chunk").alias("_next"), F.col("_from").alias("_chunk"))
-        incoming = written(ends.join(links, [key, "_chunk"]).select(key, F.col("_next").alias("_chunk"), "_at"), "incoming")
+        incoming = written(passed_on(ends), "incoming")
         compared = _digest(incoming, key, "_new").join(_digest(given, key, "_old"), [key, "_chunk"], "full")
-        changed = written(compared.where(~F.col("_new").eqNullSafe(F.col("_old"))).select(key, "_chunk"), "changed")
-        if changed.isEmpty():
+        changed = compared.where(~F.col("_new").eqNullSafe(F.col("_old")))
+        span = F.expr(f"_chunk div {width}").alias("_span")
+        begin = changed.select(key, "_chunk", span).groupBy(key, "_span").agg(F.min("_chunk").alias("_begin"))
+        redo = linked.select(key, "_chunk", span).join(begin, [key, "_span"]).where("_chunk >= _begin")
+        redo = written(redo, "redo")
+        if redo.isEmpty():
             break
-        redone = _trailing(
-            rows.join(changed, [key, "_chunk"], "left_semi"),
-            incoming.join(changed, [key, "_chunk"], "left_semi"),
-            key,
-            limit,
-            window,
+        heads = incoming.join(redo.where("_chunk = _begin"), [key, "_chunk"])
+        redone = _trailing(rows.join(redo, [key, "_chunk"]), heads, key, limit, window, "_span")
+        ends = written(ends.join(redo, [key, "_chunk"], "left_anti").unionByName(redone), "trailing")
+        inner = redo.where("_chunk > _begin")
+        given = incoming.join(inner, [key, "_chunk"], "left_anti").unionByName(
+            passed_on(ends).join(inner, [key, "_chunk"], "left_semi")
         )
-        ends = written(ends.join(changed, [key, "_chunk"], "left_anti").unionByName(redone), "trailing")
-        given = incoming
+        width *= 2
     return incoming if first is None else incoming.unionByName(first)
 
 

@@ -23,6 +23,7 @@ def test_no_cross_join_and_no_row_udf(name, spark, folder):
 
 
 def test_scan_is_pruned(spark, folder):
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
     plan = plan_of(QUERIES["src_04_parquet_scan"].run(spark, folder))
     assert "GreaterThan(l_quantity,25.0)" in plan
     assert re.search(r"ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double,l_shipdate:timestamp_ntz>", plan)
