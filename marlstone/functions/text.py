@@ -38,10 +38,10 @@ def overlap(a: Column, b: Column) -> Column:
 
 def found_patterns(text: Column, patterns: Sequence[str]) -> Column:
     """The patterns that occur in the text, case-insensitively, in list order."""
-    lowered = F.lower(text)
-    return F.array_compact(
-        F.array(*[F.when(F.contains(lowered, F.lit(p.lower())), F.lit(p)) for p in patterns])
-    )
+    listed = F.array(*[F.lit(p) for p in patterns])
+    # the one-element array makes Spark lower the text once, not once per pattern
+    once = F.array(F.lower(text))
+    return F.get(F.transform(once, lambda t: F.filter(listed, lambda p: F.contains(t, F.lower(p)))), F.lit(0))
 
 
 def has_email_signs(text: Column) -> Column:
@@ -49,7 +49,7 @@ def has_email_signs(text: Column) -> Column:
 
 
 def has_ten_digits(text: Column) -> Column:
-    return F.length(F.regexp_replace(text, "[^0-9]", "")) >= 10
+    return F.length(text) - F.length(F.translate(text, "0123456789", "")) >= 10
 
 
 def has_ssn(text: Column) -> Column:

@@ -9,7 +9,7 @@ from marlstone.operators import features as fe
 from marlstone.operators import models as mo
 from marlstone.operators import runs as ru
 from marlstone.plans.features import FRAUD_FEATURES_SQL, TRANSACTIONS_SQL, transactions
-from marlstone.plans.registry import query, table
+from marlstone.plans.registry import query, table, texts
 from marlstone.sources.logs import RUN_METRICS_SQL, run_metrics
 from marlstone.sources.snapshots import SnapshotTable
 from marlstone.workspace import scratch, written
@@ -69,7 +69,7 @@ DOC_FEATURES_SQL = r"""df AS (SELECT l.doc_id, l.quality, d.n_chars, len(list_fi
 
 def labelled_documents(spark, folder):
     """Written once: every fit reads its rows several times, the texts should be read once."""
-    documents = table(spark, folder, "documents").select(
+    documents = texts(spark, folder, "documents").select(
         "doc_id",
         "n_chars",
         F.size(F.filter(F.split("text", r"\s+"), lambda w: w != "")).cast("bigint").alias("n_words"),

@@ -9,7 +9,7 @@ from marlstone.operators import admission
 from marlstone.operators import experiments as ex
 from marlstone.operators import quality as qu
 from marlstone.operators.ordered import quantiles
-from marlstone.plans.registry import query, table
+from marlstone.plans.registry import query, table, texts
 from marlstone.sources.logs import REQUEST_LOG_SQL, request_log
 
 _MIDDLE = "TIMESTAMP '2024-01-16'"
@@ -187,7 +187,7 @@ INPUT_GUARD_SQL = f"""SELECT doc_id, concat_ws('; ', CASE WHEN length(text) > 40
 
 @query("mon_09_input_guard", f"SELECT doc_id, violations = '' AS passed, violations FROM ({INPUT_GUARD_SQL})")
 def input_guard(spark, folder):
-    checked = table(spark, folder, "documents").select("doc_id", qu.input_violations(F.col("text")).alias("v"))
+    checked = texts(spark, folder, "documents").select("doc_id", qu.input_violations(F.col("text")).alias("v"))
     return checked.select("doc_id", (F.size("v") == 0).alias("passed"), F.array_join("v", "; ").alias("violations"))
 
 
@@ -197,7 +197,7 @@ def input_guard(spark, folder):
     ELSE '' END AS violations FROM documents""",
 )
 def output_guard(spark, folder):
-    checked = table(spark, folder, "documents").select("doc_id", qu.output_violations(F.col("text")).alias("v"))
+    checked = texts(spark, folder, "documents").select("doc_id", qu.output_violations(F.col("text")).alias("v"))
     return checked.select("doc_id", (F.size("v") == 0).alias("passed"), F.array_join("v", "; ").alias("violations"))
 
 
@@ -208,7 +208,7 @@ def output_guard(spark, folder):
 )
 def pii_flags(spark, folder):
     text = F.col("text")
-    return table(spark, folder, "documents").select(
+    return texts(spark, folder, "documents").select(
         "doc_id",
         tx.has_email_signs(text).alias("email_signs"),
         tx.has_ten_digits(text).alias("phone_digits"),
@@ -227,7 +227,7 @@ _FILTER_BLOCKED, _FILTER_TOPICS = ["api_key", "password"], ["license", "@"]
     WHEN contains(t, 'license') THEN 'license' WHEN contains(t, '@') THEN '@' ELSE '' END AS reason FROM (SELECT doc_id, lower(text) AS t FROM documents)""",
 )
 def content_filter(spark, folder):
-    checked = table(spark, folder, "documents").select(
+    checked = texts(spark, folder, "documents").select(
         "doc_id", qu.content_filter(F.col("text"), _FILTER_BLOCKED, _FILTER_TOPICS).alias("f")
     )
     return checked.select("doc_id", "f.verdict", "f.reason")
