@@ -132,10 +132,10 @@ def weighted_grade(spark, folder):
     "mon_06_gate_report",
     f"""WITH {_CHECKS_SQL}, r AS (SELECT user_id, bool_and(passed) AS passed, count(*) FILTER (passed) AS n_passed,
       coalesce(string_agg(message, '; ' ORDER BY message) FILTER (NOT passed), '') AS failures FROM checks GROUP BY 1), {_COMPONENTS_SQL}
-    SELECT r.*, concat_ws('; ', CASE WHEN line_coverage / 100 < 0.80 THEN printf('Increase test coverage from %.1f%% to at least 80%%', line_coverage) END,
-      CASE WHEN mutation_score / 100 < 0.70 THEN printf('Improve mutation score from %.1f%% to at least 70%%', mutation_score) END,
-      CASE WHEN cyclomatic_avg > 10 THEN printf('Reduce cyclomatic complexity from %.1f to under 10', cyclomatic_avg) END,
-      CASE WHEN doc_coverage / 100 < 0.5 THEN printf('Add documentation to reach at least 50%% coverage (currently %.1f%%)', doc_coverage) END) AS recommendations
+    SELECT r.*, concat_ws('; ', CASE WHEN line_coverage / 100 < 0.80 THEN printf('Increase test coverage from %.1f%% to at least 80%%', floor(line_coverage * 10 + 0.5) / 10) END,
+      CASE WHEN mutation_score / 100 < 0.70 THEN printf('Improve mutation score from %.1f%% to at least 70%%', floor(mutation_score * 10 + 0.5) / 10) END,
+      CASE WHEN cyclomatic_avg > 10 THEN printf('Reduce cyclomatic complexity from %.1f to under 10', floor(cyclomatic_avg * 10 + 0.5) / 10) END,
+      CASE WHEN doc_coverage / 100 < 0.5 THEN printf('Add documentation to reach at least 50%% coverage (currently %.1f%%)', floor(doc_coverage * 10 + 0.5) / 10) END) AS recommendations
     FROM r JOIN m USING (user_id)""",
 )
 def gate_report(spark, folder):
