@@ -182,12 +182,17 @@ def recommendations(test_coverage: Column, mutation: Column, complexity: Column,
 
 
 def alerts(metrics: DataFrame, subject: str, rules: Sequence[tuple[str, str, float]]) -> DataFrame:
-    """Subjects for which any rule holds, with the rules that fired. Rules on absent metrics do not fire."""
-    spark = metrics.sparkSession
-    table = spark.createDataFrame([(m, op, float(t)) for m, op, t in rules], "metric string, op string, threshold double")
-    fired = metrics.join(table, "metric").withColumn("_hit", compare(F.col("value"), F.col("op"), F.col("threshold")))
-    names = F.array_sort(F.collect_set(F.when(F.col("_hit"), F.concat_ws(" ", "metric", "op", F.col("threshold").cast("string")))))
-    return fired.groupBy(subject).agg(F.bool_or("_hit").alias("_any"), names.alias("fired")).where("_any").drop("_any")
+    """Subjects for which any rule holds, with the rules that fired. Rules on absent metrics do not fire.
+
+    The rules are a short list, so they become column expressions and ``metrics`` is not joined.
+    """
+    value = F.col("value")
+    hits = [
+        F.when((F.col("metric") == m) & compare(value, F.lit(op), F.lit(float(t))), F.lit(f"{m} {op} {float(t)}"))
+        for m, op, t in rules
+    ]
+    fired = metrics.select(subject, F.explode(F.array_compact(F.array(*hits))).alias("rule"))
+    return fired.groupBy(subject).agg(F.array_sort(F.collect_set("rule")).alias("fired"))
 
 
 def expectations(
