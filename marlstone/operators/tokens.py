@@ -16,6 +16,7 @@ PAD, UNK, BOS, EOS = 0, 1, 2, 3
 FIRST_ID = 4
 
 BROADCAST_WORDS = 2_000_000
+_RARE = -1  # stands for a word outside the broadcast part until it is joined
 
 
 def build_vocabulary(df: DataFrame, text: str, min_freq: int = 2) -> DataFrame:
@@ -36,12 +37,13 @@ def _in_order(df: DataFrame, key: str, place: str, value: str, name: str) -> Dat
     return df.groupBy(key).agg(F.transform(listed, lambda p: p[value]).alias(name))
 
 
-def _shared_dictionary(vocabulary: DataFrame, limit: int):
-    """The vocabulary as a broadcast list of (word, token), or None when it has more than ``limit`` words."""
+def _frequent(vocabulary: DataFrame, limit: int):
+    """The most frequent words, up to ``limit``, as a broadcast (words, tokens), and whether that is all of them."""
     rows = vocabulary.select("word", "token").limit(limit + 1).toPandas()
-    if len(rows) > limit:
-        return None
-    return vocabulary.sparkSession.sparkContext.broadcast((rows["word"].tolist(), rows["token"].tolist()))
+    whole = len(rows) <= limit
+    if not whole:
+        rows = vocabulary.orderBy(F.desc("n"), "word").limit(limit).select("word", "token").toPandas()
+    return vocabulary.sparkSession.sparkContext.broadcast((rows["word"].tolist(), rows["token"].tolist())), whole
 
 
 def encode(
@@ -49,45 +51,55 @@ def encode(
 ) -> DataFrame:
     """(key, tokens): word ids in text order, unknown words as 1, with begin and end tokens if wanted.
 
-    A vocabulary of up to ``broadcast_limit`` words is sent to the tasks and no row moves. A larger one is
-    joined by word; ``key`` is unique, so a regrouped array is never longer than its text.
+    The ``broadcast_limit`` most frequent words are sent to the tasks. When that is the whole vocabulary no row moves;
+    otherwise only the rarer words are joined, so no joined word is hot. ``key`` is unique, so a regrouped
+    array is never longer than its text.
     """
-    shared = _shared_dictionary(vocabulary, broadcast_limit)
-    if shared is not None:
-
-        @F.pandas_udf("array<int>")
-        def look_up(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            ids = dict(zip(*shared.value, strict=True))
-            for batch in texts:
-                yield pd.Series([[ids.get(w, UNK) for w in t.split(" ") if w] for t in batch], dtype=object)
-
-        listed = df.select(key, look_up(F.coalesce(F.array_join(words(F.col(text)), " "), F.lit(""))).alias("tokens"))
-    else:
-        spread = df.select(key, F.posexplode_outer(words(F.col(text))).alias("_at", "word"))
-        known = spread.join(vocabulary.select("word", "token"), "word", "left")
-        coded = known.withColumn("_token", F.coalesce("token", F.lit(UNK)))
-        listed = _in_order(coded, key, "_at", "_token", "tokens")
+    shared, whole = _frequent(vocabulary, broadcast_limit)
+    absent = UNK if whole else _RARE
+
+    @F.pandas_udf("array<int>")
+    def look_up(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        ids = dict(zip(*shared.value, strict=True))
+        for batch in texts:
+            yield pd.Series([[ids.get(w, absent) for w in t.split(" ") if w] for t in batch], dtype=object)
+
+    listed = F.coalesce(words(F.col(text)), F.array().cast("array<string>"))
+    coded = df.select(key, listed.alias("_words")).withColumn("tokens", look_up(F.array_join("_words", " ")))
+    if not whole:
+        pairs = F.posexplode_outer(F.arrays_zip("_words", "tokens")).alias("_at", "_p")
+        spread = coded.select(key, pairs).select(key, "_at", F.col("_p._words").alias("word"), F.col("_p.tokens").alias("_token"))
+        rare = spread.where(F.col("_token") == _RARE).drop("_token")
+        found = rare.join(vocabulary.select("word", "token"), "word", "left").withColumn("_token", F.coalesce("token", F.lit(UNK)))
+        settled = spread.where(~F.col("_token").eqNullSafe(_RARE))
+        coded = _in_order(settled.unionByName(found.select(*settled.columns)), key, "_at", "_token", "tokens")
+    coded = coded.select(key, "tokens")
     if not special:
-        return listed
-    return listed.withColumn("tokens", F.concat(F.array(F.lit(BOS)), "tokens", F.array(F.lit(EOS))))
+        return coded
+    return coded.withColumn("tokens", F.concat(F.array(F.lit(BOS)), "tokens", F.array(F.lit(EOS))))
 
 
 def decode(df: DataFrame, key: str, tokens: str, vocabulary: DataFrame, broadcast_limit: int = BROADCAST_WORDS) -> DataFrame:
-    """(key, text): words of the ids, special tokens left out."""
-    shared = _shared_dictionary(vocabulary, broadcast_limit)
-    if shared is not None:
-
-        @F.pandas_udf("string")
-        def look_up(lists: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            named, ids = shared.value
-            names = dict(zip(ids, named, strict=True))
-            for batch in lists:
-                yield pd.Series([" ".join(names[t] for t in listed if t >= FIRST_ID) for listed in batch], dtype=object)
-
-        return df.select(key, look_up(F.col(tokens)).alias("text"))
-    spread = df.select(key, F.posexplode_outer(F.filter(F.col(tokens), lambda t: t >= FIRST_ID)).alias("_at", "token"))
-    named = spread.join(vocabulary.select("token", "word"), "token", "left")
-    return _in_order(named, key, "_at", "word", "_words").select(key, F.array_join("_words", " ").alias("text"))
+    """(key, text): words of the ids, special tokens left out. Large vocabularies are handled as in ``encode``."""
+    shared, whole = _frequent(vocabulary, broadcast_limit)
+
+    @F.pandas_udf("array<string>")
+    def look_up(lists: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        named, ids = shared.value
+        names = dict(zip(ids, named, strict=True))
+        for batch in lists:
+            yield pd.Series([[names.get(t) for t in listed] for listed in batch], dtype=object)
+
+    plain = df.select(key, F.filter(F.col(tokens), lambda t: t >= FIRST_ID).alias("_ids"))
+    named = plain.withColumn("_words", look_up("_ids"))
+    if not whole:
+        pairs = F.posexplode_outer(F.arrays_zip("_ids", "_words")).alias("_at", "_p")
+        spread = named.select(key, pairs).select(key, "_at", F.col("_p._ids").alias("token"), F.col("_p._words").alias("_word"))
+        rare = spread.where("_at IS NOT NULL AND _word IS NULL").drop("_word")
+        found = rare.join(vocabulary.select("token", F.col("word").alias("_word")), "token", "left")
+        settled = spread.where("_at IS NULL OR _word IS NOT NULL")
+        named = _in_order(settled.unionByName(found.select(*settled.columns)), key, "_at", "_word", "_words")
+    return named.select(key, F.array_join("_words", " ").alias("text"))
 
 
 def count_tokens(tokens: str) -> list[Column]:

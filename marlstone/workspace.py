@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
+_intermediates: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -37,5 +38,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back: cuts lineage, survives executor loss."""
     spark = df.sparkSession
     path = scratch(spark, label)
+    _intermediates.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_intermediates(spark: SparkSession) -> int:
+    """Delete what ``written`` stored in this session. Call it when the results that read from it are stored or collected."""
+    paths = _intermediates.pop(spark.sparkContext.applicationId, [])
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for path in paths:
+        target = hadoop.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return len(paths)
