@@ -97,7 +97,7 @@ def top_k(
     if len(sample) <= max_queries:
 
         def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            held = _merged(batches, scorer(sample), sample[query_id].to_numpy(), ids, k)
+            held = None if sample.empty else _merged(batches, scorer(sample), sample[query_id].to_numpy(), ids, k)
             if held is not None:
                 yield held
 

@@ -80,3 +80,16 @@ def test_nearest_others(spark, data):
     for r in got.collect():
         order = sorted((j for j in range(len(corpus)) if j != r["query_id"]), key=lambda j: (-scores[j, r["query_id"]], j))
         assert order[r["rank"] - 1] == r["other_id"]
+
+
+def test_text_ids_and_missing_text(spark):
+    corpus = spark.createDataFrame([("b", "x y"), ("a", "x y"), ("c", None), ("d", "")], "id string, text string")
+    asked = spark.createDataFrame([("q", "x y")], "qid string, query string")
+    got = blocks.top_k(corpus, ["id"], asked, "qid", vectors.text_scorer(16), 4).orderBy("rank").collect()
+    assert [(r["query_id"], r["id"], r["score"]) for r in got] == [("q", "a", 1.0), ("q", "b", 1.0), ("q", "c", 0.0), ("q", "d", 0.0)]
+
+
+def test_no_queries_no_rows(spark, data):
+    _, _, c, q = data
+    assert blocks.top_k(c, ["id"], q.limit(0), "qid", vectors.vector_scorer("dot"), 3).count() == 0
+    assert blocks.top_k(c.limit(0), ["id"], q, "qid", vectors.vector_scorer("dot"), 3).count() == 0
