@@ -49,6 +49,8 @@ def fixed_window(
 
 # --- sliding log ----------------------------------------------------------------------
 
+NO_KEY = "\u0000"  # stands for a missing key
+STATE = "_key string, _at bigint"
 
 class _Log:
     """Times of the admitted requests still inside the window, of one key."""
@@ -224,23 +226,28 @@ def sliding_log(
     carried: DataFrame | None = None,
     chunk_rows: int = CHUNK_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
-    """Decisions (all columns + allowed, remaining) and the trailing log (key, _at) of every key.
+    """Decisions (all columns + allowed, remaining) and the trailing log (_key, _at) of every key.
 
     A request is admitted while fewer than ``limit`` admitted ones lie within the last ``seconds``; refused requests are not kept.
     ``carried`` is the trailing log of an earlier call, for requests that come in batches. ``tie`` is a unique id.
+    Requests without a key share one log.
     """
-    window = seconds * 1_000_000
-    asked = log.select(key, micros(ts, log.schema[ts].dataType).alias("_at"), F.col(tie).alias("_tie"))
-    rows = written(positioned(asked, [key, "_at", "_tie"], chunk_rows).drop("_pos"), "requests")
+    window, own = seconds * 1_000_000, "_key"
+    asked = log.select(
+        F.coalesce(F.col(key).cast("string"), F.lit(NO_KEY)).alias(own),
+        micros(ts, log.schema[ts].dataType).alias("_at"),
+        F.col(tie).alias("_tie"),
+    )
+    rows = written(positioned(asked, [own, "_at", "_tie"], chunk_rows).drop("_pos"), "requests")
     first = None
     if carried is not None:
-        first = carried.join(rows.groupBy(key).agg(F.min("_chunk").alias("_chunk")), key).select(key, "_chunk", "_at")
-    seeds = _settle(rows, first, key, limit, window)
-    decided = _decisions(rows, seeds, key, limit, window).withColumnRenamed("_tie", tie)
-    last = rows.groupBy(key).agg(F.max("_chunk").alias("_chunk"))
-    final = rows.join(last, [key, "_chunk"], "left_semi")
-    final_seeds = None if seeds is None else seeds.join(last, [key, "_chunk"], "left_semi")
-    ends = _trailing(final, final_seeds, key, limit, window).select(key, "_at")
+        first = carried.join(rows.groupBy(own).agg(F.min("_chunk").alias("_chunk")), own).select(own, "_chunk", "_at")
+    seeds = _settle(rows, first, own, limit, window)
+    decided = _decisions(rows, seeds, own, limit, window).withColumnRenamed("_tie", tie)
+    last = rows.groupBy(own).agg(F.max("_chunk").alias("_chunk"))
+    final = rows.join(last, [own, "_chunk"], "left_semi")
+    final_seeds = None if seeds is None else seeds.join(last, [own, "_chunk"], "left_semi")
+    ends = _trailing(final, final_seeds, own, limit, window).select(own, "_at")
     if carried is not None:
-        ends = ends.unionByName(carried.select(key, "_at").join(rows.select(key).distinct(), key, "left_anti"))
+        ends = ends.unionByName(carried.select(own, "_at").join(rows.select(own).distinct(), own, "left_anti"))
     return log.join(decided, tie), ends

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marlstone.operators.admission import micros, sliding_log
+from marlstone.operators.admission import STATE, micros, sliding_log
 from marlstone.operators.quality import alerts
 
 
@@ -139,12 +139,11 @@ def admit(log: DataFrame, path: str, key: str, ts: str, tie: str, limit: int, se
     the work is split as in the batch operator, so a hot key is not one task.
     """
     spark = log.sparkSession
-    state_layout = T.StructType([T.StructField(key, log.schema[key].dataType), T.StructField("_at", T.LongType())])
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         own = batch.sparkSession
         # batch ids count up from 0 without gaps, and the state of a batch is written before its commit
-        carried = own.read.schema(state_layout).parquet(f"{path}/state/{batch_id - 1}") if batch_id else None
+        carried = own.read.schema(STATE).parquet(f"{path}/state/{batch_id - 1}") if batch_id else None
         decided, ends = sliding_log(batch, key, ts, tie, limit, seconds, carried=carried)
         decided.write.mode("overwrite").parquet(f"{path}/decisions/batch={batch_id}")
         ends.write.mode("overwrite").parquet(f"{path}/state/{batch_id}")

@@ -63,3 +63,14 @@ def test_fixed_window(hot_events, log, chunk):
         if want[i]:  # only admitted requests count, which gives the same answer
             used[at // 600] = (n + 1, t + i % 13)
     assert got == want
+
+
+@pytest.mark.parametrize("chunk", [2, 100])
+def test_requests_without_a_key_share_a_log(spark, chunk):
+    rows = [(i, None if i % 2 else "a", i) for i in range(12)]
+    df = spark.createDataFrame(rows, "id bigint, key string, s int").select(
+        "id", "key", F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, s)").alias("ts")
+    )
+    decided, _ = sliding_log(df, "key", "ts", "id", 2, 5, chunk_rows=chunk)
+    got = {r["id"]: (r["allowed"], r["remaining"]) for r in decided.collect()}
+    assert got == fold([(i, k or "-", s) for i, k, s in rows], 2, 5)
