@@ -12,10 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.functions.embed import matrix, word_hash
+from marlstone.functions.vectors import TINY_NORM
 from marlstone.operators.blocks import Scorer, top_k
 
-TINY_NORM = 1e-10
-
 
 def centroids(df: DataFrame, label: str, vector: str) -> DataFrame:
     """(query_id, query): mean vector of each label, by a partial aggregate over whole vectors."""

@@ -58,12 +58,27 @@ def duck_rows(db, sql):
     return sorted(have), rows
 
 
+SQL_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def differences(df, db, sql) -> str:
-    """Empty when both sides agree exactly."""
+    """Empty when both sides agree exactly, in names, types and values."""
     names, ours = spark_rows(df)
     their_names, theirs = duck_rows(db, sql)
     if names != their_names:
         return f"columns {names} vs {their_names}"
+    types = {c: SQL_TYPES.get(t, t) for c, t in df.dtypes}
+    their_types = {c[0]: str(c[1]) for c in db.execute(f"DESCRIBE {sql}").fetchall()}
+    if types != their_types:
+        return f"types {types} vs {their_types}"
     if len(ours) != len(theirs):
         return f"{len(ours)} rows vs {len(theirs)}"
     wrong = [(a, b) for a, b in zip(ours, theirs) if a != b]
