@@ -100,18 +100,18 @@ def out_of_place(own: np.ndarray, ranks: np.ndarray) -> np.ndarray:
     return np.where(there < RANKS, np.abs(there - np.arange(len(own))), RANKS).sum(axis=1)
 
 
-def predict(df: DataFrame, keep: list[str], known: dict[str, np.ndarray], text: str = "text") -> DataFrame:
-    """``keep``, lang_pred and score for every whole text.
+def predict(df: DataFrame, keep: list[str], known: dict[str, np.ndarray], text: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``keep``, lang_pred and score (or ``names``) for every whole text.
 
     lang_pred is the language whose profile is least out of place, the first in order on a tie; `und` (score 0) for a
     null text, one without a letter, or without any profile. The score is 1 for grams that all stand at their
     ranks, 0 when the profile has none of them.
     """
-    names = list(known)
+    langs = list(known)
 
     def factory():
         table = letter_table()
-        ranks = np.full((len(names), SLOTS), RANKS, dtype=np.int16)
+        ranks = np.full((len(langs), SLOTS), RANKS, dtype=np.int16)
         for row, slots in zip(ranks, known.values(), strict=True):
             row[slots] = np.arange(len(slots))
 
@@ -122,18 +122,18 @@ def predict(df: DataFrame, keep: list[str], known: dict[str, np.ndarray], text:
             ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(texts)))])
             found, scores = ["und"] * len(texts), [0.0] * len(texts)
             for i, (a, b) in enumerate(zip(ends, ends[1:], strict=False)):
-                if not names or a == b:
+                if not langs or a == b:
                     # letters beyond the basic plane are in no profile
                     continue
                 own = ranked(slots[a:b])
                 distance = out_of_place(own, ranks)
                 best = int(np.argmin(distance))
-                found[i], scores[i] = names[best], float(1 - distance[best] / (RANKS * len(own)))
+                found[i], scores[i] = langs[best], float(1 - distance[best] / (RANKS * len(own)))
             return found, scores
 
         return work
 
-    fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    fields = [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())]
     return map_texts(df, keep, text, fields, factory)
 
 

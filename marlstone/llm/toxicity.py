@@ -7,6 +7,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,7 +15,7 @@ from pyspark.sql import types as T
 from marlstone.llm.texts import code_points, held_out, map_texts, slices
 
 #: Lengths of grams, and values of their hashes.
-SIZES, SLOTS = (3, 4, 5), 1 << 22
+SIZES, SLOTS = (3, 4, 5, 6), 1 << 22
 #: Labelled rows that the classifier is fitted on at most, the first ones by a hash of their id.
 SAMPLE_ROWS = 20_000
 #: Grams with a weight at most, and the standard errors that a log-count ratio must be away from 0.
@@ -141,12 +142,12 @@ def fit(sample: DataFrame) -> Classifier:
 
         return work
 
-    rows = map_texts(sample, ["label"], "text", [T.StructField("features", T.ArrayType(T.ShortType()))], factory).collect()
-    rows.sort(key=lambda r: (r["label"], r["features"]))
-    lists = [np.array(r["features"], dtype=np.int64) for r in rows]
-    labels = np.array([r["label"] for r in rows], dtype=float)
-    texts = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    weights, bias = descend(texts.astype(np.int64), np.concatenate([*lists, np.empty(0, np.int64)]), labels, ratio)
+    found = map_texts(sample, ["label"], "text", [T.StructField("features", T.ArrayType(T.ShortType()))], factory).toArrow().combine_chunks()
+    labels = found["label"].to_numpy().astype(float)
+    features = found["features"]
+    sizes = pc.fill_null(pc.list_value_length(features), 0).to_numpy().astype(np.int64)
+    texts = np.repeat(np.arange(len(labels)), sizes)
+    weights, bias = descend(texts, pc.list_flatten(features).to_numpy().astype(np.int64), labels, ratio)
     return Classifier(slots, weights * ratio, bias)
 
 
