@@ -1,9 +1,9 @@
 """Exact scoring of every query against every corpus row, without a cross join.
 
-Corpus partitions stream through ``mapInPandas``; each Arrow batch is scored against the
-queries as one matrix, and only the best ``k`` rows per query leave the task. The
-query table rides along in the task closure while it has at most ``MAX_QUERIES`` rows. Beyond that,
-queries and corpus are cut into blocks that meet in a grid (``cogroup``), with the same result.
+Corpus partitions stream through ``mapInPandas``; each Arrow batch is scored against a block of
+queries as one matrix, and only the best ``k`` rows per query leave the task. Queries are dealt to blocks by a hash of their
+id. One block at a time is on the driver and travels with the tasks; what its pass over the corpus finds is written before
+the next block is read. The corpus is neither shuffled nor copied, however many blocks there are.
 """
 
 from __future__ import annotations
@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_QUERIES = 4096
-CORPUS_BLOCK = 50_000
+from marlstone.workspace import written
+
+BLOCK_QUERIES = 2048
 MATRIX_CELLS = 4_000_000
 SCORE_DIGITS = 8
 
@@ -29,17 +30,16 @@ Scorer = Callable[[pd.DataFrame], Callable[[pd.DataFrame], np.ndarray]]
 def _best(scores: np.ndarray, order: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Row and query indexes of the best k rows per query: score descending, ``order`` ascending.
 
-    ``order`` ranks the rows of the batch by id.
+    ``order`` ranks the rows of the batch by id. A score that is not a number belongs to no result.
     """
-    n, _ = scores.shape
-    rows, columns = [], []
-    cuts = np.partition(scores, n - k, axis=0)[n - k] if n > k else np.full(scores.shape[1], -np.inf)
-    for q in range(scores.shape[1]):
-        near = np.flatnonzero(scores[:, q] >= cuts[q])
-        near = near[np.lexsort((order[near], -scores[near, q]))][:k]
-        rows.append(near)
-        columns.append(np.full(len(near), q))
-    return np.concatenate(rows), np.concatenate(columns)
+    n, n_queries = scores.shape
+    scores = np.where(np.isnan(scores), -np.inf, scores)
+    cuts = np.partition(scores, n - k, axis=0)[n - k] if n > k else np.full(n_queries, -np.inf)
+    rows, columns = np.nonzero((scores >= cuts) & (scores > -np.inf))
+    sorted_ = np.lexsort((order[rows], -scores[rows, columns], columns))
+    rows, columns = rows[sorted_], columns[sorted_]
+    place = np.arange(len(columns)) - np.searchsorted(columns, np.arange(n_queries))[columns]
+    return rows[place < k], columns[place < k]
 
 
 def _trim(pdf: pd.DataFrame, ids: list[str], k: int) -> pd.DataFrame:
@@ -48,7 +48,7 @@ def _trim(pdf: pd.DataFrame, ids: list[str], k: int) -> pd.DataFrame:
 
 
 def _score_batch(pdf, score, query_ids, ids, k):
-    if len(pdf) == 0 or len(query_ids) == 0:
+    if len(pdf) == 0:
         return None
     scores = np.round(score(pdf), SCORE_DIGITS)
     order = np.empty(len(pdf), dtype=np.int64)
@@ -78,60 +78,51 @@ def _merged(batches: Iterator[pd.DataFrame], score, query_ids, ids, k) -> pd.Dat
     return held
 
 
+def _blocks(queries: DataFrame, query_id: str, most: int) -> Iterator[pd.DataFrame]:
+    """The queries in blocks of about ``most`` rows, one at a time."""
+    queries = written(queries, "queries")
+    blocks = max(1, math.ceil(queries.count() / most))
+    for block in range(blocks):
+        asked = queries.where(F.pmod(F.xxhash64(query_id), F.lit(blocks)) == block).toPandas()
+        if len(asked):
+            yield asked
+
+
+def _over_blocks(corpus: DataFrame, queries: DataFrame, query_id: str, most: int, task: Callable, schema: T.StructType) -> DataFrame:
+    """What ``task(asked)`` finds in the corpus for every block of queries, each pass written."""
+    found = corpus.sparkSession.createDataFrame([], schema)
+    for asked in _blocks(queries, query_id, most):
+        found = found.unionByName(written(corpus.mapInPandas(task(asked), schema), "scores"))
+    return found
+
+
 def top_k(
-    corpus: DataFrame,
-    ids: list[str],
-    queries: DataFrame,
-    query_id: str,
-    scorer: Scorer,
-    k: int,
-    max_queries: int = MAX_QUERIES,
-    corpus_block: int = CORPUS_BLOCK,
+    corpus: DataFrame, ids: list[str], queries: DataFrame, query_id: str, scorer: Scorer, k: int, block_queries: int = BLOCK_QUERIES
 ) -> DataFrame:
     """(query_id, ids..., score, rank): the k best corpus rows of each query, ties by id."""
     id_fields = [corpus.schema[c] for c in ids]
-    fields = [T.StructField("query_id", queries.schema[query_id].dataType), *id_fields, T.StructField("score", T.DoubleType())]
-    schema = T.StructType(fields)
-    head = queries.limit(max_queries + 1)
-    sample = head.toPandas()
-    if len(sample) <= max_queries:
+    schema = T.StructType([T.StructField("query_id", queries.schema[query_id].dataType), *id_fields, T.StructField("score", T.DoubleType())])
 
+    def part(asked: pd.DataFrame):
         def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            held = None if sample.empty else _merged(batches, scorer(sample), sample[query_id].to_numpy(), ids, k)
+            held = _merged(batches, scorer(asked), asked[query_id].to_numpy(), ids, k)
             if held is not None:
                 yield held
 
-        partial = corpus.mapInPandas(task, schema)
-    else:
-        query_blocks = math.ceil(queries.count() / max_queries)
-        corpus_blocks = max(1, math.ceil(corpus.count() / corpus_block))
-        left = queries.withColumn("_qb", F.pmod(F.xxhash64(query_id), F.lit(query_blocks))).withColumn(
-            "_cb", F.explode(F.sequence(F.lit(0), F.lit(corpus_blocks - 1)))
-        )
-        right = corpus.withColumn("_cb", F.pmod(F.xxhash64(*ids), F.lit(corpus_blocks)).cast("int")).withColumn(
-            "_qb", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(query_blocks - 1).cast("bigint")))
-        )
-
-        def cell(asked: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-            if len(asked) == 0 or len(rows) == 0:
-                return pd.DataFrame({f.name: [] for f in fields})
-            return _merged(iter([rows]), scorer(asked), asked[query_id].to_numpy(), ids, k)
-
-        partial = left.groupBy("_qb", "_cb").cogroup(right.groupBy("_qb", "_cb")).applyInPandas(cell, schema)
+        return task
+
+    partial = _over_blocks(corpus, queries, query_id, block_queries, part, schema)
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), *ids)
     return partial.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
 
 
 def score_summary(
-    corpus: DataFrame, ids: list[str], queries: DataFrame, query_id: str, scorer: Scorer, max_queries: int = MAX_QUERIES
+    corpus: DataFrame, ids: list[str], queries: DataFrame, query_id: str, scorer: Scorer, block_queries: int = BLOCK_QUERIES
 ) -> DataFrame:
     """(query_id, n_scored, mean_score, best_score, best ids...): all pairs scored, one row per query kept.
 
-    Queries beyond ``max_queries`` are handled in further passes over the corpus.
+    Scores that are not a number count neither as scored nor in the mean.
     """
-    n_queries = queries.count()
-    passes = max(1, math.ceil(n_queries / max_queries))
-    blocks = queries.withColumn("_pass", F.pmod(F.xxhash64(query_id), F.lit(passes)))
     schema = T.StructType(
         [
             T.StructField("query_id", queries.schema[query_id].dataType),
@@ -146,22 +137,22 @@ def score_summary(
         def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             score, names = scorer(asked), asked[query_id].to_numpy()
             for pdf in _slices(batches, len(names)):
+                if pdf.empty:
+                    continue
                 scores = np.round(score(pdf), SCORE_DIGITS)
-                best = _score_batch(pdf, lambda _: scores, names, ids, 1)
-                best.insert(1, "n", len(pdf))
-                best.insert(2, "total", scores.sum(axis=0))
+                order = np.empty(len(pdf), dtype=np.int64)
+                order[np.lexsort([pdf[c].to_numpy() for c in reversed(ids)])] = np.arange(len(pdf))
+                rows, columns = _best(scores, order, 1)
+                best = pdf[ids].iloc[rows].reset_index(drop=True)
+                best.insert(0, "query_id", names[columns])
+                best["n"] = (~np.isnan(scores)).sum(axis=0)[columns]
+                best["total"] = np.nansum(scores, axis=0)[columns]
+                best["score"] = scores[rows, columns]
                 yield best
 
         return task
 
-    partial = None
-    for p in range(passes):
-        asked = blocks.where(F.col("_pass") == p).drop("_pass").toPandas()
-        if len(asked):
-            found = corpus.mapInPandas(part(asked), schema)
-            partial = found if partial is None else partial.unionByName(found)
-    if partial is None:
-        raise ValueError("no queries")
+    partial = _over_blocks(corpus, queries, query_id, block_queries, part, schema)
     lead = F.struct((-F.col("score")).alias("_minus"), *ids)  # its minimum: best score, then smallest id
     grouped = partial.groupBy("query_id").agg(
         F.sum("n").alias("n_scored"),

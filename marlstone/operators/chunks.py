@@ -121,39 +121,41 @@ def packed_chunks(df: DataFrame, doc_id: str, text: str, size: int, separator: s
     return df.select(doc_id, F.posexplode(pack(F.col(text))).alias("chunk_no", "text"))
 
 
-def _merged(pieces: Sequence[str], separator: str, size: int, overlap: int) -> list[str]:
+def _merged(pieces: Sequence[str], size: int, overlap: int) -> list[str]:
     """Pieces joined up to ``size``; each chunk begins with the last pieces of the one before, up to ``overlap``."""
     chunks: list[str] = []
     held: list[str] = []
     for piece in pieces:
-        if held and len(separator.join([*held, piece])) > size:
-            chunks.append(separator.join(held).strip())
-            while held and (len(separator.join(held)) > overlap or len(separator.join([*held, piece])) > size):
+        if held and len("".join([*held, piece]).strip()) > size:
+            chunks.append("".join(held).strip())
+            while held and (len("".join(held).strip()) > overlap or len("".join([*held, piece]).strip()) > size):
                 held.pop(0)
         held.append(piece)
     if held:
-        chunks.append(separator.join(held).strip())
+        chunks.append("".join(held).strip())
     return [c for c in chunks if c]
 
 
 def split_recursively(text: str, separators: Sequence[str], size: int, overlap: int) -> list[str]:
-    """Split at the first separator that occurs, go deeper for pieces over ``size``, merge the rest."""
+    """Split behind the first separator that occurs, go deeper for pieces over ``size``, merge the rest.
+
+    A separator stays with the piece in front of it, so chunks lose nothing but white space at their ends.
+    """
     present = [s for s in separators if s in text]
     if not present:
         return [text.strip()] if text.strip() else []
     separator, deeper = present[0], list(separators)[list(separators).index(present[0]) + 1 :]
+    *front, last = text.split(separator)
     chunks: list[str] = []
     small: list[str] = []
-    for piece in text.split(separator):
-        if not piece:
-            continue
-        if len(piece) <= size:
+    for piece in [*(f + separator for f in front), last]:
+        if len(piece.strip()) <= size:
             small.append(piece)
             continue
-        chunks += _merged(small, separator, size, overlap)
+        chunks += _merged(small, size, overlap)
         small = []
         chunks += split_recursively(piece, deeper, size, overlap)
-    return chunks + _merged(small, separator, size, overlap)
+    return chunks + _merged(small, size, overlap)
 
 
 # fixed values: paragraph, line, sentence, word

@@ -175,33 +175,30 @@ def quantiles(
     keys: Sequence[str],
     value: str,
     probabilities: Mapping[str, float],
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """Exact interpolated quantiles per key, read off a distributed sort.
+    """Exact interpolated quantiles per key, read off running counts of distinct values.
 
-    ``percentile`` keeps every distinct value of a group in one aggregation buffer; this
-    looks up two positions per quantile instead. Null values are left out.
+    Equal values are counted before anything is shuffled or sorted, so a value that half of the rows have is one row.
+    ``percentile`` would keep every distinct value of a group in one aggregation buffer; this looks up two
+    positions per quantile instead. Null values are left out.
     """
-    rows = df.where(F.col(value).isNotNull()).select(*keys, value)
-    placed = positioned(rows, [*keys, value]).select(*keys, value, "_pos")
-    spans = placed.groupBy(*keys).agg(F.min("_pos").alias("_first"), F.count("*").alias("_n"))
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    upto = running_totals(counts, keys, [value], {"_upto": F.col("_n")}, chunk_rows=chunk_rows)
+    spans = written(upto, "counts").withColumn("_from", F.col("_upto") - F.col("_n")).drop("_n")
     wanted = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(float(p)).alias("p")) for n, p in probabilities.items()])
-    targets = (
-        spans.withColumn("_q", F.explode(wanted))
-        .withColumn("_exact", F.col("_q.p") * (F.col("_n") - 1))
-        .withColumn("_low", F.col("_first") + F.floor("_exact"))
-        .withColumn("_high", F.col("_first") + F.ceil("_exact"))
-        .withColumn("_share", F.col("_exact") - F.floor("_exact"))
-    )
-    ends = targets.select(
-        *keys, F.col("_q.name").alias("_name"), F.col("_low").alias("_pos"), (1 - F.col("_share")).alias("_weight")
-    ).unionByName(
-        targets.select(*keys, F.col("_q.name").alias("_name"), F.col("_high").alias("_pos"), F.col("_share").alias("_weight"))
-    )
-    # written, so that Spark knows its size and broadcasts it when it is small
-    hits = placed.select("_pos", value).join(written(ends, "targets"), "_pos")
-    return hits.groupBy(*keys).agg(
-        *[
-            F.sum(F.when(F.col("_name") == n, F.col(value) * F.col("_weight"))).alias(n)
-            for n in probabilities
-        ]
-    )
+    exact = F.col("_q.p") * (F.col("_all") - 1)
+    targets = spans.groupBy(*keys).agg(F.max("_upto").alias("_all")).withColumn("_q", F.explode(wanted)).withColumn("_share", exact - F.floor(exact))
+    ends = targets.select(*keys, F.col("_q.name").alias("_name"), F.floor(exact).alias("_low"), F.ceil(exact).alias("_high"), "_share")
+    # one row per key, written, so that Spark knows its size and broadcasts it when it is small
+    low, high = F.struct("_name", F.col("_low").alias("_at"), (1 - F.col("_share")).alias("_weight")), F.struct("_name", F.col("_high").alias("_at"), F.col("_share").alias("_weight"))
+    listed = written(ends.groupBy(*keys).agg(F.flatten(F.collect_list(F.array(low, high))).alias("_ends")), "targets")
+    same = F.lit(True)
+    for k in keys:
+        same = same & spans[k].eqNullSafe(listed[k])
+    if keys:
+        placed = spans.join(listed, same).select(*[spans[k] for k in keys], spans[value], "_from", "_upto", "_ends")
+    else:
+        placed = spans.withColumn("_ends", listed.select("_ends").scalar())
+    hits = placed.withColumn("_hit", F.explode(F.filter("_ends", lambda e: (e["_at"] >= F.col("_from")) & (e["_at"] < F.col("_upto")))))
+    return hits.groupBy(*keys).agg(*[F.sum(F.when(F.col("_hit._name") == n, F.col(value) * F.col("_hit._weight"))).alias(n) for n in probabilities])

@@ -128,17 +128,11 @@ def chat_start_tags(instruction: Column, given: Column, output: Column) -> Colum
     )
 
 
-def flatten_conversations(chat: DataFrame, turns_per_part: int = 1000) -> DataFrame:
-    """(conv_id, part, prompt): 'role: text' lines in turn order.
-
-    A conversation of up to ``turns_per_part`` turns is one part; a longer one goes on in the next
-    part, so no task ever holds an unbounded conversation.
-    """
+def flatten_conversations(chat: DataFrame) -> DataFrame:
+    """(conv_id, prompt): 'role: text' lines in turn order, one row per conversation however long it is."""
     line = F.concat("role", F.lit(": "), "text")
     listed = F.array_sort(F.collect_list(F.struct("turn", line.alias("line"))))
-    return chat.groupBy("conv_id", F.expr(f"turn div {int(turns_per_part)}").alias("part")).agg(
-        F.array_join(F.transform(listed, lambda t: t["line"]), "\n").alias("prompt")
-    )
+    return chat.groupBy("conv_id").agg(F.array_join(F.transform(listed, lambda t: t["line"]), "\n").alias("prompt"))
 
 
 def last_user_message(chat: DataFrame) -> DataFrame:

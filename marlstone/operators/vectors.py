@@ -86,7 +86,13 @@ def nearest_others(vectors: DataFrame, k: int, **block_sizes: int) -> DataFrame:
     )
 
 
+def reject_reason(vector: Column, dim: int) -> Column:
+    """Why a vector cannot be searched: `missing`, `length` or `not a number`; null for a good one."""
+    odd = F.exists(vector, lambda x: x.isNull() | F.isnan(x))
+    return F.when(vector.isNull(), "missing").when(F.size(vector) != dim, "length").when(odd, "not a number")
+
+
 def split_by_dimension(df: DataFrame, vector: str, dim: int) -> tuple[DataFrame, DataFrame]:
-    """Rows whose vector has ``dim`` slots, and the rejected rest."""
-    right = F.coalesce(F.size(vector) == dim, F.lit(False))
-    return df.where(right), df.where(~right)
+    """Rows with a good vector of ``dim`` slots, and the rejected rest with a column ``reason``. Search the first part only."""
+    reason = reject_reason(F.col(vector), dim)
+    return df.where(reason.isNull()), df.withColumn("reason", reason).where("reason IS NOT NULL")

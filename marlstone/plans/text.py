@@ -99,11 +99,10 @@ def padded_batch(spark, folder):
 )
 def corpus_report(spark, folder):
     documents, words = _vocabulary(spark, folder)
-    counted = tk.encode(documents, "doc_id", "text", words, special=False).select("doc_id", *tk.count_tokens("tokens"))
+    counted = tk.encode(documents, "doc_id", "text", words, special=False, carry=["lang"]).select("lang", *tk.count_tokens("tokens"))
     total, unknown = F.sum("total_tokens"), F.sum("unknown_tokens")
     return (
-        counted.join(documents.select("doc_id", "lang"), "doc_id")
-        .groupBy("lang")
+        counted.groupBy("lang")
         .agg(
             F.count("*").alias("total_texts"),
             total.alias("total_tokens"),
@@ -332,7 +331,7 @@ def sample_length(spark, folder):
 
 @query(
     "txt_20_flatten_conversation",
-    """SELECT conv_id, turn // 1000 AS part, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS prompt FROM conversations GROUP BY 1, 2""",
+    """SELECT conv_id, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS prompt FROM conversations GROUP BY 1""",
 )
 def flatten_conversation(spark, folder):
     return pr.flatten_conversations(table(spark, folder, "conversations"))

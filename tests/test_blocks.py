@@ -27,7 +27,7 @@ def brute(corpus, queries, metric, k):
 
 
 @pytest.mark.parametrize("metric", ["cosine", "dot", "euclidean"])
-@pytest.mark.parametrize("sizes", [{}, {"max_queries": 4, "corpus_block": 13}])
+@pytest.mark.parametrize("sizes", [{}, {"block_queries": 4}])
 @pytest.mark.parametrize("k", [1, 6, 400])
 def test_top_k(data, metric, sizes, k):
     corpus, queries, c, q = data
@@ -45,7 +45,7 @@ def test_small_matrices(data, monkeypatch):
 @pytest.mark.parametrize("most", [4096, 5])
 def test_score_summary(data, most):
     corpus, queries, c, q = data
-    got = blocks.score_summary(c, ["id"], q, "qid", vectors.vector_scorer("cosine"), max_queries=most).collect()
+    got = blocks.score_summary(c, ["id"], q, "qid", vectors.vector_scorer("cosine"), block_queries=most).collect()
     scores = np.round(vectors.similarities(corpus, queries, "cosine"), 8)
     assert len(got) == len(queries)
     for r in got:
@@ -75,7 +75,7 @@ def test_metadata_predicates(spark):
 def test_nearest_others(spark, data):
     corpus, _, c, _ = data
     vectors_in = c.select(F.col("id").alias("query_id"), F.col("embedding").alias("query"))
-    got = vectors.nearest_others(vectors_in, 3, max_queries=20, corpus_block=40)
+    got = vectors.nearest_others(vectors_in, 3, block_queries=20)
     scores = np.round(vectors.similarities(corpus, corpus, "cosine"), 8)
     for r in got.collect():
         order = sorted((j for j in range(len(corpus)) if j != r["query_id"]), key=lambda j: (-scores[j, r["query_id"]], j))
@@ -93,3 +93,20 @@ def test_no_queries_no_rows(spark, data):
     _, _, c, q = data
     assert blocks.top_k(c, ["id"], q.limit(0), "qid", vectors.vector_scorer("dot"), 3).count() == 0
     assert blocks.top_k(c.limit(0), ["id"], q, "qid", vectors.vector_scorer("dot"), 3).count() == 0
+
+
+def test_not_a_number_takes_no_place(spark):
+    rows = [(0, [0.9]), (1, [0.8]), (2, [0.7]), (3, [float("nan")]), (4, [0.1]), (5, [float("nan")])]
+    corpus = spark.createDataFrame(rows, "id long, embedding array<double>").coalesce(1)
+    asked = spark.createDataFrame([(9, [1.0])], "qid long, query array<double>")
+    got = blocks.top_k(corpus, ["id"], asked, "qid", vectors.vector_scorer("dot"), 3).orderBy("rank").collect()
+    assert [r["id"] for r in got] == [0, 1, 2]
+    total = blocks.score_summary(corpus, ["id"], asked, "qid", vectors.vector_scorer("dot")).first()
+    assert (total["n_scored"], total["id"]) == (4, 0) and total["mean_score"] == pytest.approx(0.625)
+
+
+def test_bad_vectors_are_set_aside_with_a_reason(spark):
+    rows = [(0, [1.0, 2.0]), (1, None), (2, [1.0]), (3, [1.0, None]), (4, [float("nan"), 1.0]), (5, [])]
+    good, bad = vectors.split_by_dimension(spark.createDataFrame(rows, "id long, embedding array<double>"), "embedding", 2)
+    assert [r["id"] for r in good.collect()] == [0]
+    assert {r["id"]: r["reason"] for r in bad.collect()} == {1: "missing", 2: "length", 3: "not a number", 4: "not a number", 5: "length"}

@@ -99,3 +99,16 @@ def test_as_of(hot_events):
     for r in labels.collect():
         before = [(at, i) for k, at, i in known if k == r["key"] and at <= r["at"]]
         assert got[r["id"]] == (max(before)[1] if before else None)
+
+
+@pytest.mark.parametrize("keys", [[], ["key"]])
+def test_quantiles_of_a_value_that_half_of_the_rows_have(spark, keys):
+    df = spark.range(4000).select(
+        F.when(F.col("id") % 2 == 0, 0.0).otherwise(F.pmod(F.hash("id"), F.lit(1000)).cast("double")).alias("v"),
+        F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.col("id") % 3).alias("key"),
+    )
+    got = ordered.quantiles(df, keys, "v", {"a": 0.25, "b": 0.5, "c": 0.999}, chunk_rows=50).collect()
+    frame = df.toPandas()
+    groups = frame.groupby("key", dropna=False) if keys else [(None, frame)]
+    want = [[g["v"].quantile(p) for p in (0.25, 0.5, 0.999)] for _, g in groups]
+    assert np.allclose(sorted([r["a"], r["b"], r["c"]] for r in got), sorted(want))

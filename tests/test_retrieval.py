@@ -90,12 +90,16 @@ def test_packed_paragraphs(documents):
 def test_recursive_split(documents):
     for r in ch.recursive_chunks(documents, "doc_id", "text", 50, 10).collect():
         assert 0 < len(r["text"]) <= 50
-        assert r["text"].split()[0].rstrip(".") in texts(documents)[r["doc_id"]]
+        assert r["text"].split()[0] in texts(documents)[r["doc_id"]]
     covered = {}
     for r in ch.recursive_chunks(documents, "doc_id", "text", 50, 0).orderBy("doc_id", "chunk_no").collect():
         covered[r["doc_id"]] = covered.get(r["doc_id"], "") + "".join(r["text"].split())
     for d, t in texts(documents).items():
-        assert covered.get(d, "").replace(".", "") == "".join(t.split()).replace(".", "")
+        assert covered.get(d, "") == "".join(t.split())
+
+
+def test_recursive_split_keeps_its_separators():
+    assert ch.split_recursively("Aaaa aa. Bbbb bb. Cccc cc. Dd", ch.SEPARATORS, 10, 0) == ["Aaaa aa.", "Bbbb bb.", "Cccc cc.", "Dd"]
 
 
 def test_recursive_split_overlaps():

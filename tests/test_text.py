@@ -34,7 +34,7 @@ def test_vocabulary(vocabulary):
 
 @pytest.mark.parametrize("limit", [100, 2])
 def test_encode_and_decode(texts, vocabulary, limit):
-    coded = tk.encode(texts, "id", "text", vocabulary, broadcast_limit=limit)
+    coded = tk.encode(texts, "id", "text", vocabulary, shared_words=limit)
     got = {r["id"]: r["tokens"] for r in coded.collect()}
     assert got == {
         0: [2, 6, 5, 1, 1, 3],
@@ -44,10 +44,19 @@ def test_encode_and_decode(texts, vocabulary, limit):
         4: [2, 3],
         5: [2, 4, 1, 3],
     }
-    back = {r["id"]: r["text"] for r in tk.decode(coded, "id", "tokens", vocabulary, broadcast_limit=limit).collect()}
+    back = {r["id"]: r["text"] for r in tk.decode(coded, "id", "tokens", vocabulary, shared_words=limit).collect()}
     assert back[1] == "deep learning neural networks" and back[4] == "" and back[5] == "deep"
 
 
+@pytest.mark.parametrize("limit", [100, 2, 0])
+def test_repeated_keys_stay_apart(spark, vocabulary, limit):
+    twice = spark.createDataFrame([(1, "deep learning x", "a"), (1, "deep learning x", "b"), (1, None, "c")], "id bigint, text string, mark string")
+    coded = tk.encode(twice, "id", "text", vocabulary, carry=["mark"], shared_words=limit)
+    assert {r["mark"]: r["tokens"] for r in coded.collect()} == {"a": [2, 4, 5, 1, 3], "b": [2, 4, 5, 1, 3], "c": [2, 3]}
+    back = tk.decode(coded, "id", "tokens", vocabulary, shared_words=limit)
+    assert sorted(r["text"] for r in back.collect()) == ["", "deep learning", "deep learning"]
+
+
 def test_padding(texts, vocabulary):
     coded = tk.encode(texts, "id", "text", vocabulary).withColumn("p", tk.padded(F.col("tokens"), 5))
     got = {r["id"]: r["p"] for r in coded.collect()}
@@ -118,10 +127,10 @@ def test_sections_are_left_out_when_empty(spark):
     assert one(spark, pr.sectioned_prompt(F.lit("go"), context=empty)) == "Instruction: go\n\nResponse:"
 
 
-def test_long_conversations_come_in_parts(spark):
-    chat = spark.range(25).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"), F.lit("x").alias("text"))
-    parts = pr.flatten_conversations(chat, turns_per_part=10).orderBy("part").collect()
-    assert [len(p["prompt"].split("\n")) for p in parts] == [10, 10, 5]
+def test_long_conversations_are_one_row(spark):
+    chat = spark.range(5000).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"), F.col("id").cast("string").alias("text"))
+    [row] = pr.flatten_conversations(chat.repartition(7)).collect()
+    assert row["prompt"].split("\n") == [f"user: {i}" for i in range(5000)]
 
 
 def test_token_estimate(spark):
