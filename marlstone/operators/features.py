@@ -128,8 +128,8 @@ def head_tail_split(df: DataFrame, order: Sequence[str], ratio: float) -> DataFr
 
 
 def shuffle_split(df: DataFrame, key: str, test_size: float, seed: int) -> DataFrame:
-    """``in_test`` for round(n * test_size) rows, picked by a seeded hash: the same seed gives the same rows."""
-    hashed = df.withColumn("_hash", F.xxhash64(F.col(key), F.lit(seed)))
+    """``in_test`` for round(n * test_size) rows, picked by the MD5 of 'key:seed': the same seed gives the same rows in any engine."""
+    hashed = df.withColumn("_hash", F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))))
     placed = positioned(hashed, ["_hash", key])
     cut = F.round(placed.agg(F.count("*")).scalar() * F.lit(float(test_size)))
     return placed.withColumn("in_test", F.col("_pos") < cut).drop("_pos", "_chunk", "_hash")

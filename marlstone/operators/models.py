@@ -71,11 +71,12 @@ def verdict(probability: Column, threshold: float) -> list[Column]:
     ]
 
 
-def model_udf(predict: Callable[[pd.DataFrame], np.ndarray]):
-    """A model over a struct of features as an iterator UDF; set-up happens once per task."""
+def model_udf(load: Callable[[], Callable[[pd.DataFrame], np.ndarray]]):
+    """A model over a struct of features as an iterator UDF. ``load`` runs once per task and returns the function that scores a batch."""
 
     @F.pandas_udf("double")
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        predict = load()
         for rows in batches:
             yield pd.Series(np.asarray(predict(rows), dtype=float))
 

@@ -15,6 +15,12 @@ def latest_metrics(runs: DataFrame) -> DataFrame:
     return runs.groupBy("run_id", "key").agg(F.max_by("value", "step").alias("value"))
 
 
+def of_experiment(records: DataFrame, experiment: str) -> DataFrame:
+    """Metric rows of the runs that carry the experiment's tag."""
+    tagged = records.where((F.col("kind") == "tag") & (F.col("key") == "experiment") & (F.col("text") == experiment))
+    return records.where("kind = 'metric'").join(tagged.select("run_id").distinct(), "run_id", "left_semi")
+
+
 def search_runs(runs: DataFrame, keys: Sequence[str], condition: str, order_by: str) -> DataFrame:
     """One row per run with a column per metric, filtered, best first."""
     wide = latest_metrics(runs.where(F.col("key").isin(*keys))).groupBy("run_id").pivot("key", list(keys)).agg(F.first("value"))
@@ -48,21 +54,17 @@ def resolve_aliases(versions: DataFrame, name: str, value: str) -> DataFrame:
     )
 
 
-def model_cards(runs: DataFrame) -> DataFrame:
-    """(run_id, metrics, params) with both maps as JSON text, keys sorted."""
+def model_cards(records: DataFrame) -> DataFrame:
+    """(name, version, run_id, metrics, params): latest metrics and logged parameters as JSON text, keys sorted.
 
-    def as_json(entries):
-        return F.to_json(F.map_from_entries(F.array_sort(F.collect_list(entries))))
+    A run's model is the one its tag names; a model's runs are its versions in the order of their first steps.
+    """
 
-    metrics = latest_metrics(runs).groupBy("run_id").agg(as_json(F.struct("key", "value")).alias("metrics"))
-    params = (
-        runs.groupBy("run_id")
-        .agg(F.count("*").alias("n"), F.min("step").alias("first_step"))
-        .select(
-            "run_id",
-            F.to_json(
-                F.create_map(F.lit("first_step"), F.col("first_step").cast("string"), F.lit("n_logged"), F.col("n").cast("string"))
-            ).alias("params"),
-        )
-    )
-    return metrics.join(params, "run_id")
+    def as_json(value):
+        return F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", value)))))
+
+    metrics = latest_metrics(records.where("kind = 'metric'")).groupBy("run_id").agg(as_json("value").alias("metrics"))
+    params = records.where("kind = 'param'").groupBy("run_id").agg(as_json("text").alias("params"))
+    named = records.where("kind = 'tag' AND key = 'model'").select(F.col("text").alias("name"), "run_id", "step")
+    versions = model_versions(named, "name", ["step", "run_id"]).drop("step")
+    return versions.join(metrics, "run_id").join(params, "run_id").select("name", "version", "run_id", "metrics", "params")

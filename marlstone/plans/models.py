@@ -10,7 +10,7 @@ from marlstone.operators import models as mo
 from marlstone.operators import runs as ru
 from marlstone.plans.features import FRAUD_FEATURES_SQL, TRANSACTIONS_SQL, transactions
 from marlstone.plans.registry import query, table, texts
-from marlstone.sources.logs import RUN_METRICS_SQL, run_metrics
+from marlstone.sources.logs import RUN_METRICS_SQL, RUN_RECORDS_SQL, run_metrics, run_records
 from marlstone.sources.snapshots import SnapshotTable
 from marlstone.workspace import scratch, written
 
@@ -49,9 +49,6 @@ def linear_regression(spark, folder):
     )
 
 
-
-
-
 @query(
     "ml_02_r_squared",
     f"""WITH {_PRICE_SQL}, scored AS (SELECT price, 0.5::DOUBLE * quantity + 0.1::DOUBLE * discount AS guess FROM priced)
@@ -111,18 +108,46 @@ def stump_score(spark, folder):
     return scored.groupBy("guess").agg(F.count("*").alias("n"), F.round(hit, 6).alias("accuracy"))
 
 
-@query("ml_05_logistic_regression")
+# what a model's held-out evaluation must satisfy whatever its weights are
+_HELD_OUT_SQL = f"""{DOC_FEATURES_SQL},
+  numbered AS (SELECT quality, row_number() OVER (ORDER BY md5(doc_id || ':42'), doc_id) AS no FROM df),
+  test AS (SELECT quality FROM numbered WHERE no <= round((SELECT count(*) FROM df) * 0.2)),
+  facts AS (SELECT count(*) AS n_scored, sum(quality)::BIGINT AS n_positive, true AS near_majority FROM test)"""
+
+
+def _split(spark, folder):
+    """Training and held-out rows."""
+    rows = written(fe.shuffle_split(labelled_documents(spark, folder), "doc_id", 0.2, 42), "split")
+    return rows.where("NOT in_test"), rows.where("in_test")
+
+
+def _held_out(scored):
+    """Rows scored, positives, and whether the accuracy reaches the share of the larger class, less 0.05."""
+    found = mo.confusion(scored, F.col("quality") == 1, F.col("prediction") == 1.0)
+    n, positive = F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn"), F.col("tp") + F.col("fn")
+    return found.select(
+        n.alias("n_scored"), positive.alias("n_positive"), (F.col("accuracy") >= F.greatest(positive, n - positive) / n - 0.05).alias("near_majority")
+    )
+
+
+@query("ml_05_logistic_regression", f"WITH {_HELD_OUT_SQL} SELECT * FROM facts")
 def logistic_regression(spark, folder):
-    rows = labelled_documents(spark, folder)
-    model = mo.fit_logistic(rows, _DOC_FEATURES, "quality")
-    scored = model.transform(rows)
-    return mo.confusion(scored, F.col("quality") == 1, F.col("prediction") == 1.0)
+    train, test = _split(spark, folder)
+    return _held_out(mo.fit_logistic(train, _DOC_FEATURES, "quality").transform(test))
 
 
-@query("ml_06_random_forest")
+@query(
+    "ml_06_random_forest",
+    f"WITH {_HELD_OUT_SQL} SELECT *, CAST(3 AS BIGINT) AS n_features, 1.0::DOUBLE AS total_importance FROM facts",
+)
 def random_forest(spark, folder):
-    rows = labelled_documents(spark, folder)
-    return mo.importances(mo.fit_forest(rows, _DOC_FEATURES, "quality", trees=20, depth=5), _DOC_FEATURES, rows)
+    train, test = _split(spark, folder)
+    model = mo.fit_forest(train, _DOC_FEATURES, "quality", trees=20, depth=5)
+    found = mo.importances(model, _DOC_FEATURES, train).agg(
+        F.count("*").alias("n_features"), F.round(F.sum("importance"), 6).alias("total_importance")
+    )
+    facts = _held_out(model.transform(test))
+    return facts.withColumns({c: found.select(c).scalar() for c in found.columns})
 
 
 _WEIGHTS = [((i % 7) - 3) / 10 for i in range(64)]
@@ -166,8 +191,11 @@ def probability(spark, folder):
     f"WITH {_FRAUD_SCORED_SQL} SELECT transaction_id, p AS prediction FROM scored",
 )
 def model_udf(spark, folder):
-    weights, bias = np.array(_FRAUD_WEIGHTS), _FRAUD_BIAS
-    score = mo.model_udf(lambda rows: 1 / (1 + np.exp(-(rows.to_numpy(dtype=float) @ weights + bias))))
+    def load():
+        weights = np.array(_FRAUD_WEIGHTS)
+        return lambda rows: 1 / (1 + np.exp(-(rows.to_numpy(dtype=float) @ weights + _FRAUD_BIAS)))
+
+    score = mo.model_udf(load)
     rows = fe.fraud_features(transactions(table(spark, folder, "events")))
     return rows.select("transaction_id", F.round(score(F.struct(*_FRAUD_FEATURES)), 8).alias("prediction"))
 
@@ -207,12 +235,14 @@ def auc(spark, folder):
     return mo.auc(rows, "y", "p").withColumn("auc", F.round("auc", 6))
 
 
-@query("ml_13_run_log", f"WITH {RUN_METRICS_SQL} SELECT run_id, step, logged_at, key, value FROM runs")
+@query("ml_13_run_log", f"WITH {RUN_RECORDS_SQL} SELECT run_id, kind, key, step, logged_at, value, text FROM records")
 def run_log(spark, folder):
-    runs = run_metrics(table(spark, folder, "events"))
+    """Metrics, parameters and tags of runs, appended to one log."""
+    records = run_records(table(spark, folder, "events"))
     stored = SnapshotTable(spark, scratch(spark, "runs"))
-    stored.overwrite(runs.where("key <> 'purchase'"), "log")
-    stored.append(runs.where("key = 'purchase'"))
+    stored.overwrite(records.where("kind = 'param'"), "log")
+    stored.append(records.where("kind = 'tag'"))
+    stored.append(records.where("kind = 'metric'"))
     return stored.read()
 
 
@@ -221,11 +251,14 @@ _LATEST_SQL = f"{RUN_METRICS_SQL}, latest AS (SELECT run_id, key, arg_max(value,
 
 @query(
     "ml_14_run_search",
-    f"""WITH {_LATEST_SQL}, wide AS (SELECT run_id, max(value) FILTER (key = 'purchase') AS purchase, max(value) FILTER (key = 'signup') AS signup,
-    max(value) FILTER (key = 'click') AS click FROM latest GROUP BY 1) SELECT * FROM wide WHERE click > 5 ORDER BY purchase DESC, run_id""",
+    f"""WITH {RUN_RECORDS_SQL}, latest AS (SELECT run_id, key, arg_max(value, step) AS value FROM records WHERE kind = 'metric' GROUP BY 1, 2),
+    chosen AS (SELECT DISTINCT run_id FROM records WHERE kind = 'tag' AND key = 'experiment' AND text = 'exp-1'),
+    wide AS (SELECT run_id, max(value) FILTER (key = 'purchase') AS purchase, max(value) FILTER (key = 'signup') AS signup,
+    max(value) FILTER (key = 'click') AS click FROM latest JOIN chosen USING (run_id) GROUP BY 1) SELECT * FROM wide WHERE click > 5 ORDER BY purchase DESC, run_id""",
 )
 def run_search(spark, folder):
-    return ru.search_runs(run_metrics(table(spark, folder, "events")), ["purchase", "signup", "click"], "click > 5", "purchase")
+    records = run_records(table(spark, folder, "events"))
+    return ru.search_runs(ru.of_experiment(records, "exp-1"), ["purchase", "signup", "click"], "click > 5", "purchase")
 
 
 @query(
@@ -254,19 +287,20 @@ def model_versions(spark, folder):
 
 @query(
     "ml_17_model_card",
-    f"""WITH {_LATEST_SQL}
-    SELECT run_id, '{{' || string_agg('"' || key || '":' || value, ',' ORDER BY key) || '}}' AS metrics,
-    (SELECT '{{"first_step":"' || min(step) || '","n_logged":"' || count(*) || '"}}' FROM runs r WHERE r.run_id = latest.run_id) AS params
-    FROM latest GROUP BY run_id""",
+    f"""WITH {RUN_RECORDS_SQL}, latest AS (SELECT run_id, key, arg_max(value, step) AS value FROM records WHERE kind = 'metric' GROUP BY 1, 2),
+    m AS (SELECT run_id, '{{' || string_agg('"' || key || '":' || value, ',' ORDER BY key) || '}}' AS metrics FROM latest GROUP BY 1),
+    p AS (SELECT run_id, '{{' || string_agg('"' || key || '":"' || text || '"', ',' ORDER BY key) || '}}' AS params FROM records WHERE kind = 'param' GROUP BY 1),
+    n AS (SELECT run_id, text AS name, row_number() OVER (PARTITION BY text ORDER BY step, run_id) AS version FROM records WHERE kind = 'tag' AND key = 'model')
+    SELECT name, version, run_id, metrics, params FROM n JOIN m USING (run_id) JOIN p USING (run_id)""",
 )
 def model_card(spark, folder):
-    return ru.model_cards(run_metrics(table(spark, folder, "events")))
+    return ru.model_cards(run_records(table(spark, folder, "events")))
 
 
-@query("doc_07_boosted_trees")
+@query("doc_07_boosted_trees", f"WITH {_HELD_OUT_SQL} SELECT *, true AS auc_in_range FROM facts")
 def boosted_trees(spark, folder):
-    """Gradient boosted trees picked by cross-validation over the tree depth."""
-    rows = labelled_documents(spark, folder)
-    model = mo.fit_boosted(rows, _DOC_FEATURES, "quality", depths=[2, 3], folds=2)
-    found = mo.confusion(model.transform(rows), F.col("quality") == 1, F.col("prediction") == 1.0)
-    return found.withColumn("best_cv_auc", F.lit(max(model.avgMetrics)))
+    """Gradient boosted trees picked by cross-validation over the tree depth, evaluated on held-out rows."""
+    train, test = _split(spark, folder)
+    model = mo.fit_boosted(train, _DOC_FEATURES, "quality", depths=[2, 3], folds=2)
+    best = max(model.avgMetrics)
+    return _held_out(model.transform(test)).withColumn("auc_in_range", F.lit(0.5 <= best <= 1.0))

@@ -61,9 +61,9 @@ def parquet_scan(spark, folder):
     return lines.where(recent).select("l_orderkey", "l_partkey", "l_quantity")
 
 
-@query("src_05_orc_scan", "SELECT s_suppkey, s_name, s_acctbal FROM supplier WHERE s_acctbal > 0")
+@query("src_05_orc_scan", "SELECT s_suppkey, s_name, s_acctbal FROM supplier")
 def orc_scan(spark, folder):
-    return round_trip(table(spark, folder, "supplier"), "orc").where("s_acctbal > 0").select("s_suppkey", "s_name", "s_acctbal")
+    return round_trip(table(spark, folder, "supplier"), "orc").select("s_suppkey", "s_name", "s_acctbal")
 
 
 @query(

@@ -50,6 +50,36 @@ RUN_METRICS_SQL = """runs AS (
   SELECT user_id % 20 AS run_id, event_id AS step, ts AS logged_at, event_type AS key, value FROM events)"""
 
 
+def run_records(events: DataFrame) -> DataFrame:
+    """Long run log: run_id, kind (metric, param, tag), key, step, logged_at, value (of metrics), text (of params and tags).
+
+    A run's parameters and tags are logged with its first step.
+    """
+    metrics = run_metrics(events)
+    first = metrics.groupBy("run_id").agg(F.min("step").alias("step"), F.min_by("logged_at", "step").alias("logged_at"))
+    rate = F.concat(F.lit("0."), (F.pmod("run_id", F.lit(9)) + 1).cast("string"))
+    told = {
+        ("param", "learning_rate"): rate,
+        ("param", "depth"): (F.pmod("run_id", F.lit(4)) + 2).cast("string"),
+        ("tag", "experiment"): F.concat(F.lit("exp-"), F.pmod("run_id", F.lit(3)).cast("string")),
+        ("tag", "model"): F.concat(F.lit("model-"), F.pmod("run_id", F.lit(5)).cast("string")),
+    }
+    listed = F.array(*[F.struct(F.lit(kind).alias("kind"), F.lit(key).alias("key"), text.alias("text")) for (kind, key), text in told.items()])
+    texts = first.select("run_id", "step", "logged_at", F.inline(listed)).withColumn("value", F.lit(None).cast("double"))
+    columns = ["run_id", "kind", "key", "step", "logged_at", "value", "text"]
+    numbers = metrics.withColumn("kind", F.lit("metric")).withColumn("text", F.lit(None).cast("string"))
+    return numbers.select(*columns).unionByName(texts.select(*columns))
+
+
+RUN_RECORDS_SQL = f"""{RUN_METRICS_SQL},
+  first_steps AS (SELECT run_id, min(step) AS step, arg_min(logged_at, step) AS logged_at FROM runs GROUP BY 1),
+  records AS (SELECT run_id, 'metric' AS kind, key, step, logged_at, value, NULL::VARCHAR AS text FROM runs
+    UNION ALL SELECT run_id, 'param', 'learning_rate', step, logged_at, NULL, '0.' || (run_id % 9 + 1) FROM first_steps
+    UNION ALL SELECT run_id, 'param', 'depth', step, logged_at, NULL, CAST(run_id % 4 + 2 AS VARCHAR) FROM first_steps
+    UNION ALL SELECT run_id, 'tag', 'experiment', step, logged_at, NULL, 'exp-' || (run_id % 3) FROM first_steps
+    UNION ALL SELECT run_id, 'tag', 'model', step, logged_at, NULL, 'model-' || (run_id % 5) FROM first_steps)"""
+
+
 def chat_pairs(conversations: DataFrame) -> DataFrame:
     """A user message with the assistant message of the next turn."""
     asked = conversations.where("role = 'user'").select("conv_id", "turn", F.col("text").alias("instruction"))
