@@ -1,7 +1,7 @@
 """Hash embeddings of text as Arrow-batched UDFs.
 
 Counting slots with array functions costs (slots x characters) per text; numpy does it in one pass
-over the characters. Words are split by the JVM expression in ``functions.text``, so
+over the characters of a whole batch. Words are split by the JVM expression in ``functions.text``, so
 both sides agree on what a word is. A real model plugs in by ``embed_with``.
 """
 
@@ -19,35 +19,35 @@ from marlstone.functions.text import words
 _SPACE = 32
 
 
-def _codes(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+def _points(texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """All code points, the text of each, and where each text starts; and the number of texts."""
+    listed = [t or "" for t in texts]
+    codes = np.frombuffer("".join(listed).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+    sizes = np.array([len(t) for t in listed], dtype=np.int64)
+    return codes, np.repeat(np.arange(len(listed)), sizes), np.cumsum(sizes) - sizes, len(listed)
 
 
-def _unit(counts: np.ndarray) -> np.ndarray:
-    length = np.sqrt((counts * counts).sum())
-    return counts / length if length > 0 else counts
+def _unit_counts(rows: np.ndarray, slots: np.ndarray, n: int, dim: int) -> np.ndarray:
+    counts = np.bincount(rows * dim + slots, minlength=n * dim).reshape(n, dim).astype(float)
+    lengths = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
+    return counts / np.where(lengths > 0, lengths, 1)
 
 
-def word_hash(text: str, dim: int) -> np.ndarray:
-    """Slot of a character: (code x (word number + 1) + place in word) mod dim, words parted by one space."""
-    codes = _codes(text)
-    gaps = codes == _SPACE
-    word = np.cumsum(gaps)
-    at = np.arange(len(codes))
-    start = np.maximum.accumulate(np.where(gaps, at + 1, 0)) if len(codes) else at
-    slots = (codes * (word + 1) + (at - start)) % dim
-    return _unit(np.bincount(slots[~gaps], minlength=dim).astype(float))
+def word_hash(texts: Iterable[str | None], dim: int) -> np.ndarray:
+    """One row per text. Slot of a character: (code x (word number + 1) + place in word) mod dim, words parted by one space."""
+    codes, rows, starts, n = _points(texts)
+    gaps, at = codes == _SPACE, np.arange(len(codes))
+    seen = np.concatenate([[0], np.cumsum(gaps)])
+    word = seen[1:] - seen[starts[rows]]
+    begin = np.maximum(np.maximum.accumulate(np.where(gaps, at + 1, 0)), starts[rows]) if len(codes) else at
+    slots = (codes * (word + 1) + (at - begin)) % dim
+    return _unit_counts(rows[~gaps], slots[~gaps], n, dim)
 
 
-def char_hash(text: str, dim: int) -> np.ndarray:
-    """Slot of a character: (code + place in text) mod dim."""
-    codes = _codes(text)
-    return _unit(np.bincount((codes + np.arange(len(codes))) % dim, minlength=dim).astype(float))
-
-
-def matrix(texts: Iterable[str], embed: Callable[[str, int], np.ndarray], dim: int) -> np.ndarray:
-    rows = [embed(t or "", dim) for t in texts]
-    return np.vstack(rows) if rows else np.zeros((0, dim))
+def char_hash(texts: Iterable[str | None], dim: int) -> np.ndarray:
+    """One row per text. Slot of a character: (code + place in text) mod dim."""
+    codes, rows, starts, n = _points(texts)
+    return _unit_counts(rows, (codes + np.arange(len(codes)) - starts[rows]) % dim, n, dim)
 
 
 def spaced_words(text: Column, lower: bool = True) -> Column:
@@ -55,13 +55,13 @@ def spaced_words(text: Column, lower: bool = True) -> Column:
     return F.array_join(words(text, lower), " ")
 
 
-def embed_with(embed: Callable[[str, int], np.ndarray], dim: int):
-    """Iterator UDF text -> array<double>; set-up of a model belongs before the loop."""
+def embed_with(embed: Callable[[Iterable[str | None], int], np.ndarray], dim: int):
+    """Iterator UDF text -> array<double>. ``embed`` gets a batch of texts and returns a matrix; set-up of a model belongs before the loop."""
 
     @F.pandas_udf("array<double>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series([embed(t or "", dim) for t in texts], dtype=object)
+            yield pd.Series(list(embed(texts, dim)), dtype=object)
 
     return run
 

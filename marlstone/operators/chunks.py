@@ -26,12 +26,15 @@ def _starts(length: Column, size: int, overlap: int) -> Column:
     )
 
 
-def word_chunks(df: DataFrame, doc_id: str, text: str, size: int, overlap: int, lower: bool = False) -> DataFrame:
-    """(doc_id, chunk_no, chunk_id, first_word, n_words, text): word windows, each sharing ``overlap`` words with the one before."""
+def word_chunks(
+    df: DataFrame, doc_id: str, text: str, size: int, overlap: int, lower: bool = False, carry: Sequence[str] = ()
+) -> DataFrame:
+    """(doc_id, carry..., chunk_no, chunk_id, first_word, n_words, text): word windows, each sharing ``overlap`` words with the one before."""
     _check(size, overlap)
-    listed = df.select(doc_id, words(F.col(text), lower).alias("_words"))
+    listed = df.select(doc_id, *carry, words(F.col(text), lower).alias("_words"))
     cut = listed.select(
         doc_id,
+        *carry,
         F.posexplode(
             F.transform(
                 _starts(F.size("_words").cast("bigint"), size, overlap),
@@ -41,6 +44,7 @@ def word_chunks(df: DataFrame, doc_id: str, text: str, size: int, overlap: int,
     )
     return cut.select(
         doc_id,
+        *carry,
         "chunk_no",
         F.concat(F.col(doc_id).cast("string"), F.lit("-chunk-"), F.col("chunk_no").cast("string")).alias("chunk_id"),
         F.col("_c.first_word").cast("int").alias("first_word"),
@@ -66,8 +70,8 @@ def char_chunks(df: DataFrame, doc_id: str, text: str, size: int, overlap: int)
 _WORD = re.compile(r"[^ \t\n\x0b\f\r]+")
 
 
-def word_chunk_offsets(df: DataFrame, doc_id: str, text: str, size: int, overlap: int) -> DataFrame:
-    """(doc_id, chunk_no, start_char, end_char): exact places of word chunks in the source text.
+def word_chunk_offsets(df: DataFrame, doc_id: str, text: str, size: int, overlap: int, carry: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, carry..., chunk_no, start_char, end_char): exact places of word chunks in the source text.
 
     Offsets come from where each word really starts, so overlapping chunks overlap here too.
     """
@@ -78,8 +82,8 @@ def word_chunk_offsets(df: DataFrame, doc_id: str, text: str, size: int, overlap
         for batch in texts:
             yield pd.Series([_offsets(t or "", size, overlap) for t in batch], dtype=object)
 
-    cut = df.select(doc_id, F.posexplode(offsets(F.col(text))).alias("chunk_no", "_o"))
-    return cut.select(doc_id, "chunk_no", "_o.start_char", "_o.end_char")
+    cut = df.select(doc_id, *carry, F.posexplode(offsets(F.col(text))).alias("chunk_no", "_o"))
+    return cut.select(doc_id, *carry, "chunk_no", "_o.start_char", "_o.end_char")
 
 
 def _offsets(text: str, size: int, overlap: int) -> list[dict]:

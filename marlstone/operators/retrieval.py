@@ -7,7 +7,6 @@ on at most (questions x candidates) rows.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Sequence
 
 import numpy as np
@@ -15,14 +14,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlstone.functions.embed import matrix, spaced_words, word_embedding, word_hash
+from marlstone.functions.embed import spaced_words, word_embedding, word_hash
 from marlstone.functions.text import found_patterns, overlap, share, word_set, words
 from marlstone.operators.blocks import Scorer, top_k
 from marlstone.operators.chunks import word_chunks
-from marlstone.operators.vectors import text_scorer
+from marlstone.operators.vectors import vector_scorer
 from marlstone.workspace import written
 
 DIM = 64
+#: Of a mixed score: one more than what halving a rounded score needs, so no value lies on a rounding edge.
+MIX_DIGITS = 10
 
 
 def ranked(df: DataFrame, score: str, ids: Sequence[str], k: int | None = None) -> DataFrame:
@@ -35,48 +36,75 @@ def ranked(df: DataFrame, score: str, ids: Sequence[str], k: int | None = None)
 # --- search ---------------------------------------------------------------------------
 
 
-def retrieve(chunks: DataFrame, questions: DataFrame, k: int, dim: int = DIM) -> DataFrame:
-    """(query_id, doc_id, chunk_no, score, rank) by cosine of word-hash embeddings."""
-    corpus = chunks.select("doc_id", "chunk_no", spaced_words(F.col("text")).alias("text"))
-    asked = questions.select("query_id", spaced_words(F.col("question")).alias("query"))
-    return top_k(corpus, ["doc_id", "chunk_no"], asked, "query_id", text_scorer(dim), k)
-
-
-def with_texts(results: DataFrame, documents: DataFrame, questions: DataFrame, size: int, lap: int) -> DataFrame:
-    """Results with chunk text and question. Only documents that were hit are cut again."""
-    hit = documents.join(results.select("doc_id").distinct(), "doc_id", "left_semi")
-    texts = word_chunks(hit, "doc_id", "text", size, lap).select("doc_id", "chunk_no", "text")
-    return results.join(texts, ["doc_id", "chunk_no"]).join(questions, "query_id")
-
-
-def ingest(documents: DataFrame, size: int, lap: int, dim: int = DIM) -> DataFrame:
-    """Chunks with their embedding, ready to be stored."""
-    return word_chunks(documents, "doc_id", "text", size, lap).withColumn("embedding", word_embedding(F.col("text"), dim))
+def ingest(documents: DataFrame, size: int, lap: int, dim: int = DIM, carry: Sequence[str] = ()) -> DataFrame:
+    """Chunks with their embedding (doc_id, carry..., chunk_no, text, embedding, ...), to be stored once and searched many times."""
+    cut = word_chunks(documents, "doc_id", "text", size, lap, carry=carry)
+    return cut.withColumn("embedding", word_embedding(F.col("text"), dim))
 
 
-def _postings(queries: pd.Series) -> dict[str, np.ndarray]:
-    """Word -> numbers of the questions that hold it."""
-    found: dict[str, list[int]] = {}
-    for i, q in enumerate(queries):
-        for w in set(q.split()):
-            found.setdefault(w, []).append(i)
-    return {w: np.array(v) for w, v in found.items()}
-
-
-def hybrid_scorer(alpha: float, dim: int = DIM, text: str = "text", query: str = "query") -> Scorer:
+def retrieve(chunks: DataFrame, questions: DataFrame, k: int, dim: int = DIM) -> DataFrame:
+    """(query_id, doc_id, chunk_no, score, rank) by cosine with the stored embeddings; texts of chunks are not read."""
+    corpus = chunks.select("doc_id", "chunk_no", "embedding")
+    asked = questions.select("query_id", word_embedding(F.col("question"), dim).alias("query"))
+    return top_k(corpus, ["doc_id", "chunk_no"], asked, "query_id", vector_scorer("cosine"), k)
+
+
+def with_texts(results: DataFrame, chunks: DataFrame, questions: DataFrame) -> DataFrame:
+    """Results with the text of their chunk and the question."""
+    return results.join(chunks.select("doc_id", "chunk_no", "text"), ["doc_id", "chunk_no"]).join(questions, "query_id")
+
+
+def source_lookup(results: DataFrame, documents: DataFrame, title: str, length: int = 100) -> DataFrame:
+    """Results with ``title`` and a preview of their document, '' for a document that is not there."""
+    preview = F.concat(F.substring("text", 1, length), F.lit("..."))
+    sources = documents.select("doc_id", F.col(title).alias("title"), preview.alias("preview"))
+    return results.join(sources, "doc_id", "left").na.fill("", ["title", "preview"])
+
+
+class _Terms:
+    """Words that questions ask for, and the questions of each as flat arrays."""
+
+    def __init__(self, lists: Sequence[Sequence[str]], weights: Sequence[Sequence[float]]):
+        asked: dict[str, list[tuple[int, float]]] = {}
+        for i, (terms, values) in enumerate(zip(lists, weights, strict=True)):
+            for t, w in zip(terms, values, strict=True):
+                asked.setdefault(t, []).append((i, w))
+        self.n_questions = len(lists)
+        self.numbers = {t: n for n, t in enumerate(asked)}
+        self.sizes = np.array([len(p) for p in asked.values()], dtype=np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.questions = np.array([i for p in asked.values() for i, _ in p], dtype=np.int64)
+        self.weights = np.array([w for p in asked.values() for _, w in p], dtype=float)
+
+    def counts(self, texts: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Words per text, and (text, term, occurrences) of the asked words."""
+        lists = [t.split() if t else [] for t in texts]
+        lengths = np.array([len(x) for x in lists], dtype=np.int64)
+        look = self.numbers.get
+        found = np.array([look(w, -1) for x in lists for w in x], dtype=np.int64)
+        rows = np.repeat(np.arange(len(lists)), lengths)
+        pairs, n = np.unique(rows[found >= 0] * max(len(self.numbers), 1) + found[found >= 0], return_counts=True)
+        return lengths, pairs // max(len(self.numbers), 1), pairs % max(len(self.numbers), 1), n
+
+    def spread(self, n_texts: int, rows: np.ndarray, terms: np.ndarray, parts: np.ndarray) -> np.ndarray:
+        """Matrix (texts x questions): for every (text, term) its part times the term's weight in each question that asks for it."""
+        sizes = self.sizes[terms]
+        at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(self.starts[terms], sizes)
+        cells = np.repeat(rows, sizes) * self.n_questions + self.questions[at]
+        return np.bincount(cells, weights=self.weights[at] * np.repeat(parts, sizes), minlength=n_texts * self.n_questions).reshape(n_texts, -1)
+
+
+def hybrid_scorer(alpha: float, text: str = "text", vector: str = "embedding", words: str = "words", query: str = "query") -> Scorer:
     """alpha * cosine + (1 - alpha) * share of the distinct question words that occur in the text."""
 
     def prepare(asked: pd.DataFrame):
-        by_vector = text_scorer(dim, text, query)(asked)
-        postings = _postings(asked[query])
-        sizes = np.array([max(len(set(q.split())), 1) for q in asked[query]], dtype=float)
+        by_vector = vector_scorer("cosine", vector, query)(asked)
+        lists = [list(w) for w in asked[words]]
+        terms = _Terms(lists, [[1 / max(len(w), 1)] * len(w) for w in lists])
 
         def score(rows: pd.DataFrame) -> np.ndarray:
-            hits = np.zeros((len(rows), len(asked)))
-            for r, t in enumerate(rows[text]):
-                for w in postings.keys() & set(t.split()):
-                    hits[r, postings[w]] += 1
-            return alpha * by_vector(rows) + (1 - alpha) * hits / sizes
+            _, at, term, _ = terms.counts(rows[text])
+            return alpha * by_vector(rows) + (1 - alpha) * terms.spread(len(rows), at, term, np.ones(len(at)))
 
         return score
 
@@ -84,9 +112,10 @@ def hybrid_scorer(alpha: float, dim: int = DIM, text: str = "text", query: str =
 
 
 def hybrid_search(corpus: DataFrame, ids: list[str], questions: DataFrame, alpha: float, k: int, dim: int = DIM) -> DataFrame:
-    texts = corpus.select(*ids, spaced_words(F.col("text")).alias("text"))
-    asked = questions.select("query_id", spaced_words(F.col("question")).alias("query"))
-    return top_k(texts, ids, asked, "query_id", hybrid_scorer(alpha, dim), k)
+    """Best k rows of ``corpus`` (ids, text, embedding) by the mix of cosine and word share."""
+    texts = corpus.select(*ids, spaced_words(F.col("text")).alias("text"), "embedding")
+    asked = questions.select("query_id", word_embedding(F.col("question"), dim).alias("query"), word_set(F.col("question")).alias("words"))
+    return top_k(texts, ids, asked, "query_id", hybrid_scorer(alpha), k)
 
 
 # --- BM25 -----------------------------------------------------------------------------
@@ -94,22 +123,13 @@ def hybrid_search(corpus: DataFrame, ids: list[str], questions: DataFrame, alpha
 
 def bm25_scorer(k1: float, b: float) -> Scorer:
     def prepare(asked: pd.DataFrame):
-        postings: dict[str, list] = {}
-        for i, (terms, weights) in enumerate(zip(asked["terms"], asked["weights"], strict=True)):
-            for t, w in zip(terms, weights, strict=True):
-                postings.setdefault(t, []).append((i, w))
+        terms = _Terms([list(t) for t in asked["terms"]], [list(w) for w in asked["weights"]])
         mean_length = float(asked["mean_length"].iloc[0])
 
         def score(rows: pd.DataFrame) -> np.ndarray:
-            out = np.zeros((len(rows), len(asked)))
-            for r, text in enumerate(rows["text"]):
-                listed = text.split()
-                flat = k1 * (1 - b + b * len(listed) / mean_length)
-                for t, tf in Counter(w for w in listed if w in postings).items():
-                    part = tf * (k1 + 1) / (tf + flat)
-                    for i, w in postings[t]:
-                        out[r, i] += w * part
-            return out
+            lengths, at, term, n = terms.counts(rows["text"])
+            flat = k1 * (1 - b + b * lengths / mean_length)
+            return terms.spread(len(rows), at, term, n * (k1 + 1) / (n + flat[at]))
 
         return score
 
@@ -119,19 +139,19 @@ def bm25_scorer(k1: float, b: float) -> Scorer:
 def bm25_search(corpus: DataFrame, ids: list[str], questions: DataFrame, k: int, k1: float = 1.5, b: float = 0.75) -> DataFrame:
     """Best k rows by BM25 over distinct question words, idf = ln(1 + (N - n + 0.5) / (n + 0.5)).
 
-    Document frequencies come from one aggregate over the words that some question asks for;
-    the scores themselves need no join of words to documents.
+    One pass gives document frequencies, the number of texts and their mean length: words are counted before they
+    meet the asked ones, so a frequent word is one row per task. A second pass scores; no word is joined to documents.
     """
     texts = corpus.select(*ids, spaced_words(F.col("text")).alias("text"))
+    listed = F.when(F.col("text") == "", F.array().cast("array<string>")).otherwise(F.split("text", " "))
+    # the term null stands for the text itself
+    spread = texts.select(F.size(listed).alias("length"), F.explode(F.concat(F.array_distinct(listed), F.array(F.lit(None).cast("string")))).alias("term"))
+    counted = written(spread.groupBy("term").agg(F.count("*").alias("n"), F.sum("length").alias("length")), "terms")
+    size = counted.where("term IS NULL").select(F.struct("n", (F.col("length") / F.col("n")).alias("mean"))).scalar()
     asked = questions.select("query_id", F.explode(word_set(F.col("question"))).alias("term"))
-    wanted = asked.select("term").distinct()
-    seen = texts.select(F.explode(F.array_distinct(F.split("text", " "))).alias("term"))
-    frequency = seen.join(wanted, "term").groupBy("term").agg(F.count("*").alias("n"))
-    length = F.when(F.col("text") == "", 0).otherwise(F.size(F.split("text", " ")))
-    size = texts.agg(F.struct(F.count("*").alias("n"), F.avg(length).alias("mean"))).scalar()
     n = F.coalesce(F.col("n"), F.lit(0))
     weighted = (
-        asked.join(frequency, "term", "left")
+        asked.join(counted.where("term IS NOT NULL").select("term", "n"), "term", "left")
         .withColumn("weight", F.log(1 + (size["n"] - n + 0.5) / (n + 0.5)))
         .groupBy("query_id")
         .agg(F.collect_list("term").alias("terms"), F.collect_list("weight").alias("weights"))
@@ -161,7 +181,7 @@ def hybrid_postings(results: DataFrame, alpha: float, ids: Sequence[str], k: int
     asked, held = words(F.col("question")), words(F.col("text"))
     hits = F.aggregate(asked, F.lit(0), lambda acc, w: acc + F.size(F.filter(held, lambda x: x == w)))
     keyword = share(hits, F.size(asked))
-    return ranked(results.withColumn("score", F.round(alpha * F.col("score") + (1 - alpha) * keyword, 8)), "score", ids, k)
+    return ranked(results.withColumn("score", F.round(alpha * F.col("score") + (1 - alpha) * keyword, MIX_DIGITS)), "score", ids, k)
 
 
 def hybrid_substring(results: DataFrame, keyword_weight: float, ids: Sequence[str], k: int) -> DataFrame:
@@ -170,7 +190,7 @@ def hybrid_substring(results: DataFrame, keyword_weight: float, ids: Sequence[st
     asked, text = words(F.col("question")), F.lower("text")
     hits = F.size(F.filter(asked, lambda w: F.contains(text, w)))
     mixed = (1 - weight) * F.col("score") + weight * share(hits, F.size(asked))
-    return ranked(results.withColumn("score", F.round(mixed, 8)), "score", ids, k)
+    return ranked(results.withColumn("score", F.round(mixed, MIX_DIGITS)), "score", ids, k)
 
 
 def rerank_boosted(results: DataFrame, keywords: Sequence[str], ids: Sequence[str]) -> DataFrame:
@@ -179,14 +199,14 @@ def rerank_boosted(results: DataFrame, keywords: Sequence[str], ids: Sequence[st
     named = F.size(found_patterns(F.col("text"), keywords)) if keywords else F.lit(0)
     common = overlap(word_set(F.col("question")), word_set(F.col("text")))
     boosted = F.col("score") * phrase * F.power(F.lit(1.2), named) * (1 + common * 0.1)
-    return ranked(results.withColumn("score", F.round(boosted, 8)), "score", ids)
+    return ranked(results.withColumn("score", F.round(boosted, MIX_DIGITS)), "score", ids)
 
 
 def rerank_overlap(results: DataFrame, ids: Sequence[str], k: int) -> DataFrame:
     """Half the vector score, half the share of question words in the text."""
     asked = word_set(F.col("question"))
     common = share(overlap(asked, word_set(F.col("text"))), F.size(asked))
-    return ranked(results.withColumn("score", F.round(F.col("score") * 0.5 + common * 0.5, 8)), "score", ids, k)
+    return ranked(results.withColumn("score", F.round(F.col("score") * 0.5 + common * 0.5, MIX_DIGITS)), "score", ids, k)
 
 
 # --- context --------------------------------------------------------------------------
@@ -210,11 +230,11 @@ def within_budget(results: DataFrame, tokens: Column, budget: int) -> DataFrame:
 
 
 def answer_questions(
-    documents: DataFrame, questions: DataFrame, blocked: Sequence[str], max_length: int, k: int, size: int, lap: int, titles: DataFrame
+    chunks: DataFrame, questions: DataFrame, blocked: Sequence[str], max_length: int, k: int, titles: DataFrame
 ) -> DataFrame:
     """One row per question: blocked or not and why, context, sources (doc_id, title, preview, score).
 
-    Guard, search of the chunks, rerank of 2k candidates, context from the best k, source titles joined by document.
+    Guard, search of the stored chunks, rerank of 2k candidates, context from the best k, source titles joined by document.
     ``titles`` is (doc_id, title).
     """
     hits = found_patterns(F.col("question"), blocked)
@@ -223,8 +243,8 @@ def answer_questions(
     )
     guarded = questions.withColumn("reason", reason)
     passed = guarded.where("reason IS NULL").select("query_id", "question")
-    found = written(retrieve(word_chunks(documents, "doc_id", "text", size, lap), passed, 2 * k), "candidates")
-    best = written(rerank_overlap(with_texts(found, documents, passed, size, lap), ["doc_id", "chunk_no"], k), "best")
+    found = written(retrieve(chunks, passed, 2 * k), "candidates")
+    best = written(rerank_overlap(with_texts(found, chunks, passed), ["doc_id", "chunk_no"], k), "best")
     context = assemble(best, 0.0)
     preview = F.concat(F.substring("text", 1, 100), F.lit("..."))
     source = F.struct("rank", "doc_id", F.coalesce("title", F.lit("")).alias("title"), preview.alias("preview"), "score")
@@ -313,7 +333,7 @@ def semantic_breaks(lists: pd.Series, threshold: float, dim: int) -> pd.Series:
     def joined(sentences) -> list[str]:
         if len(sentences) == 0:
             return []
-        vectors = matrix([" ".join(s.lower().split()) for s in sentences], word_hash, dim)
+        vectors = word_hash([" ".join(s.lower().split()) for s in sentences], dim)
         near = np.round((vectors[1:] * vectors[:-1]).sum(axis=1), 8)
         chunks, held = [], [sentences[0]]
         for s, c in zip(sentences[1:], near, strict=True):

@@ -11,7 +11,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlstone.functions.embed import matrix, word_hash
+from marlstone.functions.embed import word_hash
 from marlstone.functions.vectors import TINY_NORM
 from marlstone.operators.blocks import Scorer, top_k
 
@@ -55,8 +55,8 @@ def text_scorer(dim: int, text: str = "text", query: str = "query") -> Scorer:
     """Cosine of word-hash embeddings; texts come as words parted by one space."""
 
     def prepare(asked: pd.DataFrame):
-        queries = matrix(asked[query], word_hash, dim)
-        return lambda rows: _cosines(matrix(rows[text], word_hash, dim), queries)
+        queries = word_hash(asked[query], dim)
+        return lambda rows: _cosines(word_hash(rows[text], dim), queries)
 
     return prepare
 

@@ -270,21 +270,6 @@ def as_of(spark, folder):
     return rel.as_of(labels, features, ["user_id"], "ts", "event_id", ["purchase_ts", "purchase_value"])
 
 
-@query(
-    "join_09_source_lookup",
-    """SELECT l.doc_id, coalesce(d.source, '') AS title, coalesce(substring(d.text, 1, 100) || '...', '') AS preview
-    FROM labels l LEFT JOIN documents d ON d.doc_id = l.doc_id AND d.n_chars > 500""",
-)
-def source_lookup(spark, folder):
-    sources = (
-        table(spark, folder, "documents")
-        .where("n_chars > 500")
-        .select("doc_id", F.col("source").alias("title"), tx.preview(F.col("text"), 100).alias("preview"))
-    )
-    found = table(spark, folder, "labels").select("doc_id")
-    return found.join(sources, "doc_id", "left").na.fill("", ["title", "preview"])
-
-
 CENTROIDS_SQL = """slots AS (SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS m
     FROM (SELECT label, embedding, unnest(generate_series(1, len(embedding))) AS i FROM embeddings) GROUP BY 1, 2),
   centroids AS (SELECT label AS query_id, list(m ORDER BY i) AS q FROM slots GROUP BY 1)"""

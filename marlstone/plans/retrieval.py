@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marlstone.functions import text as tx
+from marlstone.functions.embed import word_embedding
 from marlstone.operators import blocks, chunks, vectors
 from marlstone.operators import retrieval as re
 from marlstone.plans.registry import query, table, texts
@@ -51,8 +52,8 @@ def retrieve_sql(k: int) -> str:
 def _rerank_sql(score: str, k: int | None) -> str:
     """Select (query_id, doc_id, chunk_no, score, rank) of found under a new score."""
     cut = "" if k is None else f"QUALIFY rank <= {k}"
-    return f"""SELECT query_id, doc_id, chunk_no, round(s + 1e-9, 6) AS score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY s DESC, doc_id, chunk_no) AS INTEGER) AS rank
-    FROM (SELECT query_id, doc_id, chunk_no, round({score}, 8) AS s FROM found) {cut}"""
+    return f"""SELECT query_id, doc_id, chunk_no, s AS score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY s DESC, doc_id, chunk_no) AS INTEGER) AS rank
+    FROM (SELECT query_id, doc_id, chunk_no, round({score}, 10) AS s FROM found) {cut}"""
 
 
 def documents_of(spark, folder):
@@ -63,17 +64,48 @@ def questions_of(spark, folder):
     return table(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
 
 
+_stores: dict[tuple[str, str, str], str] = {}
+
+
+def _stored(spark, folder, kind, make):
+    """A table that an application builds once per folder and every later query reads."""
+    key = (spark.sparkContext.applicationId, folder, kind)
+    if key not in _stores:
+        path = scratch(spark, kind)
+        make().write.parquet(path)
+        _stores[key] = path
+    return spark.read.parquet(_stores[key])
+
+
+def chunk_store(spark, folder):
+    """Chunks of all documents with their embeddings."""
+    return _stored(spark, folder, "chunks", lambda: re.ingest(documents_of(spark, folder), SIZE, LAP))
+
+
+def document_store(spark, folder):
+    """Whole documents with their embeddings."""
+    return _stored(spark, folder, "vectors", lambda: documents_of(spark, folder).withColumn("embedding", word_embedding(F.col("text"), re.DIM)))
+
+
 def _found(spark, folder, k):
-    documents, questions = documents_of(spark, folder), questions_of(spark, folder)
-    cut = chunks.word_chunks(documents, "doc_id", "text", SIZE, LAP)
+    chunks, questions = chunk_store(spark, folder), questions_of(spark, folder)
     # read back once scored: later steps use the few result rows several times
-    results = written(re.retrieve(cut, questions, k), "results")
-    return re.with_texts(results, documents, questions, SIZE, LAP)
+    return re.with_texts(written(re.retrieve(chunks, questions, k), "results"), chunks, questions)
 
 
 def _result(df):
-    # the small term keeps exact halves off the rounding edge, where engines differ
-    return df.select("query_id", "doc_id", "chunk_no", F.round(F.col("score") + 1e-9, 6).alias("score"), "rank")
+    return df.select("query_id", "doc_id", "chunk_no", "score", "rank")
+
+
+@query(
+    "join_09_source_lookup",
+    f"""WITH {retrieve_sql(3)} SELECT query_id, found.rank, doc_id, chunk_no, coalesce(d.source, '') AS title,
+    coalesce(substring(d.text, 1, 100) || '...', '') AS preview FROM found LEFT JOIN documents d USING (doc_id)""",
+)
+def source_lookup(spark, folder):
+    """Title and preview of the documents that retrieved chunks come from."""
+    found = written(re.retrieve(chunk_store(spark, folder), questions_of(spark, folder), 3), "results")
+    return re.source_lookup(found.drop("score"), table(spark, folder, "documents"), "source")
 
 
 @query(
@@ -127,10 +159,10 @@ def recursive_split(spark, folder):
 def chunk_offsets(spark, folder):
     """The words between the offsets, read from the source text."""
     documents = documents_of(spark, folder)
-    offsets = chunks.word_chunk_offsets(documents, "doc_id", "text", SIZE, LAP)
+    offsets = chunks.word_chunk_offsets(documents, "doc_id", "text", SIZE, LAP, carry=["text"])
     start = (F.col("start_char") + 1).cast("int")
     between = F.substring(F.col("text"), start, (F.col("end_char") - F.col("start_char")).cast("int"))
-    return documents.join(offsets, "doc_id").select("doc_id", "chunk_no", F.array_join(tx.words(between, lower=False), " ").alias("text"))
+    return offsets.select("doc_id", "chunk_no", F.array_join(tx.words(between, lower=False), " ").alias("text"))
 
 
 @query(
@@ -141,7 +173,7 @@ def chunk_offsets(spark, folder):
 def ingest(spark, folder):
     documents = texts(spark, folder, "documents").select("doc_id", "source", "text")
     path = scratch(spark, "ingest")
-    cut = re.ingest(documents, SIZE, LAP).join(documents.select("doc_id", "source"), "doc_id")
+    cut = re.ingest(documents, SIZE, LAP, carry=["source"])
     cut.write.partitionBy("source").parquet(path)
     stored = spark.read.schema(cut.schema).parquet(path)
     return stored.groupBy("source").agg(
@@ -163,7 +195,7 @@ def ingest(spark, folder):
     FROM mixed QUALIFY rank <= 3""",
 )
 def hybrid_scan(spark, folder):
-    return re.hybrid_search(documents_of(spark, folder), ["doc_id"], questions_of(spark, folder), 0.5, 3)
+    return re.hybrid_search(document_store(spark, folder), ["doc_id"], questions_of(spark, folder), 0.5, 3)
 
 
 @query(
@@ -245,7 +277,7 @@ def answer_questions(spark, folder):
     documents = texts(spark, folder, "documents")
     titles = documents.select("doc_id", F.col("source").alias("title"))
     found = re.answer_questions(
-        documents.select("doc_id", "text"), questions_of(spark, folder), _BLOCKED, 4096, 3, SIZE, LAP, titles
+        chunk_store(spark, folder), questions_of(spark, folder), _BLOCKED, 4096, 3, titles
     )
     printed = F.transform("sources", lambda s: F.concat_ws(":", s["doc_id"].cast("string"), s["title"], s["preview"]))
     return found.select("query_id", "blocked", "reason", "context", F.array_join(printed, "|").alias("sources"))
@@ -324,8 +356,7 @@ def keyword_coverage(spark, folder):
 )
 def response_quality(spark, folder):
     questions = questions_of(spark, folder)
-    cut = chunks.word_chunks(documents_of(spark, folder), "doc_id", "text", SIZE, LAP)
-    found = re.retrieve(cut, questions, 3).where("score >= 0.9")
+    found = re.retrieve(chunk_store(spark, folder), questions, 3).where("score >= 0.9")
     return re.response_quality(found, questions, 0.8).withColumns({c: F.round(c, 6) for c in ("relevance", "overall")})
 
 
@@ -363,7 +394,7 @@ def bm25(spark, folder):
 def rank_fusion(spark, folder):
     documents, questions = documents_of(spark, folder), questions_of(spark, folder)
     by_words = re.bm25_search(documents, ["doc_id"], questions, 20)
-    by_vector = re.hybrid_search(documents, ["doc_id"], questions, 1.0, 20)
+    by_vector = re.hybrid_search(document_store(spark, folder), ["doc_id"], questions, 1.0, 20)
     return re.fuse_ranks([by_words, by_vector], ["doc_id"], 5)
 
 

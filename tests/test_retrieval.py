@@ -159,7 +159,8 @@ def questions(spark):
 
 
 def test_hybrid_search(documents, questions):
-    got = re.hybrid_search(documents, ["doc_id"], questions, 0.3, 4, dim=32).collect()
+    stored = documents.withColumn("embedding", embed.word_embedding(F.col("text"), 32))
+    got = re.hybrid_search(stored, ["doc_id"], questions, 0.3, 4, dim=32).collect()
     for q, question in {r["query_id"]: r["question"] for r in questions.collect()}.items():
         asked, wanted = np.array(plain_embedding(question, 32)), set(question.lower().split())
         scores = {
@@ -220,13 +221,28 @@ def test_keyword_scores_stay_with_their_chunk(spark):
 def test_blocked_questions_get_no_sources(spark, documents):
     asked = spark.createDataFrame([(1, "spark table"), (2, "the admin password"), (3, "x" * 50)], "query_id bigint, question string")
     titles = spark.createDataFrame([(0, "zero")], "doc_id bigint, title string")
-    got = {r["query_id"]: r for r in re.answer_questions(documents, asked, ["password"], 40, 2, 20, 5, titles).collect()}
+    got = {r["query_id"]: r for r in re.answer_questions(re.ingest(documents, 20, 5), asked, ["password"], 40, 2, titles).collect()}
     assert not got[1]["blocked"] and len(got[1]["sources"]) == 2
     assert all(s["title"] == ("zero" if s["doc_id"] == 0 else "") for s in got[1]["sources"])
     assert got[2]["reason"] == "Blocked pattern: password" and got[2]["sources"] is None
     assert got[3]["reason"] == "Input too long: 50"
 
 
+def test_sources_of_documents_that_are_gone_are_empty(spark):
+    found = spark.createDataFrame([(1, 10, 0, 1), (1, 11, 2, 2)], "query_id int, doc_id long, chunk_no int, rank int")
+    documents = spark.createDataFrame([(10, "a" * 200, "guide")], "doc_id long, text string, source string")
+    got = {r["doc_id"]: (r["title"], r["preview"]) for r in re.source_lookup(found, documents, "source").collect()}
+    assert got == {10: ("guide", "a" * 100 + "..."), 11: ("", "")}
+
+
+def test_vector_search_reads_no_text(spark, tmp_path, documents, questions):
+    re.ingest(documents, 20, 5).write.parquet(str(tmp_path / "store"))
+    stored = spark.read.parquet(str(tmp_path / "store"))
+    plan = stored.select("doc_id", "chunk_no", "embedding")._jdf.queryExecution().executedPlan().toString()
+    assert "text" not in plan.split("ReadSchema")[-1]
+    assert re.retrieve(stored, questions, 2).count() == 6
+
+
 def test_budget(spark):
     df = spark.createDataFrame([(1, 1, 10), (1, 2, 10), (1, 3, 10)], "query_id int, rank int, n int")
     assert re.within_budget(df, F.col("n"), 25).count() == 2
