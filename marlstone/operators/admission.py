@@ -52,6 +52,7 @@ def fixed_window(
 NO_KEY = "\u0000"  # stands for a missing key
 STATE = "_key string, _at bigint"
 
+
 class _Log:
     """Times of the admitted requests still inside the window, of one key."""
 

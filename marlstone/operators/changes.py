@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marlstone.workspace import written
+
 
 def update_where(df: DataFrame, condition: Column, values: Mapping[str, Column]) -> DataFrame:
     hit = F.coalesce(condition, F.lit(False))
@@ -33,8 +35,10 @@ def merge_into(
     """Upsert: matched rows take ``set_columns`` from the source, unmatched source rows are added.
 
     The target is joined as the left side, so a source small enough to be broadcast merges
-    without moving the target. Keys matched are found by a semi join for the same reason.
+    without moving the target. Keys matched are found by a semi join for the same reason. The source is
+    written once, so the check, the update and the insert read the same rows and Spark knows its size.
     """
+    source = written(source, "merge_source")
     require_unique(source, on)
     inserted = list(insert_columns or source.columns)
     incoming = source.select(*on, *[F.col(c).alias(f"_new_{c}") for c in set_columns], F.lit(True).alias("_hit"))

@@ -29,7 +29,8 @@ def assign_variant(user: Column, variants: Sequence[tuple[str, float]], active:
 
 
 def hashed_user(user: Column) -> Column:
-    return F.crc32(user.cast("binary"))
+    """A number for a user key of any type: the first eight hexadecimal digits of the MD5 of its text."""
+    return F.conv(F.substring(F.md5(user.cast("string")), 1, 8), 16, 10).cast("bigint")
 
 
 def summarise(log: DataFrame, keys: Sequence[str]) -> DataFrame:

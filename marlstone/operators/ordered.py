@@ -5,7 +5,7 @@ task, and an unpartitioned window sends the table. Here rows are range-partition
 on (key, order), so a hot key covers many partitions; each row gets its global
 position, and positions are cut into chunks of a fixed number of rows. Windows run
 per (key, chunk). What a chunk must know about the rows before it travels
-in a small table with one row per (key, chunk), or as a few copied rows.
+in a small table with one row per (key, chunk), written so that Spark knows its size, or as a few copied rows.
 
 ``order`` together with the keys must be a total order (end it with an id).
 """
@@ -104,7 +104,7 @@ def running_totals(
     same = F.col("_chunk") == F.col("_k_chunk")
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    joined = placed.join(carry, same, "left")
+    joined = placed.join(written(carry, "carry"), same, "left")
     frame = Window.partitionBy(*keys, "_chunk").orderBy("_pos")
     frame = frame.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     zero = F.lit(0)
@@ -167,7 +167,7 @@ def last_known(
         same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
     frame = Window.partitionBy(*keys, "_chunk").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
     filled = {c: F.coalesce(F.last(c, ignorenulls=True).over(frame), F.col(f"_c_{c}")) for c in columns}
-    return placed.join(carry, same, "left").withColumns(filled).select(*df.columns)
+    return placed.join(written(carry, "carry"), same, "left").withColumns(filled).select(*df.columns)
 
 
 def quantiles(

@@ -75,18 +75,24 @@ def compare(value: Column, op: Column, threshold: Column) -> Column:
 def check_gates(metrics: DataFrame, subject: str, rules: Sequence[tuple[str, str, float]]) -> DataFrame:
     """One row per (subject, rule): value, passed, missing and a message.
 
-    ``metrics`` is (subject, metric, value). A metric that is not there counts as 0 and is marked as missing.
+    ``metrics`` is (subject, metric, value), one row per metric. A metric that is not there counts as 0 and is marked as missing.
+    One aggregate over the metrics gives all rules of a subject; nothing is joined back.
     """
     wrong = [op for _, op, _ in rules if op not in COMPARATORS]
     if wrong:
         raise ValueError(f"unknown comparators {wrong}")
+    names = list(dict.fromkeys(m for m, _, _ in rules))
+    values = metrics.groupBy(subject).agg(*[F.max(F.when(F.col("metric") == m, F.col("value"))).alias(f"_{i}") for i, m in enumerate(names)])
     listed = F.array(
-        *[F.struct(F.lit(m).alias("metric"), F.lit(op).alias("op"), F.lit(float(t)).alias("threshold")) for m, op, t in rules]
+        *[
+            F.struct(F.lit(m).alias("metric"), F.lit(op).alias("op"), F.lit(float(t)).alias("threshold"), F.col(f"_{names.index(m)}").alias("_v"))
+            for m, op, t in rules
+        ]
     )
-    wanted = metrics.select(subject).distinct().select(subject, F.inline(listed))
-    found = wanted.join(metrics.select(subject, "metric", F.col("value").alias("_v")), [subject, "metric"], "left")
+    found = values.select(subject, F.inline(listed))
     value = F.coalesce("_v", F.lit(0.0))
     passed = compare(value, F.col("op"), F.col("threshold"))
+    # fixed values: the two messages
     good = F.format_string("%s = %.2f (OK)", "metric", value)
     bad = F.format_string("%s = %.2f (FAILED, threshold: %.2f)", "metric", value, "threshold")
     return found.select(

@@ -239,12 +239,16 @@ _VARIANT_SQL = "CASE WHEN {0} < 0.5 THEN 'control' WHEN {0} < 0.8 THEN 'treatmen
 
 @query(
     "mon_13_variant_assignment",
-    f"""SELECT event_id, user_id, CASE WHEN ts < TIMESTAMP '2024-01-25' THEN {_VARIANT_SQL.format("(user_id % 100) / 100")} END AS variant FROM events""",
+    f"""SELECT event_id, user_id, CASE WHEN ts < TIMESTAMP '2024-01-25' THEN {_VARIANT_SQL.format("(user_id % 100) / 100")} END AS variant,
+    CASE WHEN ts < TIMESTAMP '2024-01-25' THEN {_VARIANT_SQL.format("(CAST('0x' || substring(md5(event_type), 1, 8) AS BIGINT) % 100) / 100")} END AS by_name FROM events""",
 )
 def variant_assignment(spark, folder):
     active = F.col("ts") < F.lit("2024-01-25").cast("timestamp_ntz")
     return table(spark, folder, "events").select(
-        "event_id", "user_id", ex.assign_variant(F.col("user_id"), _VARIANTS, active).alias("variant")
+        "event_id",
+        "user_id",
+        ex.assign_variant(F.col("user_id"), _VARIANTS, active).alias("variant"),
+        ex.assign_variant(ex.hashed_user(F.col("event_type")), _VARIANTS, active).alias("by_name"),
     )
 
 

@@ -9,7 +9,7 @@ from marlstone.plans.registry import query, table
 from marlstone.sources.files import round_trip
 from marlstone.sources.logs import CHAT_PAIRS_SQL, REQUEST_LOG_SQL, chat_pairs, request_log
 from marlstone.sources.snapshots import SchemaMismatch, SnapshotTable
-from marlstone.workspace import scratch
+from marlstone.workspace import scratch, temp_view
 
 PRIORITIES = [("1-URGENT", 1, True), ("2-HIGH", 2, True), ("3-MEDIUM", 3, False), ("4-NOT SPECIFIED", 4, False), ("5-LOW", 5, False)]
 PRIORITY_VALUES = ", ".join(f"('{name}', {rank}, {str(rush).lower()})" for name, rank, rush in PRIORITIES)
@@ -72,15 +72,9 @@ def orc_scan(spark, folder):
     JOIN (VALUES {PRIORITY_VALUES}) AS p(priority, priority_rank, rush) ON o_orderpriority = p.priority WHERE p.rush""",
 )
 def values_view(spark, folder):
-    table(spark, folder, "orders").createOrReplaceTempView("src_06_orders")
-    spark.sql(
-        "CREATE OR REPLACE TEMP VIEW src_06_priorities AS "
-        f"SELECT * FROM VALUES {PRIORITY_VALUES} AS p(priority, priority_rank, rush)"
-    )
-    return spark.sql(
-        """SELECT o_orderkey, priority_rank FROM src_06_orders
-        JOIN src_06_priorities ON o_orderpriority = priority WHERE rush"""
-    )
+    orders = temp_view(table(spark, folder, "orders"), "orders")
+    priorities = temp_view(spark.sql(f"SELECT * FROM VALUES {PRIORITY_VALUES} AS p(priority, priority_rank, rush)"), "priorities")
+    return spark.sql(f"SELECT o_orderkey, priority_rank FROM {orders} JOIN {priorities} ON o_orderpriority = priority WHERE rush")
 
 
 @query("src_07_overwrite", "SELECT p_partkey, p_brand, round(p_retailprice * 2, 4) AS p_retailprice FROM part")
@@ -146,8 +140,8 @@ def create_and_insert(spark, folder):
         f"CREATE TABLE {name} (request_id BIGINT, ts TIMESTAMP_NTZ, endpoint STRING, latency_ms INT) "
         f"USING parquet LOCATION '{path}'"
     )
-    table(spark, folder, "events").createOrReplaceTempView("src_11_events")
-    spark.sql(f"INSERT INTO {name} SELECT event_id, ts, event_type, CAST(floor(value) AS INT) FROM src_11_events")
+    events = temp_view(table(spark, folder, "events"), "events")
+    spark.sql(f"INSERT INTO {name} SELECT event_id, ts, event_type, CAST(floor(value) AS INT) FROM {events}")
     schema = spark.table(name).schema
     spark.sql(f"DROP TABLE {name}")  # external: the files stay
     return spark.read.schema(schema).parquet(path)

@@ -9,7 +9,7 @@ from marlstone.operators import quality as qu
 from marlstone.operators.relational import sigmoid
 from marlstone.plans.features import transactions
 from marlstone.plans.monitoring import INPUT_GUARD_SQL, SLIDING_LOG_SQL
-from marlstone.plans.registry import query
+from marlstone.plans.registry import query, table
 from marlstone.sources.logs import REQUEST_LOG_SQL, request_log
 from marlstone.streaming import jobs
 from marlstone.workspace import scratch
@@ -55,7 +55,16 @@ def minute_usage(spark, folder):
 
 @query("str_04_stream_admission", SLIDING_LOG_SQL)
 def stream_admission(spark, folder):
-    arriving = request_log(jobs.read_files(spark, f"{folder}/events*.parquet")).select("request_id", "user_id", "ts")
+    """Events arrive in four files by time, one file a batch."""
+    events, source = table(spark, folder, "events"), scratch(spark, "arriving")
+    instant = F.unix_micros(jobs.event_time(events, "ts"))
+    cuts = events.agg(F.percentile_approx(instant, [0.25, 0.5, 0.75], 1000)).first()[0] or []
+    part = F.lit(0)
+    for cut in cuts:
+        part = part + (instant > cut).cast("int")
+    for number in range(4):
+        events.where(part == number).coalesce(1).write.mode("append").parquet(source)
+    arriving = request_log(jobs.read_files(spark, source, files_per_batch=1)).select("request_id", "user_id", "ts")
     return jobs.admit(arriving, scratch(spark, "admitted"), "user_id", "ts", "request_id", limit=3, seconds=43200)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import functions as F
 
 from marlstone.functions import text as tx
@@ -10,7 +12,7 @@ from marlstone.operators import tokens as tk
 from marlstone.plans.registry import query, table, texts
 from marlstone.plans.retrieval import _words
 from marlstone.sources.logs import CHAT_PAIRS_SQL, REQUEST_LOG_SQL, chat_pairs, request_log
-from marlstone.workspace import written
+from marlstone.workspace import temp_view, written
 
 VOCABULARY_SQL = f"""all_words AS (SELECT doc_id, lang, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos
     FROM (SELECT doc_id, lang, {_words("lower(text)")} AS ws FROM documents)),
@@ -178,13 +180,13 @@ def template_variables(spark, folder):
 
 @query(
     "txt_11_render",
-    """SELECT doc_id, CASE WHEN lang = 'en' THEN 'Summarize the following text in ' || (1 + n_chars % 5) || ' sentences.' || chr(10) || chr(10) || 'Text: ' || text
-      || chr(10) || chr(10) || 'Summary:' ELSE 'Classify the following text.' || chr(10) || 'Text: ' || text END AS prompt FROM documents""",
+    """SELECT doc_id, CASE WHEN lang = 'en' THEN 'Say in ' || (1 + n_chars % 5) || ' sentences what this text is about.' || chr(10) || '---' || chr(10) || text
+      || chr(10) || '---' || chr(10) || 'Answer:' ELSE 'Name the topic of this text.' || chr(10) || text END AS prompt FROM documents""",
 )
 def render(spark, folder):
     template = F.when(
-        F.col("lang") == "en", "Summarize the following text in {length} sentences.\n\nText: {text}\n\nSummary:"
-    ).otherwise("Classify the following text.\nText: {text}")
+        F.col("lang") == "en", "Say in {length} sentences what this text is about.\n---\n{text}\n---\nAnswer:"
+    ).otherwise("Name the topic of this text.\n{text}")
     values = F.create_map(F.lit("text"), F.col("text"), F.lit("length"), (1 + F.col("n_chars") % 5).cast("string"))
     return table(spark, folder, "documents").select("doc_id", pr.render(template, values).alias("prompt"))
 
@@ -345,15 +347,13 @@ def last_user_message(spark, folder):
     return pr.last_user_message(table(spark, folder, "conversations"))
 
 
-@query(
-    "txt_22_batch_model",
-    """SELECT conv_id, turn, CASE WHEN contains(lower(text), 'thank') THEN 'positive' WHEN contains(text, '?') THEN 'question' ELSE 'neutral' END AS answer
-    FROM conversations""",
-)
+@query("txt_22_batch_model", "SELECT conv_id, turn, strip_accents(text) AS answer FROM conversations")
 def batch_model(spark, folder):
-    def rule(prompts: list[str]) -> list[str]:
-        return ["positive" if "thank" in p.lower() else "question" if "?" in p else "neutral" for p in prompts]
+    """A text-to-text callable that Spark has no expression for: letters without their accents."""
+
+    def answer(prompts: list[str]) -> list[str]:
+        return ["".join(c for c in unicodedata.normalize("NFD", p) if not unicodedata.combining(c)) for p in prompts]
 
-    spark.udf.register("ask_model", pr.batch_model(rule))
-    table(spark, folder, "conversations").createOrReplaceTempView("txt_22_conversations")
-    return spark.sql("SELECT conv_id, turn, ask_model(concat('', text)) AS answer FROM txt_22_conversations")
+    view = temp_view(table(spark, folder, "conversations"), "conversations")
+    spark.udf.register(f"ask_{view}", pr.batch_model(answer))
+    return spark.sql(f"SELECT conv_id, turn, ask_{view}(concat('', text)) AS answer FROM {view}")

@@ -132,21 +132,30 @@ def window_alerts(windows: DataFrame, key: str, rules: Sequence[tuple[str, str,
     return alerts(windows.select(subject, F.inline(measured)), "subject", rules).select("subject.*", "fired")
 
 
-def admit(log: DataFrame, path: str, key: str, ts: str, tie: str, limit: int, seconds: int) -> DataFrame:
+def admit(log: DataFrame, path: str, key: str, ts: str, tie: str, limit: int, seconds: int, delay: int = 86_400) -> DataFrame:
     """Sliding-log admission over a stream: decisions per request, the log of each key carried between batches.
 
-    The carried log is a small table per batch id (at most ``limit`` rows a key). Within a batch
-    the work is split as in the batch operator, so a hot key is not one task.
+    The carried log is a small table per batch id (at most ``limit`` rows a key). Entries older than the newest request less
+    the window and ``delay`` seconds are dropped, so only keys seen lately are kept. A request that comes later than
+    ``delay`` behind the newest one is decided on what is still kept, so it may be admitted where an earlier decision
+    is forgotten. Within a batch the work is split as in the batch operator, so a hot key is not one task.
     """
     spark = log.sparkSession
+    state = T._parse_datatype_string(STATE)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         own = batch.sparkSession
         # batch ids count up from 0 without gaps, and the state of a batch is written before its commit
-        carried = own.read.schema(STATE).parquet(f"{path}/state/{batch_id - 1}") if batch_id else None
+        carried = own.read.schema(state).parquet(f"{path}/state/{batch_id - 1}") if batch_id else None
         decided, ends = sliding_log(batch, key, ts, tie, limit, seconds, carried=carried)
         decided.write.mode("overwrite").parquet(f"{path}/decisions/batch={batch_id}")
-        ends.write.mode("overwrite").parquet(f"{path}/state/{batch_id}")
+        seen = batch.agg(F.max(micros(ts, batch.schema[ts].dataType)).alias("newest"))
+        if batch_id:
+            seen = seen.union(own.read.schema("newest bigint").parquet(f"{path}/newest/{batch_id - 1}"))
+        newest = seen.agg(F.max("newest").alias("newest")).first()["newest"]
+        own.createDataFrame([(newest,)], "newest bigint").coalesce(1).write.mode("overwrite").parquet(f"{path}/newest/{batch_id}")
+        kept = ends if newest is None else ends.where(F.col("_at") >= newest - (seconds + delay) * 1_000_000)
+        kept.write.mode("overwrite").parquet(f"{path}/state/{batch_id}")
 
     run_batches(log, path, handle, "append")
     layout = T.StructType([*log.schema.fields, T.StructField("allowed", T.BooleanType()), T.StructField("remaining", T.LongType())])

@@ -34,6 +34,13 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def temp_view(df: DataFrame, label: str) -> str:
+    """Register ``df`` under a name no other caller has, and return the name."""
+    name = f"{label}_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(name)
+    return name
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back: cuts lineage, survives executor loss."""
     spark = df.sparkSession

@@ -44,6 +44,19 @@ def test_admission_over_batches(spark, parts):
     assert rows(got.select("request_id", "allowed", "remaining")) == rows(want.select("request_id", "allowed", "remaining"))
 
 
+def test_admission_forgets_keys_that_are_gone(spark, parts):
+    """A key a day: the carried log holds the keys of the window and the allowed delay only."""
+    path, target = scratch(spark, "days"), scratch(spark, "forgetting")
+    for day in range(6):
+        rows = [(f"r{day}-{i}", f"u{day}-{i}", day * 86_400 + i) for i in range(5)]
+        df = spark.createDataFrame(rows, "request_id string, user_id string, s long")
+        df.select("request_id", "user_id", F.timestamp_seconds("s").alias("ts")).coalesce(1).write.mode("append").parquet(path)
+    arriving = jobs.read_files(spark, path, files_per_batch=1)
+    assert jobs.admit(arriving, target, "user_id", "ts", "request_id", 2, 3600, delay=86_400).count() == 30
+    kept = [spark.read.parquet(f"{target}/state/{batch}").select("_key").distinct().count() for batch in range(6)]
+    assert kept[0] == 5 and max(kept) <= 10
+
+
 def test_restart_adds_only_new_files(spark, parts):
     path, events = parts
     target = scratch(spark, "restart")
