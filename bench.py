@@ -15,6 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from marlstone.plans import load  # noqa: E402
 from marlstone.session import local_session  # noqa: E402
+from marlstone.workspace import scope  # noqa: E402
 
 HEADLINE = [
     "src_04_parquet_scan",
@@ -56,9 +57,10 @@ HEADLINE = [
 
 
 def timed(run, spark, folder: str) -> float:
-    start = time.perf_counter()
-    run(spark, folder).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - start
+    with scope(spark):
+        start = time.perf_counter()
+        run(spark, folder).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
 
 
 def main() -> None:

@@ -31,13 +31,3 @@ def query(name: str, sql: str | None = None) -> Callable[[Plan], Plan]:
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
-def texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table of long texts for per-row work in Python.
-
-    A table with fewer file splits than cores is spread over the cores; a large one has more splits and stays put.
-    """
-    rows = table(spark, folder, name)
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows

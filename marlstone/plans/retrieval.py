@@ -11,7 +11,7 @@ from marlstone.functions import text as tx
 from marlstone.functions.embed import word_embedding
 from marlstone.operators import blocks, chunks, vectors
 from marlstone.operators import retrieval as re
-from marlstone.plans.registry import query, table, texts
+from marlstone.plans.registry import query, table
 from marlstone.plans.relational import CENTROIDS_SQL
 from marlstone.plans.vectors import word_hash_sql
 from marlstone.sources.logs import CHAT_PAIRS_SQL, chat_pairs
@@ -57,7 +57,7 @@ def _rerank_sql(score: str, k: int | None) -> str:
 
 
 def documents_of(spark, folder):
-    return texts(spark, folder, "documents").select("doc_id", "text")
+    return table(spark, folder, "documents").select("doc_id", "text")
 
 
 def questions_of(spark, folder):
@@ -71,7 +71,7 @@ def _stored(spark, folder, kind, make):
     """A table that an application builds once per folder and every later query reads."""
     key = (spark.sparkContext.applicationId, folder, kind)
     if key not in _stores:
-        path = scratch(spark, kind)
+        path = scratch(spark, kind, keep=True)
         make().write.parquet(path)
         _stores[key] = path
     return spark.read.parquet(_stores[key])
@@ -171,7 +171,7 @@ def chunk_offsets(spark, folder):
     CAST(64 * count(*) AS BIGINT) AS n_slots FROM chunks JOIN documents USING (doc_id) GROUP BY 1""",
 )
 def ingest(spark, folder):
-    documents = texts(spark, folder, "documents").select("doc_id", "source", "text")
+    documents = table(spark, folder, "documents").select("doc_id", "source", "text")
     path = scratch(spark, "ingest")
     cut = re.ingest(documents, SIZE, LAP, carry=["source"])
     cut.write.partitionBy("source").parquet(path)
@@ -274,7 +274,7 @@ _BLOCKED = ["password", "secret", "confidential", "ssn"]
     CASE WHEN reason IS NULL THEN sources END AS sources FROM guard LEFT JOIN c USING (query_id)""",
 )
 def answer_questions(spark, folder):
-    documents = texts(spark, folder, "documents")
+    documents = table(spark, folder, "documents")
     titles = documents.select("doc_id", F.col("source").alias("title"))
     found = re.answer_questions(
         chunk_store(spark, folder), questions_of(spark, folder), _BLOCKED, 4096, 3, titles

@@ -9,11 +9,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
-_intermediates: dict[str, list[str]] = {}
+#: Paths of each application: first those made outside any scope, then those of the open scopes, the innermost last.
+_paths: dict[str, list[list[str]]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -29,9 +32,36 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
-def scratch(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+def scratch(spark: SparkSession, label: str, keep: bool = False) -> str:
+    """A new, unused path below the shared folder. It belongs to the innermost open scope unless it is to be kept."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    if not keep:
+        _paths.setdefault(spark.sparkContext.applicationId, [[]])[-1].append(path)
+    return path
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> int:
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for path in paths:
+        target = hadoop.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return len(paths)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Own every path made inside: intermediates, table snapshots and stream folders go when the block ends.
+
+    Store or collect results inside it. Paths of other callers stay.
+    """
+    stack = _paths.setdefault(spark.sparkContext.applicationId, [[]])
+    own: list[str] = []
+    stack.append(own)
+    try:
+        yield
+    finally:
+        stack[:] = [paths for paths in stack if paths is not own]
+        _delete(spark, own)
 
 
 def temp_view(df: DataFrame, label: str) -> str:
@@ -45,16 +75,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back: cuts lineage, survives executor loss."""
     spark = df.sparkSession
     path = scratch(spark, label)
-    _intermediates.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_intermediates(spark: SparkSession) -> int:
-    """Delete what ``written`` stored in this session. Call it when the results that read from it are stored or collected."""
-    paths = _intermediates.pop(spark.sparkContext.applicationId, [])
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    for path in paths:
-        target = hadoop.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-    return len(paths)
+    """Delete the paths made outside any scope. Call it when the results that read from them are stored or collected."""
+    stack = _paths.setdefault(spark.sparkContext.applicationId, [[]])
+    paths, stack[0] = stack[0], []
+    return _delete(spark, paths)
