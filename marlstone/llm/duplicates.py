@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -150,6 +150,12 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").withColumn("both", both).filter(100 * F.col("both") >= PERCENT * (F.col("n") + F.col("m") - F.col("both"))).select("a", "b")
 
 
+def star(members: DataFrame, centres: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of each centre (bucket, centre, centre_n) and the members of its bucket whose size allows a link."""
+    met = members.join(centres, "bucket").filter(F.col("node") != F.col("centre")).filter(similar_sizes(F.col("n"), F.col("centre_n")))
+    return met.select(*pair(F.col("node"), F.col("centre"))).distinct()
+
+
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest id reachable over links) and kept, for every document.
 
@@ -157,14 +163,17 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     words, all of them as one. Null, empty and blank texts have empty sets and are linked with nothing.
 
     1. Documents of one set become a class, named by its smallest id; only classes go on.
-    2. Classes that share a band key share a bucket. A bucket's smallest class is linked to the others like a star,
-       after sizes that rule a link out; so a bucket of n classes makes n - 1 pairs. Pairs are confirmed on full sets.
-    3. A link between two members that the star has not compared can only matter if they are in different components.
-       As long as a bucket has members outside its first one's component, some of those that have not been a centre yet
-       (twice as many each time) become centres of stars to the members of other components.
+    2. Classes that share a band key share a bucket. Each bucket has two stars: from its smallest class, and from the one that
+       shares most buckets with others (the text that copies were made from). Pairs whose sizes rule a link out are
+       left out, the others are confirmed on full sets.
+    3. Only a link between different components could still change the result. Each bucket with members outside the component of its
+       second centre has a third star from one of them, drawn by a hash, to the members of other components.
+
+    So a bucket of n members makes 3n pairs at most. A linked pair shares ten buckets or more, each with its own third
+    centre; a link is lost if its ends are centres in none of them and no other path joins them.
 
     Rows of equal id count as one node; rows of null id belong to no group (component_id null, kept). Empty tables give
-    no rows. Texts of classes that are in a pair are read again and shuffled; no other text is.
+    no rows. Texts of classes in shared buckets are read again and shuffled; no other text is.
     """
     documents = df.select(df[key].cast("long").alias("id"), df[text].cast("string").alias("text"))
     signs = written(signed(documents, "id", "text"), "signatures")
@@ -172,56 +181,30 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     classes = usable.groupBy("set_low", "set_high").agg(F.min("id").alias("node"), F.max("n_shingles").alias("n"), F.min_by("bands", "id").alias("bands"))
     classes = written(classes, "classes")
     dealt = classes.select(F.explode("bands").alias("bucket"), "node", "n")
-    crowded = dealt.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("first"), F.count(F.lit(1)).alias("members")).filter("members > 1")
-    members = written(
-        dealt.join(crowded.select("bucket", F.col("first.node").alias("first"), F.col("first.n").alias("first_n")), "bucket"), "members"
-    )
-    tested = written(
-        members.filter(F.col("node") != F.col("first")).filter(similar_sizes(F.col("n"), F.col("first_n"))).select(*pair(F.col("node"), F.col("first"))).distinct(),
-        "pairs",
-    )
-    sized = classes.select(F.col("node").alias("id"), "n")
-    needed = tested.select(F.col("a").alias("id")).union(tested.select("b")).distinct()
-    sets = written(shingle_sets(documents.join(needed, "id", "left_semi")).join(sized, "id"), "sets")
+    crowded = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    members = written(dealt.join(crowded, "bucket"), "members")
+    mates = members.groupBy("node").agg(F.sum(F.col("size") - 1).alias("mates"), F.max("n").alias("n"))
+    mates = written(mates, "mates")
+    sets = written(shingle_sets(documents.join(mates.select(F.col("node").alias("id")), "id", "left_semi")).join(mates.select(F.col("node").alias("id"), "n"), "id"), "sets")
+    by_mates = F.struct("mates", (-F.col("node")).alias("minus"), "n")
+    heads = members.join(mates.select("node", "mates"), "node").groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("least"), F.max(by_mates).alias("most"))
+    heads = written(heads.select("bucket", "least", F.struct((-F.col("most.minus")).alias("node"), F.col("most.n").alias("n")).alias("most")), "heads")
+    both = heads.select("bucket", F.explode(F.array_distinct(F.array("least", "most"))).alias("c"))
+    tested = written(star(members, both.select("bucket", F.col("c.node").alias("centre"), F.col("c.n").alias("centre_n"))), "pairs")
     links = written(confirmed(tested, sets), "links")
     labels = components(links)
-    used = members.select("bucket", F.col("first").alias("node")).limit(0)
-    centres = 1
-    while True:
-        named = (
-            members.join(labels, members["node"] == labels["id"], "left")
-            .select("bucket", "node", "n", "first", F.coalesce("label", "node").alias("label"))
-            .join(labels.select(F.col("id").alias("first"), F.col("label").alias("home")), "first", "left")
-            .withColumn("home", F.coalesce("home", "first"))
-        )
-        outside = named.filter("label <> home").join(used, ["bucket", "node"], "left_anti")
-        order = Window.partitionBy("bucket").orderBy(F.xxhash64("bucket", "node"))
-        chosen = written(outside.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= centres).select("bucket", "node", "n", "label"), "centres")
-        if chosen.isEmpty():
-            break
-        centre = chosen.select("bucket", F.col("node").alias("centre"), F.col("n").alias("centre_n"), F.col("label").alias("centre_label"))
-        fresh = (
-            named.join(centre, "bucket")
-            .filter((F.col("label") != F.col("centre_label")) & similar_sizes(F.col("n"), F.col("centre_n")))
-            .select(*pair(F.col("node"), F.col("centre")))
-            .distinct()
-            .join(tested, ["a", "b"], "left_anti")
-        )
-        fresh = written(fresh, "pairs")
-        used = written(used.union(chosen.select("bucket", "node")), "used")
-        centres *= 2
-        if fresh.isEmpty():
-            continue
-        tested = written(tested.union(fresh), "tested")
-        absent = fresh.select(F.col("a").alias("id")).union(fresh.select("b")).distinct().join(sets.select("id"), "id", "left_anti")
-        if not absent.isEmpty():
-            more = shingle_sets(documents.join(absent, "id", "left_semi")).join(sized, "id")
-            sets = written(sets.union(more), "sets")
-        found = written(confirmed(fresh, sets), "links")
-        if not found.isEmpty():
-            links = written(links.union(found), "links")
-            labels = components(links)
-    named = classes.join(labels, classes["node"] == labels["id"], "left").select("set_low", "set_high", F.coalesce("label", "node").alias("label"))
-    grouped = signs.join(named, ["set_low", "set_high"], "left")
+    home = heads.select("bucket", F.col("most.node").alias("id")).join(labels, "id", "left").select("bucket", F.coalesce("label", "id").alias("home"))
+    named = members.join(labels, members["node"] == labels["id"], "left").select("bucket", "node", "n", F.coalesce("label", "node").alias("label"))
+    named = written(named.join(home, "bucket"), "named")
+    drawn = F.min(F.struct(F.xxhash64("bucket", "node").alias("draw"), "node", "n", "label"))
+    third = named.filter("label <> home").groupBy("bucket").agg(drawn.alias("c"))
+    third = third.select("bucket", F.col("c.node").alias("centre"), F.col("c.n").alias("centre_n"), F.col("c.label").alias("away"))
+    apart = named.join(third.select("bucket", "away"), "bucket").filter("label <> away").drop("away")
+    fresh = star(apart, third.drop("away")).join(tested, ["a", "b"], "left_anti")
+    more = written(confirmed(fresh, sets), "links")
+    if not more.isEmpty():
+        labels = components(links.union(more))
+    found = classes.join(labels, classes["node"] == labels["id"], "left").select("set_low", "set_high", F.coalesce("label", "node").alias("label"))
+    grouped = signs.join(found, ["set_low", "set_high"], "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("id").isNotNull(), F.col("label")).otherwise(F.col("id"))
     return grouped.select(F.col("id").alias("doc_id"), "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
