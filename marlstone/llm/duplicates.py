@@ -15,6 +15,8 @@ WORDS = 5
 PERCENT = 75
 #: Bins of a signature and bins of a band. 32 bands of 4 miss a pair of similarity 0.75 with probability 0.00001.
 BINS, ROWS = 128, 4
+#: Ratio of the sizes at the ends of a size band of the prefix filter.
+WIDTH = 1.05
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -156,6 +158,36 @@ def star(members: DataFrame, centres: DataFrame) -> DataFrame:
     return met.select(*pair(F.col("node"), F.col("centre"))).distinct()
 
 
+def prefix_pairs(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of ``nodes`` (node, label) with different labels, among them every such pair that ``confirmed`` keeps.
+
+    A set's shingles are ordered by the number of sets that hold them, rare ones first. A linked pair of n <= m shingles has
+    3 (n + m) / 7 in common, so the first common one stands before as many others in both sets. Only these prefixes meet:
+    at most a seventh of the smaller set, and a quarter of the larger one. The smaller set's prefix is cut for each band of
+    sizes it can meet, so shingles that thousands of sets share meet only where they could make a link.
+    """
+    some = sets.join(nodes.select(F.col("node").alias("id"), "label"), "id").select("id", "label", "n", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
+    some = written(some, "shingles")
+    common = some.groupBy("shingle").agg(F.count(F.lit(1)).alias("held"))
+    # a shingle of one set meets no other, but keeps its place
+    held = some.join(common, "shingle").groupBy("id", "label", "n", "size").agg(F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("rare"))
+    head = F.slice("rare", F.lit(1), F.greatest(F.lit(0), F.col("size") - F.ceil(3 * F.col("n") / 4).cast("int") + 1))
+    found = written(held.select("id", "label", "n", "size", F.posexplode(head).alias("place", "c")).filter("c.held > 1").select("id", "label", "n", (F.col("size") - F.col("place")).alias("left"), F.col("c.shingle").alias("shingle")), "prefixes")
+
+    def band(n: Column) -> Column:
+        return F.floor(F.log(n) / F.log(F.lit(WIDTH))).cast("int")
+
+    small = found.select(F.col("id").alias("one"), F.col("label").alias("one_label"), F.col("n").alias("one_n"), F.col("left").alias("one_left"), "shingle")
+    small = small.withColumn("band", F.explode(F.sequence(band(F.col("one_n")), band(F.col("one_n") * 4 / 3 + 0.01))))
+    lowest = F.greatest(F.col("one_n"), F.floor(F.pow(F.lit(WIDTH), "band")))
+    small = small.filter(7 * F.col("one_left") >= 3 * (F.col("one_n") + lowest))
+    large = found.withColumn("band", band(F.col("n")))
+    ordered = F.struct("one_n", "one") < F.struct("n", "id")
+    enough = 7 * F.least("one_left", "left") >= 3 * (F.col("one_n") + F.col("n"))
+    met = small.join(large, ["shingle", "band"]).filter(ordered & (F.col("one_label") != F.col("label")) & similar_sizes(F.col("one_n"), F.col("n")) & enough)
+    return met.select(*pair(F.col("one"), F.col("id"))).distinct()
+
+
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest id reachable over links) and kept, for every document.
 
@@ -168,9 +200,10 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
        left out, the others are confirmed on full sets.
     3. Only a link between different components could still change the result. Each bucket with members outside the component of its
        second centre has a third star from one of them, drawn by a hash, to the members of other components.
+    4. Members that are no centre and are still in different components of one bucket have not been compared. Those of all
+       buckets meet by a prefix filter on their full sets, which misses no linked pair.
 
-    So a bucket of n members makes 3n pairs at most. A linked pair shares ten buckets or more, each with its own third
-    centre; a link is lost if its ends are centres in none of them and no other path joins them.
+    So every linked pair that shares a bucket is compared, unless its ends are in one component already.
 
     Rows of equal id count as one node; rows of null id belong to no group (component_id null, kept). Empty tables give
     no rows. Texts of classes in shared buckets are read again and shuffled; no other text is.
@@ -203,7 +236,17 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     fresh = star(apart, third.drop("away")).join(tested, ["a", "b"], "left_anti")
     more = written(confirmed(fresh, sets), "links")
     if not more.isEmpty():
-        labels = components(links.union(more))
+        links = links.union(more)
+        labels = components(links)
+    centres = both.select("bucket", F.col("c.node").alias("node")).union(third.select("bucket", F.col("centre").alias("node")))
+    rest = members.select("bucket", "node").join(centres, ["bucket", "node"], "left_anti").join(labels, F.col("node") == labels["id"], "left")
+    rest = written(rest.select("bucket", "node", F.coalesce("label", "node").alias("label")), "rest")
+    mixed = rest.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("bucket")
+    nodes = written(rest.join(mixed, "bucket").select("node", "label").distinct(), "uncompared")
+    if not nodes.isEmpty():
+        last = written(confirmed(prefix_pairs(nodes, sets), sets), "links")
+        if not last.isEmpty():
+            labels = components(links.union(last))
     found = classes.join(labels, classes["node"] == labels["id"], "left").select("set_low", "set_high", F.coalesce("label", "node").alias("label"))
     grouped = signs.join(found, ["set_low", "set_high"], "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("id").isNotNull(), F.col("label")).otherwise(F.col("id"))

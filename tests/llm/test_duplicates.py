@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from marlstone.llm import duplicates as d
 from marlstone.llm.components import components
@@ -95,6 +96,37 @@ def test_members_that_only_link_past_the_centre_are_found(spark):
     assert {c for _, c, _ in out.values()} == {0}
 
 
+def test_linked_pairs_in_a_crowd_that_shares_boilerplate_are_found(spark):
+    """300 texts of similarity just below 0.75 with each other, of which 100 pairs share a few words more and are linked."""
+    common = " ".join(f"c{i}" for i in range(404))
+    rows = []
+    for i in range(100):
+        more = " ".join(f"m{i}_{j}" for j in range(16))
+        rows += [(3 * i + k, " ".join([common, more, *(f"o{i}_{k}_{j}" for j in range(56))])) for k in (0, 1)]
+        rows += [(3 * i + 2, " ".join([common, *(f"o{i}_2_{j}" for j in range(72))]))]
+    out = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in d.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    want = brute(rows)
+    assert len({c for _, c, _ in want.values()}) == 200
+    assert out == want
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_prefixes_of_every_linked_pair_meet(spark, seed):
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(400)]
+    common = [rng.choice(vocabulary) for _ in range(60)]
+    texts = [t for _ in range(15) for t in family(rng, vocabulary)]
+    texts += [" ".join(common + [rng.choice(vocabulary) for _ in range(rng.randrange(25))]) for _ in range(80)]
+    texts += ["hi", "hi there", "a b c d e", "a b c d e f"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    sets = d.shingle_sets(df).withColumn("n", F.size("shingles").cast("long"))
+    found = {(r.a, r.b) for r in d.prefix_pairs(df.selectExpr("id AS node", "id AS label"), sets).collect()}
+    own = [shingles(t) for t in texts]
+    want = {(i, j) for i in range(len(own)) for j in range(i + 1, len(own)) if linked(own[i], own[j])}
+    assert want <= found
+    assert len(found) < len(own) * (len(own) - 1) / 4
+
+
 def test_empty_table_null_ids_and_repeated_ids(spark):
     schema = "doc_id long, text string"
     assert d.near_duplicates(spark.createDataFrame([], schema)).collect() == []
