@@ -15,8 +15,8 @@ from marlstone.llm.texts import map_texts, mix
 
 #: Code points of an anchor, and of the inner substring that decides.
 K, S = 24, 13
-#: Anchors in a fingerprint string.
-SKETCH = 64
+#: Characters of results that a task gathers before it hands them on, unless a single row has more.
+HELD_CHARS = 8_000_000
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -77,9 +77,23 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both)
 
 
-def sketch(distinct: np.ndarray, size: int = SKETCH) -> str:
-    """The smallest distinct anchors as hexadecimal digits, 8 each."""
-    return (distinct[:size] >> np.uint64(32)).astype(">u4").tobytes().hex()
+def sketch(distinct: np.ndarray) -> str:
+    """All distinct anchors in ascending order as hexadecimal digits, 16 each."""
+    return distinct.astype(">u8").tobytes().hex()
+
+
+def distinct_anchors(text: str) -> Anchors:
+    """The distinct anchors in ascending order, each with its first place."""
+    found = syncmers(text)
+    hashes, first = np.unique(found.hashes, return_index=True)
+    return Anchors(hashes, found.places[first])
+
+
+def passage_share(a: Anchors, b: Anchors) -> float:
+    """Anchors of the largest passage that both have at one distance, as a share of the distinct anchors of the smaller side; 1 for two empty ones."""
+    if not len(a.hashes) or not len(b.hashes):
+        return float(len(a.hashes) == len(b.hashes))
+    return max((n for _, _, n in shared_passages(a, b)), default=0) / min(len(a.hashes), len(b.hashes))
 
 
 def shared_passages(a: Anchors, b: Anchors) -> list[tuple[int, int, int]]:
@@ -145,10 +159,13 @@ def neighbours(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 def compare_edited(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Fingerprints of every whole text (null: empty) and of its edited text, whose second half comes from the next document.
 
+    A fingerprint holds all distinct anchors, and the places beside it (in the same order) where each stands first. ``near``
+    compares the sets of anchors, ``passage`` matches them by their places.
+
     The next document is the one after it by descending key, and after the last one the first; rows of one key are ordered
     by text, a null key comes last. A single row follows itself. An empty table gives no rows.
     """
-    schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, places array<long>, edited_places array<long>, passage_edited double, passage_next double"
     names = [c.split()[0] for c in schema.split(", ")]
 
     def walk(batches):
@@ -159,19 +176,32 @@ def compare_edited(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
             _, doc_id, body, own = held
             half = len(body) // 2
             edited = body[: len(body) - half] + following_text[:half]
-            changed = np.unique(syncmers(edited).hashes)
+            changed = distinct_anchors(edited)
             digest = hashlib.sha256(edited.encode()).hexdigest()
-            rows.append((doc_id, len(body), digest, sketch(own), sketch(changed), likeness(own, changed), likeness(own, following)))
+            near = likeness(own.hashes, changed.hashes), likeness(own.hashes, following.hashes)
+            passages = passage_share(own, changed), passage_share(own, following)
+            rows.append((doc_id, len(body), digest, sketch(own.hashes), sketch(changed.hashes), *near, own.places, changed.places, *passages))
+            return 24 * (len(own.hashes) + len(changed.hashes))
+
+        def gathered():
+            made = pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*rows, strict=True), kinds.types, strict=True)], schema=kinds)
+            rows.clear()
+            return made
 
+        size = 0
         for batch in batches:
             for run, borrowed, doc_id, body in zip(*[batch.column(i).to_pylist() for i in range(4)], strict=True):
-                distinct = np.unique(syncmers(body).hashes)
+                distinct = distinct_anchors(body)
                 if held and held[0] == run:
-                    settle(body, distinct)
+                    size += settle(body, distinct)
                 held = None if borrowed else (run, doc_id, body, distinct)
+                if size > HELD_CHARS:
+                    yield gathered()
+                    size = 0
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=names).cast(kinds)
-                rows.clear()
+                yield gathered()
+                size = 0
 
-    kinds = pa.schema([(n, {"long": pa.int64(), "string": pa.string(), "double": pa.float64()}[c.split()[1]]) for n, c in zip(names, schema.split(", "), strict=True)])
+    types = {"long": pa.int64(), "string": pa.string(), "double": pa.float64(), "array<long>": pa.list_(pa.int64())}
+    kinds = pa.schema([(n, types[c.split()[1]]) for n, c in zip(names, schema.split(", "), strict=True)])
     return neighbours(df, key, text).mapInArrow(walk, schema)

@@ -87,3 +87,30 @@ def test_odd_documents(spark):
     one = f.compare_edited(spark.createDataFrame([(3, "just one text, followed by itself")], "doc_id long, text string")).first()
     assert one.near_next == 1.0
     assert len(f.anchors(df, ["doc_id"]).collect()) == df.count()
+
+
+def test_fingerprints_of_long_texts_hold_every_anchor_with_its_place(spark):
+    """Two texts of 20,000 words share a passage of 50: both fingerprints have its anchors, and the places match."""
+    rng = random.Random(8)
+
+    def prose(n):
+        return " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+
+    passage = prose(50)
+    left, right = (f"{prose(12000)} {passage} {prose(7950)}" for _ in range(2))
+    out = by_id(f.compare_edited(spark.createDataFrame([(1, left), (2, right)], "doc_id long, text string")))
+    held = {}
+    for i, text in ((1, left), (2, right)):
+        string, places = out[i]["fingerprint"], out[i]["places"]
+        assert len(string) == 16 * len(places)
+        held[i] = dict(zip([int(string[k : k + 16], 16) for k in range(0, len(string), 16)], places, strict=True))
+        every = f.syncmers(text)
+        first = {}
+        for h, p in zip(every.hashes.tolist(), every.places.tolist(), strict=True):
+            first.setdefault(h, p)
+        assert held[i] == first
+    inside = set(f.syncmers(passage).hashes.tolist())
+    assert len(inside) > 20 and inside <= held[1].keys() & held[2].keys()
+    assert {held[1][h] - left.index(passage) for h in inside} == {held[2][h] - right.index(passage) for h in inside}
+    assert len(inside) / len(held[1]) * 0.9 < out[1]["passage_next"] < 0.05
+    assert 0.4 < out[1]["passage_edited"] < 0.6
