@@ -75,11 +75,14 @@ def places_of(slots: np.ndarray) -> np.ndarray:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", rows: int = SAMPLE_ROWS) -> DataFrame:
-    """(label, text) of at most ``rows`` labelled documents that are not held out. The labels are broadcast: ``rows`` bounds them."""
+    """(label, text) of at most ``rows`` labelled documents that are not held out, one row per label. The labels are broadcast.
+
+    A document that occurs in several rows counts once, with the smallest of its texts; so does a label that occurs in several rows.
+    """
     known = labels.select(labels[key].cast("long").alias("id"), labels[label].cast("int").alias("label")).filter("id IS NOT NULL AND label IN (0, 1)")
-    chosen = known.filter(~held_out(F.col("id"))).orderBy(F.xxhash64("id"), "id", "label").limit(rows)
+    chosen = known.filter(~held_out(F.col("id"))).distinct().orderBy(F.xxhash64("id"), "id", "label").limit(rows)
     texts = docs.select(docs[key].cast("long").alias("id"), F.coalesce(docs[text].cast("string"), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(chosen), "id").select("label", "text")
+    return texts.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text")).select("label", "text")
 
 
 def ratios(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:

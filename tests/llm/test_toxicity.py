@@ -96,3 +96,13 @@ def test_odd_documents(spark):
     none = tox.toxicity(df, labels.limit(0)).collect()
     assert {r.score for r in none} == {0.5}
     assert tox.toxicity(empty_documents(spark), labels).collect() == []
+
+
+def test_repeated_rows_of_a_document_enter_the_sample_once(spark):
+    docs = spark.createDataFrame([(1, "hot text")] * 500 + [(1, "hot words"), (3, "b"), (4, None)], "doc_id long, text string").repartition(7)
+    labels = spark.createDataFrame([(1, 1), (1, 1), (3, 0), (4, 0)], "doc_id long, toxic int")
+    known = {i for i in (1, 3, 4) if not held_out(i)}
+    want = sorted((t, x) for i, t, x in ((1, 1, "hot text"), (3, 0, "b"), (4, 0, "")) if i in known)
+    assert 1 in known
+    assert sorted((r.label, r.text) for r in tox.labelled(docs, labels).collect()) == want
+    assert tox.labelled(docs, labels, rows=1).count() == 1
