@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marlstone.llm.texts import code_points, held_out, map_texts, slices
+from marlstone.llm.texts import code_points, held_out, map_texts, per_process, slices
 
 #: Grams have one to three letters; their hashes have so many values.
 LONGEST, SLOTS = 3, 1 << 20
@@ -19,9 +19,9 @@ _SPREAD = np.uint32(0x9E3779B1)
 
 
 def letter_table() -> np.ndarray:
-    """Lower-case letters of the basic plane; anything else is 0 and separates words."""
-    table = np.zeros(0x10000, dtype=np.uint32)
-    for point in range(0x10000):
+    """Lower-case letters of all planes; anything else is 0 and separates words."""
+    table = np.zeros(0x110000, dtype=np.uint32)
+    for point in range(0x110000):
         c = chr(point)
         if c.isalpha():
             table[point] = ord(c.lower()[0])
@@ -31,7 +31,7 @@ def letter_table() -> np.ndarray:
 def gram_slots(texts: list[str | None], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all grams within words (a word's ends count as a letter) of all texts, and the text of each gram."""
     points, begins = code_points(texts)
-    letters = np.where(points > 0xFFFF, 0, table[np.minimum(points, 0xFFFF)]).astype(np.uint32)
+    letters = table[points]
     owner = np.repeat(np.arange(len(texts)), np.diff(begins))
     slots, owners = [], []
     hashed = letters.copy()
@@ -58,7 +58,7 @@ def profiles(df: DataFrame, text: str, lang: str) -> dict[str, np.ndarray]:
     source = df.select(df[lang].cast("string").alias("lang"), df[text].cast("string").alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
 
     def run(batches):
-        table, sums = letter_table(), {}
+        table, sums = per_process(("letters",), letter_table), {}
 
         def flush():
             for name, total in sums.items():
@@ -110,7 +110,7 @@ def predict(df: DataFrame, keep: list[str], known: dict[str, np.ndarray], text:
     langs = list(known)
 
     def factory():
-        table = letter_table()
+        table = per_process(("letters",), letter_table)
         ranks = np.full((len(langs), SLOTS), RANKS, dtype=np.int16)
         for row, slots in zip(ranks, known.values(), strict=True):
             row[slots] = np.arange(len(slots))
@@ -123,7 +123,6 @@ def predict(df: DataFrame, keep: list[str], known: dict[str, np.ndarray], text:
             found, scores = ["und"] * len(texts), [0.0] * len(texts)
             for i, (a, b) in enumerate(zip(ends, ends[1:], strict=False)):
                 if not langs or a == b:
-                    # letters beyond the basic plane are in no profile
                     continue
                 own = ranked(slots[a:b])
                 distance = out_of_place(own, ranks)

@@ -79,3 +79,13 @@ def test_ties_go_to_the_first_language():
     assert lang.out_of_place(np.array([1, 2]), ranks).tolist() == [2 * lang.RANKS] * 2
     ranks[1, 2] = 0
     assert lang.out_of_place(np.array([1, 2]), ranks).tolist() == [2 * lang.RANKS, lang.RANKS + 1]
+
+
+def test_letters_beyond_the_basic_plane_are_learned(spark):
+    gothic, adlam = ("".join(chr(first + i % n) + " " * (i % 5 == 4) for i in range(60)) for first, n in ((0x10330, 26), (0x1E922, 33)))
+    rows = [(i, t, name) for i, (t, name) in enumerate([(gothic, "got"), (adlam, "ff"), ("plain words of a text", "en")] * 8)]
+    out = by_id(lang.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")))
+    assert {i: out[i]["lang_pred"] for i, _, _ in rows} == {i: name for i, _, name in rows}
+    assert all(r["score"] > 0.5 for r in out.values())
+    table = lang.letter_table()
+    assert table[0x1E900] == 0x1E922 and table[0x20000] == 0x20000 and table[0x1F600] == 0
