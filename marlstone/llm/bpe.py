@@ -20,6 +20,9 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import regex
 
+#: Bytes of chunks that an encoder remembers at most, and what an entry takes besides its characters and ids.
+REMEMBER, ENTRY = 24_000_000, 220
+
 _NONE = np.int64(1) << 30
 _SLOTS = 18
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -78,7 +81,7 @@ def sufficient_lookahead(rules: list[tuple[int, int, int]], lengths: dict[int, i
 class Bpe:
     """Tables of one tokenizer file (the text of its JSON). Words come from ``pieces``, ids from ``encode_words``."""
 
-    def __init__(self, text: str, window: int | None = None, remember: int = 400_000):
+    def __init__(self, text: str, window: int | None = None, remember: int = REMEMBER):
         self.remember = remember
         spec = json.loads(text)
         model = spec["model"]
@@ -113,6 +116,7 @@ class Bpe:
         self._fill([a for a, _, _ in rules], [b for _, b, _ in rules])
         self.result = np.array([c for _, _, c in rules] + [0], dtype=np.int64)
         self._known: dict[str, bytes] = {}
+        self._held = 0
 
     @staticmethod
     def _words_pattern(spec: dict) -> str:
@@ -298,7 +302,7 @@ class Bpe:
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """Ids of each text (None: none) as little-endian unsigned 32-bit integers.
 
-        The ids of up to ``remember`` chunks are kept from call to call; when there are more, all are forgotten.
+        Chunks and their ids are kept from call to call as long as they take about ``remember`` bytes; beyond that, all are forgotten.
         """
         parts: list[list] = []
         needed: set[str] = set()
@@ -318,10 +322,12 @@ class Bpe:
             parts.append(pieces)
         needed.discard("")
         new = needed.difference(self._known)
-        if len(new) + len(self._known) > self.remember:
-            self._known, new = {}, needed
+        if new and self._held + sum(map(len, new)) + 2 * ENTRY * len(new) > self.remember:
+            self._known, self._held, new = {}, 0, needed
         if new:
-            self._known.update(self._learn(list(new)))
+            learned = self._learn(list(new))
+            self._held += sum(ENTRY + len(c) + len(ids) for c, ids in learned.items())
+            self._known.update(learned)
         self._known[""] = b""
         get = self._known.__getitem__
         for pieces in parts:

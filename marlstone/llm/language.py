@@ -67,10 +67,11 @@ def profiles(df: DataFrame, text: str, lang: str) -> dict[str, np.ndarray]:
             sums.clear()
 
         for batch in batches:
-            langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in slices(texts):
-                for name in sorted(set(langs[a:b])):
-                    slots, _ = gram_slots([t for t, x in zip(texts[a:b], langs[a:b], strict=True) if x == name], table)
+            langs = batch.column(0).to_pylist()
+            for start, texts in slices(batch.column(1)):
+                own = langs[start : start + len(texts)]
+                for name in sorted(set(own)):
+                    slots, _ = gram_slots([t for t, x in zip(texts, own, strict=True) if x == name], table)
                     if name not in sums:
                         if len(sums) == 16:  # 8 MB each
                             yield from flush()

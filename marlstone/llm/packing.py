@@ -140,9 +140,8 @@ def pack(df: DataFrame, path: str, keys: list[str], end: int, text: str = "text"
         for batch in batches:
             kinds = [batch.column(i).type for i in range(width)]
             named = list(zip(*[batch.column(i).to_pylist() for i in range(width)], strict=True))
-            texts = batch.column(width).to_pylist()
-            for a, b in slices(texts):
-                for key, raw in zip(named[a:b], bpe.encode(texts[a:b]), strict=True):
+            for start, texts in slices(batch.column(width)):
+                for key, raw in zip(named[start : start + len(texts)], bpe.encode(texts), strict=True):
                     packer.add(key, raw + stop)
                 yield rows(packer.taken())
         if kinds is not None:

@@ -68,10 +68,11 @@ def counted(df: DataFrame, text: str, model: str) -> DataFrame:
     def run(batches):
         table, sums = symbol_table(), {}
         for batch in batches:
-            models, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in slices(texts):
-                for name in set(models[a:b]):
-                    key, _ = grams([t for t, m in zip(texts[a:b], models[a:b], strict=True) if m == name], table)
+            models = batch.column(0).to_pylist()
+            for start, texts in slices(batch.column(1)):
+                own = models[start : start + len(texts)]
+                for name in set(own):
+                    key, _ = grams([t for t, m in zip(texts, own, strict=True) if m == name], table)
                     if name not in sums:
                         sums[name] = np.zeros(_GRAMS, dtype=np.int64)
                     sums[name] += np.bincount(key, minlength=_GRAMS)

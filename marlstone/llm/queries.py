@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marlstone.llm import clusters
+
 
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
@@ -78,6 +80,18 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op12_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    from marlstone.llm.clusters import cluster
+
+    return cluster(table(spark, folder, "embeddings"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    from marlstone.llm.periods import run_digests
+
+    return run_digests(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_chats": op2_chats,
@@ -89,7 +103,9 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_fingerprints": op9_fingerprints,
     "op10_toxicity": op10_toxicity,
+    "op12_clusters": op12_clusters,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 #: SQL with the same result, where SQL can express the operator.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op12_clusters": clusters.oracle_sql()}

@@ -3,56 +3,58 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-#: Code points that one call of the work handles, unless a single text is longer.
-SLICE_CHARS = 1_500_000
+#: Bytes of text that one call of the work handles, unless a single text is longer.
+SLICE_BYTES = 300_000
 
 
-def slices(texts: list[str | None], limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
-    """Bounds of runs of texts with at most ``limit`` code points, or one text each beyond that."""
-    start = held = 0
-    for i, text in enumerate(texts):
-        size = len(text) if text else 0
-        if i > start and held + size > limit:
-            yield start, i
-            start, held = i, 0
-        held += size
-    if start < len(texts):
-        yield start, len(texts)
+def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, list[str | None]]]:
+    """Runs of an Arrow column of texts with at most ``limit`` bytes, or one text each beyond that: (first row, texts).
+
+    Only one run at a time becomes Python strings.
+    """
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(ends):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        yield start, texts.slice(start, stop - start).to_pylist()
+        start = stop
 
 
-def map_texts(df: DataFrame, keep: list[str], text: str, fields: list[T.StructField], factory: Callable) -> DataFrame:
+def map_texts(df: DataFrame, keep: list[str], text: str, fields: list[T.StructField], factory: Callable, also: Sequence[str] = ()) -> DataFrame:
     """``df``'s columns ``keep`` and the columns ``fields`` that ``factory()(texts)`` makes of the column ``text``.
 
-    ``factory`` runs once per task. Its function gets a list of texts (None for null) and returns one sequence per field.
-    Rows stay where the scan put them: no shuffle. Other columns of ``df`` are not read.
+    ``factory`` runs once per task. Its function gets a list of texts (None for null), and a list of values for each column
+    of ``also``, and returns one sequence per field. Rows stay where the scan put them: no shuffle. Other columns of
+    ``df`` are not read. What a slice of texts gives is handed on before the next one is looked at.
     """
-    # the text travels under a name of its own, so kept columns may have any names
-    source = df.select(*[df[c] for c in keep], df[text].cast("string").alias("text to map"))
+    # these travel under names of their own, so kept columns may have any names
+    extra = [df[c].alias(f"column {i} to map") for i, c in enumerate(also)]
+    source = df.select(*[df[c] for c in keep], *extra, df[text].cast("string").alias("text to map"))
     schema = T.StructType([df.schema[c] for c in keep] + fields)
     kinds = [to_arrow_type(f.dataType) for f in fields]
     names = [f.name for f in schema]
-    width = len(keep)
+    width, last = len(keep), len(keep) + len(extra)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = factory()
         for batch in batches:
-            texts = batch.column(width).to_pylist()
-            parts = [work(texts[a:b]) for a, b in slices(texts)]
-            made = [
-                pa.concat_arrays([pa.array(part[k], type=kind, from_pandas=False) for part in parts] or [pa.array([], type=kind)])
-                for k, kind in enumerate(kinds)
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:width], *made], names=names)
+            for start, texts in slices(batch.column(last)):
+                part = batch.slice(start, len(texts))
+                made = work(texts, *[part.column(i).to_pylist() for i in range(width, last)])
+                columns = [pa.array(values, type=kind, from_pandas=False) for values, kind in zip(made, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:width], *columns], names=names)
 
     return source.mapInArrow(run, schema)
 
@@ -65,11 +67,16 @@ def code_points(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def per_process(key: tuple, make: Callable):
-    """``make()``, or what an earlier task of this Python worker made for ``key``. Functions travel by value, so module globals do not last."""
+    """``make()``, or what an earlier task of this Python worker made for ``key``. Functions travel by value, so module globals do not last.
+
+    One entry per kind (the first part of ``key``): a worker that serves stage after stage does not gather their tables.
+    """
     store = sys.modules.setdefault("marlstone_per_process", ModuleType("marlstone_per_process")).__dict__
-    if key not in store:
-        store[key] = make()
-    return store[key]
+    kind = f"kept {key[0]}"
+    if kind not in store or store[kind][0] != key:
+        store.pop(kind, None)
+        store[kind] = key, make()
+    return store[kind][1]
 
 
 def mix(values: np.ndarray) -> np.ndarray:

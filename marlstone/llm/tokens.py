@@ -9,14 +9,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from marlstone.llm.bpe import Bpe, Decoder
+from marlstone.llm.bpe import REMEMBER, Bpe, Decoder
 from marlstone.llm.texts import map_texts, per_process
 
 #: Ids that the decoder takes at a time.
 DECODE_BLOCK = 1 << 16
 
 
-def tokenizer(path: str, remember: int = 400_000):
+def tokenizer(path: str, remember: int = REMEMBER):
     """A function for tasks that gives the encoder of the tokenizer file at ``path``; the file is read here and travels along."""
     with open(path, encoding="utf-8") as file:
         text = file.read()

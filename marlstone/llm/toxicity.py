@@ -91,12 +91,12 @@ def ratios(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     def run(batches):
         table = fold_table()
         for batch in batches:
-            labels, texts = np.array(batch.column(0).to_pylist()), batch.column(1).to_pylist()
-            for a, b in slices(texts):
+            labels = np.array(batch.column(0).to_pylist())
+            for start, texts in slices(batch.column(1)):
                 sums = np.zeros((2, SLOTS), dtype=np.int32)
-                for slots, owner in gram_slots(texts[a:b], table):
+                for slots, owner in gram_slots(texts, table):
                     once = np.unique((owner.astype(np.int64) << 22) | slots)
-                    kinds, at = labels[a:b][once >> 22], once & (SLOTS - 1)
+                    kinds, at = labels[start : start + len(texts)][once >> 22], once & (SLOTS - 1)
                     for kind in (0, 1):
                         sums[kind] += np.bincount(at[kinds == kind], minlength=SLOTS).astype(np.int32)
                 seen = np.flatnonzero(sums.any(axis=0))
