@@ -80,6 +80,12 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    from marlstone.llm.personal import personal_data
+
+    return personal_data(table(spark, folder, "documents"))
+
+
 def op12_clusters(spark: SparkSession, folder: str) -> DataFrame:
     from marlstone.llm.clusters import cluster
 
@@ -103,6 +109,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_fingerprints": op9_fingerprints,
     "op10_toxicity": op10_toxicity,
+    "op11_personal_data": op11_personal_data,
     "op12_clusters": op12_clusters,
     "op13_periodic_runs": op13_periodic_runs,
 }
