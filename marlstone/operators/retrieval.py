@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from marlstone.functions.embed import spaced_words, word_embedding, word_hash
 from marlstone.functions.text import found_patterns, overlap, share, word_set, words
+from marlstone.operators import postings
 from marlstone.operators.blocks import Scorer, top_k
 from marlstone.operators.chunks import word_chunks
 from marlstone.operators.vectors import vector_scorer
@@ -144,8 +145,9 @@ def bm25_search(corpus: DataFrame, ids: list[str], questions: DataFrame, k: int,
     """
     texts = corpus.select(*ids, spaced_words(F.col("text")).alias("text"))
     listed = F.when(F.col("text") == "", F.array().cast("array<string>")).otherwise(F.split("text", " "))
-    # the term null stands for the text itself
-    spread = texts.select(F.size(listed).alias("length"), F.explode(F.concat(F.array_distinct(listed), F.array(F.lit(None).cast("string")))).alias("term"))
+    # the term null stands for the text itself; length and terms are one value that the explode takes apart, or the text would be split for every term
+    sized = F.transform(F.array(listed), lambda listed: F.struct(F.size(listed).alias("length"), F.concat(F.array_distinct(listed), F.array(F.lit(None).cast("string"))).alias("terms")))
+    spread = texts.select(F.inline(sized)).select("length", F.explode("terms").alias("term"))
     counted = written(spread.groupBy("term").agg(F.count("*").alias("n"), F.sum("length").alias("length")), "terms")
     size = counted.where("term IS NULL").select(F.struct("n", (F.col("length") / F.col("n")).alias("mean"))).scalar()
     asked = questions.select("query_id", F.explode(word_set(F.col("question"))).alias("term"))
@@ -169,6 +171,18 @@ def fuse_ranks(lists: Sequence[DataFrame], ids: Sequence[str], k: int, offset: i
     return ranked(fused, "score", ids, k)
 
 
+def hybrid_indexed(results: DataFrame, questions: DataFrame, index: postings.Index, alpha: float, k: int) -> DataFrame:
+    """alpha * vector score + (1 - alpha) * occurrences of question words per question word, counted by the stored index; texts are not read."""
+    ids = list(index.ids)
+    asked = questions.select("query_id", words(F.col("question")).alias("_asked"))
+    counted = asked.select("query_id", F.explode("_asked").alias("term")).groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("times"))
+    wanted = results.select("query_id", *ids).join(counted, "query_id")
+    hits = postings.occurrences(index, wanted).groupBy("query_id", *ids).agg(F.sum(F.col("times") * F.col("n")).alias("_hits"))
+    joined = results.join(hits, ["query_id", *ids], "left").join(asked.select("query_id", F.size("_asked").alias("_n")), "query_id")
+    keyword = share(F.coalesce("_hits", F.lit(0)), F.col("_n"))
+    return ranked(joined.withColumn("score", F.round(alpha * F.col("score") + (1 - alpha) * keyword, MIX_DIGITS)), "score", ids, k).drop("_hits", "_n")
+
+
 # --- candidates rescored --------------------------------------------------------------
 # These take results with ``text`` and ``question`` columns.
 

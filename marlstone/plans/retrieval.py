@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from marlstone.functions import text as tx
 from marlstone.functions.embed import word_embedding
-from marlstone.operators import blocks, chunks, vectors
+from marlstone.operators import blocks, chunks, postings, vectors
 from marlstone.operators import retrieval as re
 from marlstone.plans.registry import query, table
 from marlstone.plans.relational import CENTROIDS_SQL
 from marlstone.plans.vectors import word_hash_sql
 from marlstone.sources.logs import CHAT_PAIRS_SQL, chat_pairs
-from marlstone.workspace import scratch, written
+from marlstone.workspace import scratch, state_of, stored, written
 
 SIZE, LAP = 200, 50
 IDS = ["doc_id", "chunk_no"]
@@ -64,27 +64,32 @@ def questions_of(spark, folder):
     return table(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
 
 
-_stores: dict[tuple[str, str, str], str] = {}
-
-
 def _stored(spark, folder, kind, make):
-    """A table that an application builds once per folder and every later query reads."""
-    key = (spark.sparkContext.applicationId, folder, kind)
-    if key not in _stores:
-        path = scratch(spark, kind, keep=True)
-        make().write.parquet(path)
-        _stores[key] = path
-    return spark.read.parquet(_stores[key])
+    """The path of what is built once from the documents as they are now; it is built again when their files change."""
+    path = f"{folder}/documents.parquet"
+    return stored(spark, (kind, path, state_of(spark, path)), kind, make)
 
 
 def chunk_store(spark, folder):
     """Chunks of all documents with their embeddings."""
-    return _stored(spark, folder, "chunks", lambda: re.ingest(documents_of(spark, folder), SIZE, LAP))
+    return spark.read.parquet(_stored(spark, folder, "chunks", lambda path: re.ingest(documents_of(spark, folder), SIZE, LAP).write.parquet(path)))
 
 
 def document_store(spark, folder):
     """Whole documents with their embeddings."""
-    return _stored(spark, folder, "vectors", lambda: documents_of(spark, folder).withColumn("embedding", word_embedding(F.col("text"), re.DIM)))
+    return spark.read.parquet(
+        _stored(spark, folder, "vectors", lambda path: documents_of(spark, folder).withColumn("embedding", word_embedding(F.col("text"), re.DIM)).write.parquet(path))
+    )
+
+
+def document_index(spark, folder):
+    """Inverted index of whole documents."""
+    return postings.Index.read(spark, _stored(spark, folder, "index", lambda path: postings.build(documents_of(spark, folder), ["doc_id"], "text", path)))
+
+
+def chunk_index(spark, folder):
+    """Inverted index of the stored chunks."""
+    return postings.Index.read(spark, _stored(spark, folder, "chunk_index", lambda path: postings.build(chunk_store(spark, folder), IDS, "text", path)))
 
 
 def _found(spark, folder, k):
@@ -208,7 +213,8 @@ def hybrid_scan(spark, folder):
     ),
 )
 def hybrid_postings(spark, folder):
-    return _result(re.hybrid_postings(_found(spark, folder, 10), 0.7, IDS, 5))
+    found = written(re.retrieve(chunk_store(spark, folder), questions_of(spark, folder), 10), "results")
+    return _result(re.hybrid_indexed(found, questions_of(spark, folder), chunk_index(spark, folder), 0.7, 5))
 
 
 @query(
@@ -378,7 +384,18 @@ _BM25_SQL = f"""{QUESTIONS_SQL}, dw AS (SELECT doc_id, {_words("lower(text)")} A
     FROM bm QUALIFY rank <= 10""",
 )
 def bm25(spark, folder):
-    return re.bm25_search(documents_of(spark, folder), ["doc_id"], questions_of(spark, folder), 10)
+    return postings.search(document_index(spark, folder), questions_of(spark, folder), 10)
+
+
+@query(
+    "doc_01_postings",
+    f"""WITH w AS (SELECT doc_id, unnest({_words("lower(text)")}) AS term FROM documents)
+    SELECT term, count(DISTINCT doc_id) AS n, count(*) AS occurrences FROM w GROUP BY 1""",
+)
+def build_postings(spark, folder):
+    """The terms of an index that is built anew, with the texts that hold them and how often."""
+    index = postings.build(documents_of(spark, folder), ["doc_id"], "text", scratch(spark, "postings"))
+    return index.terms.select("term", "n", "occurrences")
 
 
 @query(
@@ -392,8 +409,8 @@ def bm25(spark, folder):
     FROM fused QUALIFY rank <= 5""",
 )
 def rank_fusion(spark, folder):
-    documents, questions = documents_of(spark, folder), questions_of(spark, folder)
-    by_words = re.bm25_search(documents, ["doc_id"], questions, 20)
+    questions = questions_of(spark, folder)
+    by_words = postings.search(document_index(spark, folder), questions, 20)
     by_vector = re.hybrid_search(document_store(spark, folder), ["doc_id"], questions, 1.0, 20)
     return re.fuse_ranks([by_words, by_vector], ["doc_id"], 5)
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 _local_folders: dict[str, str] = {}
 #: Paths of each application: first those made outside any scope, then those of the open scopes, the innermost last.
 _paths: dict[str, list[list[str]]] = {}
+#: Paths of what ``stored`` has made, per application and key.
+_stored: dict[tuple, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -32,15 +34,33 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
-def scratch(spark: SparkSession, label: str, keep: bool = False) -> str:
-    """A new, unused path below the shared folder. It belongs to the innermost open scope unless it is to be kept."""
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new, unused path below the shared folder. It belongs to the innermost open scope."""
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    if not keep:
-        _paths.setdefault(spark.sparkContext.applicationId, [[]])[-1].append(path)
+    _paths.setdefault(spark.sparkContext.applicationId, [[]])[-1].append(path)
     return path
 
 
+def state_of(spark: SparkSession, path: str) -> str:
+    """Names, sizes and times of the files at ``path``, as one string: it changes when the data there do."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
+    return ";".join(sorted(f"{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}" for f in files))
+
+
+def stored(spark: SparkSession, key: tuple, label: str, make: Callable[[str], object]) -> str:
+    """The path where ``make(path)`` has stored something for ``key``. It is made again when the key is new, or the scope that owned it has ended."""
+    app = spark.sparkContext.applicationId
+    if (app, key) not in _stored:
+        path = scratch(spark, label)
+        make(path)
+        _stored[app, key] = path
+    return _stored[app, key]
+
+
 def _delete(spark: SparkSession, paths: list[str]) -> int:
+    for key in [k for k, path in _stored.items() if path in paths]:
+        del _stored[key]
     hadoop = spark._jvm.org.apache.hadoop.fs
     for path in paths:
         target = hadoop.Path(path)
