@@ -1,8 +1,9 @@
 """Usage limits over a request log.
 
 Fixed windows need only running totals. The sliding log depends on its own earlier decisions; it
-is folded over sorted rows in chunks of bounded size, and the chunks of one key pass their trailing log on
-in rounds until nothing changes.
+is folded over sorted rows in chunks of bounded size. What a chunk makes of any log it could begin with is described by a small
+table of steps, so the chunks of a key are described side by side, their tables are followed in order, and the decisions
+are made side by side again.
 """
 
 from __future__ import annotations
@@ -170,50 +171,150 @@ def _trailing(rows: DataFrame, seeds: DataFrame | None, key: str, limit: int, wi
     return _sorted(rows, seeds, key, span).mapInPandas(fold, schema)
 
 
-def _digest(states: DataFrame, key: str, name: str) -> DataFrame:
-    return states.groupBy(key, "_chunk").agg(F.xxhash64(F.array_sort(F.collect_list("_at"))).alias(name))
+#: Admissions between two looks for logs that have become alike.
+_MERGE_EVERY = 48
+_BEYOND = (1 << 63) - 1  # a time after the chunk
+
+
+def _last_admitted(at: np.ndarray, log: list[int], limit: int, window: int) -> list[int]:
+    """The last ``2 * limit`` times of ``log`` and of what it admits from ``at``."""
+    folded = _Log(limit, window)
+    folded.times.extend(log[-limit:])
+    allowed, _ = folded.ask(at)
+    return [*log, *at[allowed].tolist()][-2 * limit :]
+
+
+def transfer(at: np.ndarray, limit: int, window: int) -> list[tuple[int, int, list[int]]]:
+    """What a chunk with the sorted times ``at`` makes of a log: rows (entry, from, times).
+
+    Let x_1 <= ... <= x_limit be the log (missing entries: long ago) and a_1 < a_2 < ... what is admitted after it. Then
+    a_j = max(a_(j-1) + 1, the first request that comes after a_(j-limit) has expired), counted in requests, where a_(j-limit) is an entry of the log for
+    j <= limit. Both steps keep the order, so a_j is the largest of what the entries give alone: the log with only entry i
+    at x_i gives some a_j, and that is a step function of x_i. Here are those functions, for the last ``2 * limit`` admissions: the row (i, from, times) holds for
+    x_i from ``from`` on; times beyond the chunk are ``_BEYOND``. Of the a_j that lie in the chunk the last ``limit`` are the outgoing log.
+    """
+    n = len(at)
+    free = np.append(np.searchsorted(at, at + window, side="right"), n)  # the first request that finds an admission expired
+    within = int(free[0])  # requests of the chunk that an entry of the log can block
+    # an entry blocks none, or all up to the last one of some time
+    counts = np.concatenate([[0], np.flatnonzero(np.append(at[1:within] != at[: within - 1], True)) + 1])
+    entry, blocked = np.repeat(np.arange(limit), len(counts)), np.tile(counts, limit)
+    column = np.arange(len(entry))  # of each (entry, blocked) in the arrays below, which hold each course once
+    last: deque[np.ndarray] = deque(maxlen=2 * limit)
+    previous = np.full(len(entry), -1, dtype=np.int64)
+    done = 0
+    while True:
+        if done < limit:
+            wait = np.where(entry == done, blocked, 0)
+        else:
+            wait = free[last[-limit]]
+        previous = np.minimum(np.maximum(previous + 1, wait), n)
+        if previous.min() >= n and len(last) >= limit:
+            break
+        last.append(previous)
+        done += 1
+        if done >= 2 * limit and done % _MERGE_EVERY == 0:
+            courses, back = np.unique(np.stack(last), axis=1, return_inverse=True)
+            column = back.ravel()[column]
+            last.extend(list(courses))
+            previous = last[-1]
+            if courses.shape[1] == 1:  # whatever the log was, the rest of the chunk is the same
+                first = int(previous[0]) + 1
+                ends = _last_admitted(at[first:], at[courses[:, 0]].tolist(), limit, window)
+                return [(i, -_BEYOND, ends) for i in range(limit)]
+    times = np.append(at, _BEYOND)[np.stack(last)[:, column]]
+    rows = []
+    for i in range(limit):
+        mine = times[:, entry == i]
+        steps = [0, *(np.flatnonzero((mine[:, 1:] != mine[:, :-1]).any(axis=0)) + 1).tolist()]
+        # entry i blocks b requests when at[b - 1] still comes within the window after it
+        rows += [(i, int(at[counts[b] - 1]) - window if b else -_BEYOND, mine[:, b].tolist()) for b in steps]
+    return rows
+
+
+def passed_on(log: list[int], table: list[tuple[int, int, list[int]]], limit: int) -> list[int]:
+    """The log after a chunk that ``table`` describes."""
+    padded = [-_BEYOND] * (limit - len(log)) + sorted(log)
+    best: list[int] = []
+    for i in range(limit):
+        times = max((row for row in table if row[0] == i and row[1] <= padded[i]), key=lambda row: row[1])[2]
+        best = list(map(max, best, times)) if best else times
+    admitted = [t for t in best if t < _BEYOND]
+    before = padded if len(best) < 2 * limit else []  # a short chunk may leave entries of the log where they are
+    return [t for t in [*before, *admitted] if t > -_BEYOND][-limit:]
 
 
 def _settle(rows: DataFrame, first: DataFrame | None, key: str, limit: int, window: int) -> DataFrame | None:
     """Log entries each chunk starts with, or None when there are none at all.
 
-    Every chunk of a key with several chunks is folded from an empty log. Chunks whose incoming log differs from the one
-    they were folded with are folded again, together with the chunks after them in a span that doubles each round. Most
-    differences die out within one chunk; at the latest a span covers the whole key, so there are at most
-    log2(chunks) + 1 rounds.
+    The chunks of keys with several ones are described by ``transfer``, all side by side. Then the log of a key is passed from chunk to chunk through
+    these tables, which are far smaller than the chunks; no request is read in that pass.
     """
-    groups = rows.select(key, "_chunk").distinct()
-    earlier = F.lag("_chunk").over(Window.partitionBy(key).orderBy("_chunk"))
-    linked = written(groups.withColumn("_from", earlier), "links").where("_from IS NOT NULL")
-    if linked.isEmpty():
+    groups = written(rows.select(key, "_chunk").distinct(), "groups")
+    several = groups.groupBy(key).agg(F.max("_chunk").alias("_last"), F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key, "_last")
+    if several.isEmpty():
         return first
-    links = linked.select(F.col(key), F.col("_chunk").alias("_next"), F.col("_from").alias("_chunk"))
+    described = rows.join(several, key).where("_chunk < _last").select(key, "_chunk", F.lit(0).alias("_seed"), "_at", "_tie", F.col("_chunk").alias("_span"))
+    schema = T.StructType([rows.schema[key], rows.schema["_chunk"], *T._parse_datatype_string("_entry int, _from bigint, _times array<bigint>").fields])
 
-    def passed_on(states: DataFrame) -> DataFrame:
-        return states.join(links, [key, "_chunk"]).select(key, F.col("_next").alias("_chunk"), "_at")
+    def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[np.ndarray] = []
+        group = None
 
-    spread = rows.join(linked.select(key).distinct(), key, "left_semi")
-    opening = None if first is None else first.join(linked.select(key).distinct(), key, "left_semi")
-    ends = written(_trailing(spread, opening, key, limit, window), "trailing")
-    given, width = ends.limit(0), 1
-    while True:
-        incoming = written(passed_on(ends), "incoming")
-        compared = _digest(incoming, key, "_new").join(_digest(given, key, "_old"), [key, "_chunk"], "full")
-        changed = compared.where(~F.col("_new").eqNullSafe(F.col("_old")))
-        span = F.expr(f"_chunk div {width}").alias("_span")
-        begin = changed.select(key, "_chunk", span).groupBy(key, "_span").agg(F.min("_chunk").alias("_begin"))
-        redo = linked.select(key, "_chunk", span).join(begin, [key, "_span"]).where("_chunk >= _begin")
-        redo = written(redo, "redo")
-        if redo.isEmpty():
-            break
-        heads = incoming.join(redo.where("_chunk = _begin"), [key, "_chunk"])
-        redone = _trailing(rows.join(redo, [key, "_chunk"]), heads, key, limit, window, "_span")
-        ends = written(ends.join(redo, [key, "_chunk"], "left_anti").unionByName(redone), "trailing")
-        inner = redo.where("_chunk > _begin")
-        given = incoming.join(inner, [key, "_chunk"], "left_anti").unionByName(
-            passed_on(ends).join(inner, [key, "_chunk"], "left_semi")
-        )
-        width *= 2
+        def table() -> pd.DataFrame:
+            found = transfer(np.concatenate(held), limit, window)
+            return pd.DataFrame([(*group, *row) for row in found], columns=schema.names)
+
+        for pdf in batches:
+            keys, chunks, at = (pdf[c].to_numpy() for c in (key, "_chunk", "_at"))
+            edges = [0, *(np.flatnonzero((keys[1:] != keys[:-1]) | (chunks[1:] != chunks[:-1])) + 1).tolist(), len(pdf)]
+            for low, high in zip(edges, edges[1:], strict=False):
+                if low < high:
+                    if group != (keys[low], chunks[low]):
+                        if held:
+                            yield table()
+                        group, held = (keys[low], chunks[low]), []
+                    held.append(at[low:high])
+        if held:
+            yield table()
+
+    tables = written(described.repartition(key, "_chunk").sortWithinPartitions(key, "_chunk", "_at", "_tie").mapInPandas(describe, schema), "transfers")
+    opening = tables.where("false").select(key, F.col("_from").alias("_at")) if first is None else first.join(several, key, "left_semi").select(key, "_at")
+    blank = F.lit(None).cast("array<bigint>").alias("_times")
+    begun = opening.select(key, F.lit(-1).cast(rows.schema["_chunk"].dataType).alias("_chunk"), F.lit(-1).alias("_entry"), F.col("_at").alias("_from"), blank)
+    ordered = tables.unionByName(begun).repartition(key).sortWithinPartitions(key, "_chunk", "_entry", "_from")
+
+    def follow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        name, chunk, log, table = None, None, [], []
+
+        def closed() -> Iterator[tuple]:
+            nonlocal log
+            if table:
+                log = passed_on(log, table, limit)
+                yield from ((name, chunk, t) for t in log)
+
+        out: list[tuple] = []
+        for pdf in batches:
+            for k, c, i, start, times in zip(*(pdf[x].tolist() for x in (key, "_chunk", "_entry", "_from", "_times")), strict=True):
+                if (k, c) != (name, chunk):
+                    out += closed()
+                    log, name, chunk, table = (log if k == name else []), k, c, []
+                if i < 0:
+                    log.append(start)
+                else:
+                    table.append((i, start, list(times)))
+            if out:
+                yield pd.DataFrame(out, columns=[key, "_chunk", "_at"])
+                out = []
+        out += closed()
+        if out:
+            yield pd.DataFrame(out, columns=[key, "_chunk", "_at"])
+
+    kind = T.StructType([rows.schema[key], rows.schema["_chunk"], T.StructField("_at", T.LongType())])
+    ends = written(ordered.mapInPandas(follow, kind), "trailing")
+    later = F.lead("_chunk").over(Window.partitionBy(key).orderBy("_chunk"))
+    links = groups.join(several, key, "left_semi").withColumn("_next", later).where("_next IS NOT NULL")
+    incoming = ends.join(links, [key, "_chunk"]).select(key, F.col("_next").alias("_chunk"), "_at")
     return incoming if first is None else incoming.unionByName(first)
 
 
