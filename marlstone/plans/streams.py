@@ -53,19 +53,64 @@ def minute_usage(spark, folder):
     return jobs.run_updates(counted, scratch(spark, "usage"), ["window_start", "endpoint"])
 
 
+@query(
+    "str_02_log_once",
+    f"WITH {REQUEST_LOG_SQL} SELECT request_id, ts, user_id, endpoint, latency_ms, prompt_tokens, completion_tokens, status FROM log",
+)
+def stream_log_once(spark, folder):
+    """The request log arrives twice, as when files are delivered again; the sink takes every request once."""
+    source = scratch(spark, "delivered")
+    log = request_log(table(spark, folder, "events"))
+    for _ in range(2):
+        log.write.mode("append").parquet(source)
+    batches = len(spark.read.parquet(source).inputFiles()) // 2
+    return jobs.log_once(jobs.read_files(spark, source, files_per_batch=max(1, batches)), scratch(spark, "log"), "request_id", "ts", "60 days")
+
+
+_CLOSED_SQL = f"""{REQUEST_LOG_SQL}, limits AS (SELECT max(ts) - INTERVAL 10 MINUTE AS newest FROM log),
+    w AS (SELECT date_trunc('minute', ts) AS window_start, endpoint, count(*) AS n_requests, CAST(sum(prompt_tokens + completion_tokens) AS BIGINT) AS tokens FROM log GROUP BY 1, 2)"""
+
+
+@query("str_03_closed_minutes", f"WITH {_CLOSED_SQL} SELECT w.* FROM w, limits WHERE window_start + INTERVAL 1 MINUTE <= newest")
+def closed_minutes(spark, folder):
+    """Usage of the minutes that the watermark has passed, each written once."""
+    return _closed(spark, folder)
+
+
+def _closed(spark, folder):
+    arriving = request_log(jobs.read_files(spark, f"{folder}/events*.parquet"))
+    tokens = F.col("prompt_tokens") + F.col("completion_tokens")
+    return jobs.closed_usage(arriving, scratch(spark, "closed"), "ts", ["endpoint"], tokens, "1 minute", "10 minutes")
+
+
+@query(
+    "str_03_outside_closed",
+    f"WITH {_CLOSED_SQL} SELECT window_start, endpoint, n_requests AS n, false AS late FROM w, limits WHERE window_start + INTERVAL 1 MINUTE > newest",
+)
+def outside_closed_minutes(spark, folder):
+    """Rows in windows that are still open, and rows that came too late for theirs (none in one file)."""
+    log = request_log(table(spark, folder, "events"))
+    return jobs.outside_closed(log, _closed(spark, folder), "ts", ["endpoint"], "1 minute", "10 minutes")
+
+
 @query("str_04_stream_admission", SLIDING_LOG_SQL)
 def stream_admission(spark, folder):
-    """Events arrive in four files by time, one file a batch."""
+    """Events arrive in four parts by time, each of many files, one part a batch."""
     events, source = table(spark, folder, "events"), scratch(spark, "arriving")
     instant = F.unix_micros(jobs.event_time(events, "ts"))
     cuts = events.agg(F.percentile_approx(instant, [0.25, 0.5, 0.75], 1000)).first()[0] or []
     part = F.lit(0)
     for cut in cuts:
         part = part + (instant > cut).cast("int")
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for number in range(4):
-        events.where(part == number).coalesce(1).write.mode("append").parquet(source)
-    arriving = request_log(jobs.read_files(spark, source, files_per_batch=1)).select("request_id", "user_id", "ts")
-    return jobs.admit(arriving, scratch(spark, "admitted"), "user_id", "ts", "request_id", limit=3, seconds=43200)
+        events.where(part == number).repartition(files, "event_id").write.mode("append").parquet(source)
+    arriving = request_log(jobs.read_files(spark, source, files_per_batch=files)).select("request_id", "user_id", "ts")
+    decided = jobs.admit(arriving, scratch(spark, "admitted"), "user_id", "ts", "request_id", limit=3, seconds=43200)
+    return request_log(events).select("request_id", "user_id", "ts").join(decided, "request_id")
+
+
+_RULES = [("error_rate", ">", 0.5), ("mean_latency", ">", 120.0), ("n_requests", ">=", 8.0)]
 
 
 @query(
@@ -81,5 +126,22 @@ def stream_alerts(spark, folder):
     arriving = request_log(jobs.read_files(spark, f"{folder}/events*.parquet"))
     windows = jobs.service_windows(arriving, "ts", "endpoint", "1 hour", "5 minutes", "10 minutes")
     newest = jobs.run_updates(windows, scratch(spark, "windows"), ["window_start", "endpoint"])
-    rules = [("error_rate", ">", 0.5), ("mean_latency", ">", 120.0), ("n_requests", ">=", 8.0)]
-    return jobs.window_alerts(newest, "endpoint", rules).withColumn("fired", F.array_join("fired", "; "))
+    return jobs.window_alerts(newest, "endpoint", _RULES).withColumn("fired", F.array_join("fired", "; "))
+
+
+@query(
+    "str_05_alert_states",
+    f"""WITH {REQUEST_LOG_SQL}, limits AS (SELECT max(ts) - INTERVAL 10 MINUTE AS newest FROM log),
+    w AS (SELECT date_trunc('hour', ts) + INTERVAL 1 HOUR AS ended, endpoint, count(*) AS n, sum(latency_ms) / count(*) AS mean_latency,
+      count(*) FILTER (status <> 'Success') / count(*) AS error_rate FROM log GROUP BY 1, 2),
+    r AS (SELECT endpoint, ended, 'error_rate > 0.5' AS rule, error_rate > 0.5 AS broken FROM w, limits WHERE ended <= newest
+      UNION ALL SELECT endpoint, ended, 'mean_latency > 120.0', mean_latency > 120 FROM w, limits WHERE ended <= newest
+      UNION ALL SELECT endpoint, ended, 'n_requests >= 8.0', n >= 8 FROM w, limits WHERE ended <= newest),
+    b AS (SELECT *, coalesce(lag(broken) OVER (PARTITION BY endpoint, rule ORDER BY ended), false) AS earlier FROM r),
+    c AS (SELECT * FROM b WHERE broken <> earlier)
+    SELECT endpoint, rule, ended AS opened, lead(ended) OVER (PARTITION BY endpoint, rule ORDER BY ended) AS resolved FROM c QUALIFY broken""",
+)
+def stream_alert_states(spark, folder):
+    """When each alert opened and when it was resolved, over the closed hours."""
+    arriving = request_log(jobs.read_files(spark, f"{folder}/events*.parquet"))
+    return jobs.alert_states(arriving, scratch(spark, "alerts"), "ts", "endpoint", "1 hour", "10 minutes", _RULES)

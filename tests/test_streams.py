@@ -44,17 +44,75 @@ def test_admission_over_batches(spark, parts):
     assert rows(got.select("request_id", "allowed", "remaining")) == rows(want.select("request_id", "allowed", "remaining"))
 
 
-def test_admission_forgets_keys_that_are_gone(spark, parts):
-    """A key a day: the carried log holds the keys of the window and the allowed delay only."""
-    path, target = scratch(spark, "days"), scratch(spark, "forgetting")
-    for day in range(6):
-        rows = [(f"r{day}-{i}", f"u{day}-{i}", day * 86_400 + i) for i in range(5)]
-        df = spark.createDataFrame(rows, "request_id string, user_id string, s long")
-        df.select("request_id", "user_id", F.timestamp_seconds("s").alias("ts")).coalesce(1).write.mode("append").parquet(path)
+def delivered(spark, label, batches, schema):
+    """One file per batch; ``s`` (seconds) becomes the timestamp ``ts``."""
+    path = scratch(spark, label)
+    for rows in batches:
+        spark.createDataFrame(rows, schema).withColumn("ts", F.timestamp_seconds("s")).drop("s").coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def test_state_of_keys_that_are_gone_is_cleared(spark):
+    """New keys every day: the state store holds the keys of the window and the allowed delay only, and the sink holds all decisions."""
+    days = [[(f"r{day}-{i}", f"u{day}-{i}", (day + 1) * 86_400 + i) for i in range(5)] for day in range(6)]
+    path, target = delivered(spark, "days", days, "request_id string, user_id string, s long"), scratch(spark, "forgetting")
     arriving = jobs.read_files(spark, path, files_per_batch=1)
     assert jobs.admit(arriving, target, "user_id", "ts", "request_id", 2, 3600, delay=86_400).count() == 30
-    kept = [spark.read.parquet(f"{target}/state/{batch}").select("_key").distinct().count() for batch in range(6)]
-    assert kept[0] == 5 and max(kept) <= 10
+    state = spark.read.format("statestore").option("stateVarName", "times").load(f"{target}/checkpoint")
+    assert 5 <= state.select("key").distinct().count() <= 10
+    assert not any("state" in f or "decisions" in f for f in spark.read.parquet(f"{target}/rows").inputFiles())
+
+
+def test_requests_behind_the_watermark_have_no_decision(spark):
+    batches = [[(1, "a", 100_000), (2, "a", 100_010)], [(3, "a", 100_020), (4, "a", 10), (5, "b", 99_995)], [(6, "a", 100_025), (7, "b", 50)]]
+    path = delivered(spark, "late", batches, "request_id long, user_id string, s long")
+    got = jobs.admit(jobs.read_files(spark, path, files_per_batch=1), scratch(spark, "admit"), "user_id", "ts", "request_id", 2, 60, delay=30)
+    assert {r.request_id: (r.allowed, r.remaining) for r in got.collect()} == {
+        1: (True, 1),
+        2: (True, 0),
+        3: (False, 0),
+        4: (False, 0),  # long past, but the watermark that its batch began with was still open
+        5: (True, 1),
+        6: (False, 0),
+    }
+
+
+def test_a_request_is_logged_once_however_often_its_file_comes(spark, parts):
+    path, events = parts
+    source = scratch(spark, "again")
+    for _ in range(3):
+        events.coalesce(1).write.mode("append").parquet(source)
+    log = jobs.log_once(jobs.read_files(spark, source, files_per_batch=1), scratch(spark, "once"), "event_id", "ts", "60 days")
+    assert rows(log) == rows(events)
+
+
+def test_closed_windows_are_written_once_and_with_the_rest_hold_all_rows(spark):
+    """Three batches; the last one brings rows for a window that has been closed."""
+    batches = [[(i, "x", 60 * i) for i in range(10)], [(20 + i, "x", 1200 + 30 * i) for i in range(40)], [(70, "x", 30), (71, "x", 61), (72, "y", 5000), (73, "x", 2399)]]
+    path, target = delivered(spark, "closing", batches, "id long, k string, s long"), scratch(spark, "closed")
+    arriving = jobs.read_files(spark, path, files_per_batch=1)
+    closed = jobs.closed_usage(arriving, target, "ts", ["k"], F.lit(1), "1 minute", "5 minutes")
+    outside = jobs.outside_closed(spark.read.parquet(path), closed, "ts", ["k"], "1 minute", "5 minutes")
+    assert closed.groupBy("window_start", "k").count().where("count > 1").count() == 0
+    assert closed.agg(F.sum("n_requests")).first()[0] + outside.agg(F.sum("n")).first()[0] == 54
+    assert outside.where("late").agg(F.sum("n")).first()[0] == 2
+    assert [r.k for r in outside.where("NOT late").collect()] == ["y"]
+    before = closed.count()
+    again = jobs.closed_usage(arriving, target, "ts", ["k"], F.lit(1), "1 minute", "5 minutes")
+    assert again.count() == before  # a restart writes nothing again
+
+
+def test_alerts_open_and_resolve_across_batches(spark, parts):
+    path, events = parts
+    rules = [("error_rate", ">", 0.3), ("mean_latency", ">", 120.0), ("n_requests", ">=", 3.0)]
+    found = []
+    for files in (1, 100):
+        arriving = request_log(jobs.read_files(spark, path, files_per_batch=files))
+        found.append(rows(jobs.alert_states(arriving, scratch(spark, "alerts"), "ts", "endpoint", "6 hours", "1 hour", rules)))
+    assert found[0] == found[1] and len(found[0]) > 10
+    assert len({r[:3] for r in found[0]}) == len(found[0])
+    still = [r for r in found[0] if r[3] is None]
+    assert len(still) < len(found[0])
 
 
 def test_restart_adds_only_new_files(spark, parts):
