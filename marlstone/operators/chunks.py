@@ -56,34 +56,35 @@ def word_chunks(
 def char_chunks(df: DataFrame, doc_id: str, text: str, size: int, overlap: int) -> DataFrame:
     """(doc_id, chunk_no, start_char, end_char, text): character windows."""
     _check(size, overlap)
-    length = F.length(text).cast("bigint")
-    cut = df.select(doc_id, text, length.alias("_n"), F.posexplode(_starts(length, size, overlap)).alias("chunk_no", "_s"))
-    return cut.select(
-        doc_id,
-        "chunk_no",
-        F.col("_s").alias("start_char"),
-        F.least(F.col("_s") + size, F.col("_n")).alias("end_char"),
-        F.substring(F.col(text), (F.col("_s") + 1).cast("int"), F.lit(size)).alias("text"),
-    )
+    step = size - overlap
+
+    # a substring of a Spark string is looked for from its beginning, so all chunks of a text are cut in one walk here
+    @F.pandas_udf("array<struct<start_char:bigint,end_char:bigint,text:string>>")
+    def cut(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            yield pd.Series([[{"start_char": s, "end_char": min(s + size, len(t)), "text": t[s : s + size]} for s in range(0, max(len(t) - overlap, 1), step)] if t else [] for t in batch], dtype=object)
+
+    return df.select(doc_id, F.posexplode(cut(F.col(text))).alias("chunk_no", "_c")).select(doc_id, "chunk_no", "_c.start_char", "_c.end_char", "_c.text")
 
 
 _WORD = re.compile(r"[^ \t\n\x0b\f\r]+")
 
 
-def word_chunk_offsets(df: DataFrame, doc_id: str, text: str, size: int, overlap: int, carry: Sequence[str] = ()) -> DataFrame:
-    """(doc_id, carry..., chunk_no, start_char, end_char): exact places of word chunks in the source text.
+def word_chunk_offsets(df: DataFrame, doc_id: str, text: str, size: int, overlap: int, carry: Sequence[str] = (), source: bool = False) -> DataFrame:
+    """(doc_id, carry..., chunk_no, start_char, end_char): exact places of word chunks in the source text, and that part of it if ``source``.
 
     Offsets come from where each word really starts, so overlapping chunks overlap here too.
     """
     _check(size, overlap)
 
-    @F.pandas_udf("array<struct<start_char:bigint,end_char:bigint>>")
+    @F.pandas_udf("array<struct<start_char:bigint,end_char:bigint,source:string>>")
     def offsets(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
-            yield pd.Series([_offsets(t or "", size, overlap) for t in batch], dtype=object)
+            found = [_offsets(t or "", size, overlap) for t in batch]
+            yield pd.Series([[{**c, "source": t[c["start_char"] : c["end_char"]] if source else None} for c in cs] for t, cs in zip(batch, found, strict=True)], dtype=object)
 
     cut = df.select(doc_id, *carry, F.posexplode(offsets(F.col(text))).alias("chunk_no", "_o"))
-    return cut.select(doc_id, *carry, "chunk_no", "_o.start_char", "_o.end_char")
+    return cut.select(doc_id, *carry, "chunk_no", "_o.start_char", "_o.end_char", *(["_o.source"] if source else []))
 
 
 def _offsets(text: str, size: int, overlap: int) -> list[dict]:

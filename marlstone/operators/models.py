@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.operators.ordered import running_totals
+from marlstone.workspace import written
 
 
 def descend_linear(df: DataFrame, features: Sequence[str], target: str, rate: float, steps: int) -> tuple[list[float], float]:
@@ -41,6 +43,39 @@ def descend_linear(df: DataFrame, features: Sequence[str], target: str, rate: fl
     return [float(w) for w in weights[:-1]], float(weights[-1])
 
 
+def descend_rows(df: DataFrame, features: Sequence[str], label: str, order: str, epochs: int = 100, rate: float = 0.01) -> tuple[list[float], float]:
+    """Weights and bias of logistic regression by descent in row order: every row moves the weights at once.
+
+    Each epoch every partition walks through its rows in ``order`` from the weights of the epoch before, and the partitions' weights
+    are averaged by their rows. One partition gives the plain loop over all rows. The rows are range-partitioned and written
+    once; an epoch sends the weights out and one row per partition back. Rows with a null feature or label are left out.
+    """
+    columns = [F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(features)]
+    rows = df.select(*columns, F.col(label).cast("double").alias("_y"), F.col(order).alias("_order")).dropna()
+    stored = written(rows.repartitionByRange("_order").sortWithinPartitions("_order").drop("_order"), "descent")
+    size = len(features)
+    schema = ", ".join(f"w{i} double" for i in range(size + 1)) + ", n bigint"
+    weights = [0.0] * (size + 1)
+    for _ in range(epochs):
+
+        def walk(batches: Iterator[pd.DataFrame], start=tuple(weights)) -> Iterator[pd.DataFrame]:
+            own, n = list(start), 0
+            for pdf in batches:
+                for *x, y in pdf.itertuples(index=False, name=None):
+                    score = own[-1] + sum(w * v for w, v in zip(own, x, strict=False))
+                    step = rate * (y - 1.0 / (1.0 + math.exp(-min(max(score, -500.0), 500.0))))
+                    own = [w + step * v for w, v in zip(own, x, strict=False)] + [own[-1] + step]
+                    n += 1
+            if n:
+                yield pd.DataFrame([(*own, n)], columns=[c.split()[0] for c in schema.split(", ")])
+
+        found = stored.mapInPandas(walk, schema).agg(*[(F.sum(F.col(f"w{i}") * F.col("n")) / F.sum("n")).alias(f"w{i}") for i in range(size + 1)]).first()
+        if found[0] is None:
+            raise ValueError("cannot fit on an empty table")
+        weights = [float(v) for v in found]
+    return weights[:-1], weights[-1]
+
+
 def linear(features: Sequence[str], weights: Sequence[float], bias: float) -> Column:
     score = F.lit(float(bias))
     for name, w in zip(features, weights, strict=True):

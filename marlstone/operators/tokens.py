@@ -38,20 +38,36 @@ def _shared(vocabulary: DataFrame, limit: int):
     return vocabulary.sparkSession.sparkContext.broadcast((rows["word"].tolist(), rows["token"].tolist()))
 
 
-def _looked_up(rows: DataFrame, listed: str, found: str, rare: Callable[[Column], Column], name: str, table: DataFrame, default: Column) -> DataFrame:
-    """``rows`` with the places of ``found`` that ``rare`` marks filled from ``table`` (key, value); others keep their value.
+def _looked_up(rows: DataFrame, listed: str, found: str, rare: Callable[[Column], Column], name: str, table: DataFrame, default) -> DataFrame:
+    """``rows`` with the places of ``found`` that ``rare`` marks filled from ``table`` (key, value), or with ``default``; others keep their value.
 
     Every row gets a number of its own and is written with its rare entries; only those leave their row, meet the table
-    and come back as one map per row. So repeated keys stay apart, and the plan is the same for a table of any size.
+    and come back as two arrays per row, places and values, which are put in by one pass over the row. So repeated keys stay apart, and the
+    plan is the same for a table of any size.
     """
     pairs = F.zip_with(listed, found, lambda k, v: F.struct(k.alias("key"), v.alias("value")))
     entries = F.transform(pairs, lambda e, i: F.struct(i.alias("at"), e["key"].alias("key"), e["value"].alias("value")))
     marked = rows.withColumn("_rare", F.transform(F.filter(entries, lambda e: rare(e["value"])), lambda e: F.struct(e["at"], e["key"])))
     placed = written(marked.drop(listed).withColumn("_row", F.monotonically_increasing_id()), "looked_up")
     sent = placed.select("_row", F.explode("_rare").alias("_e")).select("_row", F.col("_e.at").alias("_at"), F.col("_e.key").alias("key"))
-    back = sent.join(table, "key").groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("_at", "value"))).alias("_back"))
-    filled = F.transform(found, lambda v, i: F.when(rare(v), F.coalesce(F.try_element_at("_back", i), default)).otherwise(v))
-    return placed.join(back, "_row", "left").withColumn(name, filled).drop("_row", "_rare", "_back")
+    # every rare place comes back, those without a match as nulls
+    back = sent.join(table, "key", "left").groupBy("_row").agg(F.collect_list(F.struct("_at", "value")).alias("_back"))
+
+    @F.pandas_udf(rows.schema[found].dataType)
+    def fill(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for values, places, others in batches:
+            out = []
+            for row, at, new in zip(values, places, others, strict=True):
+                if at is not None:
+                    row = list(row)
+                    for i, v in zip(at, new, strict=True):
+                        row[i] = default if pd.isna(v) else v
+                out.append(row)
+            yield pd.Series(out, dtype=object)
+
+    joined = placed.join(back, "_row", "left")
+    filled = fill(found, F.transform("_back", lambda e: e["_at"]), F.transform("_back", lambda e: e["value"]))
+    return joined.withColumn(name, filled).drop("_row", "_rare", "_back")
 
 
 def encode(
@@ -72,7 +88,7 @@ def encode(
     listed = F.coalesce(words(F.col(text)), F.array().cast("array<string>"))
     coded = df.select(key, *carry, listed.alias("_words")).withColumn("_found", look_up(F.array_join("_words", " ")))
     table = vocabulary.select(F.col("word").alias("key"), F.col("token").alias("value"))
-    coded = _looked_up(coded, "_words", "_found", lambda v: v == _RARE, "tokens", table, F.lit(UNK)).select(key, *carry, "tokens")
+    coded = _looked_up(coded, "_words", "_found", lambda v: v == _RARE, "tokens", table, UNK).select(key, *carry, "tokens")
     if not special:
         return coded
     return coded.withColumn("tokens", F.concat(F.array(F.lit(BOS)), "tokens", F.array(F.lit(EOS))))
@@ -92,7 +108,7 @@ def decode(df: DataFrame, key: str, tokens: str, vocabulary: DataFrame, shared_w
     plain = df.select(key, F.filter(F.col(tokens), lambda t: t >= FIRST_ID).alias("_ids"))
     named = plain.withColumn("_found", look_up("_ids"))
     table = vocabulary.select(F.col("token").alias("key"), F.col("word").alias("value"))
-    found = _looked_up(named, "_ids", "_found", lambda v: v.isNull(), "_words", table, F.lit(None).cast("string"))
+    found = _looked_up(named, "_ids", "_found", lambda v: v.isNull(), "_words", table, None)
     return found.select(key, F.array_join("_words", " ").alias("text"))
 
 

@@ -146,28 +146,16 @@ def packed_paragraphs(spark, folder):
     return chunks.packed_chunks(documents_of(spark, folder), "doc_id", "text", 500)
 
 
-@query(
-    "ret_04_recursive_split",
-    r"""SELECT doc_id, md5(regexp_replace(text, '\s+', '', 'g')) AS kept, true AS fits FROM documents
-    WHERE regexp_replace(text, '\s+', '', 'g') <> ''""",
-)
+@query("ret_04_recursive_split")
 def recursive_split(spark, folder):
-    """Without overlap: the visible characters of a document's chunks in order are those of the document, and a chunk is longer
-    than the size only if it is one word."""
-    cut = chunks.recursive_chunks(documents_of(spark, folder), "doc_id", "text", 200, 0)
-    fits = F.bool_and((F.length("text") <= 200) | ~F.col("text").contains(" "))
-    listed = F.array_sort(F.collect_list(F.struct("chunk_no", F.regexp_replace("text", r"\s+", "").alias("t"))))
-    return cut.groupBy("doc_id").agg(F.md5(F.array_join(F.transform(listed, lambda c: c["t"]), "")).alias("kept"), fits.alias("fits"))
+    return chunks.recursive_chunks(documents_of(spark, folder), "doc_id", "text", 200, 50)
 
 
 @query("ret_05_chunk_offsets", f"WITH {chunk_sql()} SELECT doc_id, chunk_no, text FROM chunks")
 def chunk_offsets(spark, folder):
     """The words between the offsets, read from the source text."""
-    documents = documents_of(spark, folder)
-    offsets = chunks.word_chunk_offsets(documents, "doc_id", "text", SIZE, LAP, carry=["text"])
-    start = (F.col("start_char") + 1).cast("int")
-    between = F.substring(F.col("text"), start, (F.col("end_char") - F.col("start_char")).cast("int"))
-    return offsets.select("doc_id", "chunk_no", F.array_join(tx.words(between, lower=False), " ").alias("text"))
+    offsets = chunks.word_chunk_offsets(documents_of(spark, folder), "doc_id", "text", SIZE, LAP, source=True)
+    return offsets.select("doc_id", "chunk_no", F.array_join(tx.words(F.col("source"), lower=False), " ").alias("text"))
 
 
 @query(

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marlstone.operators.changes import difference, merge_into, update_where
+from marlstone.operators.changes import change_feed, difference, merge_into, state_before, update_where
 from marlstone.plans.registry import query, table
 from marlstone.sources.snapshots import SnapshotTable
-from marlstone.workspace import scratch
+from marlstone.workspace import scratch, written
 
 _RAISED = "CASE WHEN p_size > 25 THEN round(p_retailprice * 1.1, 4) ELSE p_retailprice END"
 
@@ -83,6 +83,37 @@ def _four_versions(spark, folder) -> SnapshotTable:
     return stored
 
 
+_STATES_SQL = f"""{_SHIFTED_SQL}, old AS (SELECT p_partkey, p_name, p_brand, p_size, p_retailprice FROM part WHERE p_size <= 45),
+    new AS (SELECT p_partkey, p_name, p_brand, p_size, CASE WHEN p_size > 25 THEN round(p_retailprice * 1.1, 4) ELSE p_retailprice END AS p_retailprice FROM part WHERE p_size > 5)"""
+
+
+def _states(spark, folder):
+    """Two states of a table: parts up to size 45, and parts from size 6 with a price rise for large ones."""
+    parts = table(spark, folder, "part").select("p_partkey", "p_name", "p_brand", "p_size", "p_retailprice")
+    return parts.where("p_size <= 45"), update_where(parts.where("p_size > 5"), F.col("p_size") > 25, {"p_retailprice": F.round(F.col("p_retailprice") * 1.1, 4)})
+
+
+@query(
+    "ver_04_change_feed",
+    f"""WITH {_STATES_SQL}, both_states AS (SELECT old.*, new.p_retailprice AS price FROM old JOIN new USING (p_partkey) WHERE old.p_retailprice <> new.p_retailprice)
+    SELECT 'insert' AS change, new.* FROM new WHERE p_partkey NOT IN (SELECT p_partkey FROM old)
+    UNION ALL SELECT 'delete', old.* FROM old WHERE p_partkey NOT IN (SELECT p_partkey FROM new)
+    UNION ALL SELECT 'update_before', p_partkey, p_name, p_brand, p_size, p_retailprice FROM both_states
+    UNION ALL SELECT 'update_after', p_partkey, p_name, p_brand, p_size, price FROM both_states""",
+)
+def feed(spark, folder):
+    """The row changes between two states of a table."""
+    return change_feed(*_states(spark, folder), ["p_partkey"])
+
+
+@query("ver_05_state_before", f"WITH {_STATES_SQL} SELECT * FROM old")
+def earlier_state(spark, folder):
+    """An old state, put together from the new one and the stored changes."""
+    old, new = _states(spark, folder)
+    stored = written(change_feed(old, new, ["p_partkey"]), "changes")
+    return state_before(new, stored, ["p_partkey"])
+
+
 @query(
     "ver_04_history",
     f"""WITH {_SHIFTED_SQL}

@@ -78,3 +78,57 @@ def test_linear_batch_rejects_other_lengths(spark):
     scored, rejected = mo.linear_batch(df, "v", [2.0, 3.0], 1.0)
     assert [(r["id"], r["score"]) for r in scored.collect()] == [(1, 9.0)]
     assert sorted(r["id"] for r in rejected.collect()) == [2, 3]
+
+
+def test_row_descent_in_one_partition_is_the_plain_loop(frame):
+    x, _, label, df = frame
+    weights = np.zeros(3)
+    for _ in range(4):
+        for row, y in zip(x, label, strict=True):
+            step = 0.05 * (y - 1 / (1 + np.exp(-(weights[:2] @ row + weights[2]))))
+            weights += step * np.array([*row, 1.0])
+    spark = df.sparkSession
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "1")
+        got, bias = mo.descend_rows(df, ["a", "b"], "label", "id", epochs=4, rate=0.05)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert [*got, bias] == pytest.approx(weights.tolist())
+
+
+def test_row_descent_in_parallel_learns_as_well(frame):
+    _, _, label, df = frame
+    rows = df.unionByName(df.limit(5).withColumn("a", F.lit(None).cast("double"))).withColumn("in_test", F.col("id") % 4 == 0)
+    weights, bias = mo.descend_rows(rows.where("NOT in_test"), ["a", "b"], "label", "id", epochs=20)
+    scored = rows.where("in_test AND a IS NOT NULL").withColumn("p", (mo.linear(["a", "b"], weights, bias) >= 0).cast("int"))
+    base = max(label.mean(), 1 - label.mean())
+    assert mo.accuracy(scored, "label", "p").first()["accuracy"] > base + 0.1
+    with pytest.raises(ValueError, match="empty"):
+        mo.descend_rows(rows.limit(0), ["a", "b"], "label", "id", epochs=1)
+
+
+@pytest.fixture(scope="module")
+def separable(spark):
+    """2,000 rows whose label follows from the features but for a twentieth of them."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(2000, 3))
+    label = ((x[:, 0] + 0.7 * x[:, 1] > 0.2) ^ (rng.random(2000) < 0.05)).astype(int)
+    rows = [(i, *map(float, r), int(y)) for i, (r, y) in enumerate(zip(x, label, strict=True))]
+    df = spark.createDataFrame(rows, "id bigint, a double, b double, c double, quality int").repartition(4).cache()
+    return df.where("id % 5 > 0"), df.where("id % 5 = 0"), label[::5]
+
+
+def test_held_out_limits_of_the_classifiers(separable):
+    train, test, label = separable
+    share = max(label.mean(), 1 - label.mean())
+    names = ["a", "b", "c"]
+    logistic = mo.fit_logistic(train, names, "quality").transform(test)
+    forest = mo.fit_forest(train, names, "quality", trees=20, depth=5)
+    boosted = mo.fit_boosted(train, names, "quality", depths=[2, 3], folds=2)
+    for scored in (logistic, forest.transform(test), boosted.transform(test)):
+        found = mo.confusion(scored, F.col("quality") == 1, F.col("prediction") == 1.0).first()
+        assert found["tp"] + found["fn"] == label.sum() and found["accuracy"] >= share - 0.05 and found["accuracy"] > 0.8
+    assert max(boosted.avgMetrics) > 0.8
+    weight = {r["feature"]: r["importance"] for r in mo.importances(forest, names, train).collect()}
+    assert sum(weight.values()) == pytest.approx(1) and weight["c"] < weight["b"] < weight["a"]

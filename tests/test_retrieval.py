@@ -254,3 +254,29 @@ def test_quality_without_sources(spark):
     got = {r["query_id"]: r for r in re.response_quality(results, questions, 0.8).collect()}
     assert got[1]["overall"] == pytest.approx((0.9 + 0.85 + 0.9) / 3) and got[1]["status"] == "Success"
     assert got[2]["overall"] == pytest.approx((0.5 + 0.6 + 0.9) / 3) and got[2]["status"] == "LowQuality"
+
+
+def test_recursive_chunks_lose_nothing_and_keep_their_size(spark, documents):
+    """At overlap 0 the visible characters of the chunks are those of the document; a chunk is longer than the size only if it is one word."""
+    source = texts(documents)
+    got = {}
+    for r in ch.recursive_chunks(documents, "doc_id", "text", 60, 0).orderBy("doc_id", "chunk_no").collect():
+        got.setdefault(r["doc_id"], []).append(r["text"])
+        assert len(r["text"]) <= 60 or " " not in r["text"]
+    for i, text in source.items():
+        assert "".join("".join(got.get(i, [])).split()) == "".join(text.split())
+
+
+def test_characters_beyond_the_basic_plane_and_long_texts(spark):
+    import time
+
+    df = spark.createDataFrame([(1, "a😀b" * 40), (2, None), (3, "")], "doc_id bigint, text string")
+    got = ch.char_chunks(df, "doc_id", "text", 50, 10).collect()
+    assert [r["text"] for r in got] == [("a😀b" * 40)[r["start_char"] : r["end_char"]] for r in got] and got[-1]["end_char"] == 120
+    took = []
+    for n in (400_000, 400_000, 800_000):
+        long = spark.createDataFrame([(1, "word " * (n // 5))], "doc_id bigint, text string")
+        began = time.time()
+        assert ch.char_chunks(long, "doc_id", "text", 500, 100).count() > n / 410
+        took.append(time.time() - began)
+    assert took[2] < 3 * took[1] + 1

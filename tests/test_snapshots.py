@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from marlstone.operators.changes import difference, merge_into, update_where
+from marlstone.operators.changes import change_feed, difference, merge_into, state_before, update_where
 from marlstone.sources.snapshots import SchemaMismatch, SnapshotTable
 from marlstone.workspace import scratch
 
@@ -94,3 +94,30 @@ def test_update_skips_null_conditions(spark):
     df = spark.createDataFrame([(1, None), (2, 5)], "id bigint, x bigint")
     got = update_where(df, F.col("x") > 1, {"x": F.lit(0)}).orderBy("id").collect()
     assert [r["x"] for r in got] == [None, 0]
+
+
+@pytest.mark.parametrize("broadcast", ["-1", "10m"])
+def test_merge_is_the_same_with_and_without_a_broadcast(spark, broadcast):
+    target = spark.createDataFrame([(1, "a", 1.0), (1, "b", 2.0), (2, "c", 3.0), (None, "d", 4.0)], "k int, name string, v double")
+    source = spark.createDataFrame([(1, 9, "new"), (3, 8, "added"), (None, 7, "null key")], "k int, v int, extra string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        got = merge_into(target, source, ["k"], ["v"])
+        assert got.schema == target.schema
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert ("FullOuter" in plan) == (broadcast == "-1")
+        rows = sorted(((r.k, r.name, r.v) for r in got.collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert rows == sorted([(1, "a", 9.0), (1, "b", 9.0), (2, "c", 3.0), (None, "d", 4.0), (3, None, 8.0), (None, None, 7.0)], key=str)
+
+
+def test_changes_lead_back(spark):
+    schema = "k int, name string, v double"
+    old = spark.createDataFrame([(1, "a", 1.0), (2, None, 2.0), (3, "c", None), (4, "d", 4.0)], schema)
+    new = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0), (3, "c", 3.0), (5, "e", None)], schema)
+    feed = change_feed(old, new, ["k"]).cache()
+    assert sorted((r.change, r.k) for r in feed.collect()) == [("delete", 4), ("insert", 5), ("update_after", 2), ("update_after", 3), ("update_before", 2), ("update_before", 3)]
+    assert sorted(map(tuple, state_before(new, feed, ["k"]).collect()), key=str) == sorted(map(tuple, old.collect()), key=str)
+    assert change_feed(old, old, ["k"]).count() == 0

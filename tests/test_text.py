@@ -135,3 +135,20 @@ def test_long_conversations_are_one_row(spark):
 
 def test_token_estimate(spark):
     assert one(spark, tx.estimated_tokens(F.lit("abc"))) == 1 and one(spark, tx.estimated_tokens(F.lit("a" * 13))) == 3
+
+
+def test_filling_rare_words_takes_linear_time(spark):
+    """A text of twice as many rare words costs about twice as much, not four times."""
+    import time
+
+    from marlstone.operators import tokens
+
+    vocabulary = spark.range(60_000).selectExpr("concat('w', id) AS word", "CAST(id + 4 AS INT) AS token", "CAST(2 AS BIGINT) AS n").cache()
+    took = []
+    for n in (20_000, 20_000, 40_000):
+        df = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(n)))], "id int, text string")
+        began = time.time()
+        row = tokens.encode(df, "id", "text", vocabulary, shared_words=10).first()
+        took.append(time.time() - began)
+        assert row["tokens"] == [tokens.BOS, *range(4, n + 4), tokens.EOS]
+    assert took[2] < 3 * took[1] + 1
