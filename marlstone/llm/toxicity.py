@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marlstone.llm.texts import code_points, held_out, map_texts, slices
+from marlstone.llm.texts import code_points, held_out, map_texts, per_process, slices
 
 #: Lengths of grams, and values of their hashes.
 SIZES, SLOTS = (3, 4, 5, 6), 1 << 22
@@ -33,9 +33,9 @@ class Classifier(NamedTuple):
 
 
 def fold_table() -> np.ndarray:
-    """Lower-case letters and digits of the basic plane; anything else is a space."""
-    table = np.full(0x10000, 32, dtype=np.uint32)
-    for point in range(0x10000):
+    """Lower-case letters and digits of all planes; anything else is a space."""
+    table = np.full(0x110000, 32, dtype=np.uint32)
+    for point in range(0x110000):
         c = chr(point)
         if c.isalnum():
             table[point] = ord(c.lower()[0])
@@ -45,7 +45,7 @@ def fold_table() -> np.ndarray:
 def gram_slots(texts: list[str | None], table: np.ndarray):
     """For each gram length: hashes of all grams of all texts, and the text of each."""
     points, begins = code_points(texts)
-    folded = table[np.minimum(points, 0xFFFF)]
+    folded = table[points]
     owner = np.repeat(np.arange(len(texts)), np.diff(begins))
     hashed = folded.copy()
     for size in range(1, max(SIZES) + 1):
@@ -89,7 +89,7 @@ def ratios(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The grams whose log-count ratio is farthest from 0 in standard errors, and the ratios. Spark counts the texts that have a gram."""
 
     def run(batches):
-        table = fold_table()
+        table = per_process(("toxicity letters",), fold_table)
         for batch in batches:
             labels = np.array(batch.column(0).to_pylist())
             for start, texts in slices(batch.column(1)):
@@ -136,7 +136,7 @@ def fit(sample: DataFrame) -> Classifier:
     slots, ratio = ratios(sample)
 
     def factory():
-        table, places = fold_table(), places_of(slots)
+        table, places = per_process(("toxicity letters",), fold_table), places_of(slots)
 
         def work(texts):
             owner, feature = features_of(texts, places, len(slots), table)
@@ -158,7 +158,7 @@ def score(df: DataFrame, model: Classifier, keep: list[str], text: str = "text",
     """``keep`` and the probability of label 1 of every whole text; null and empty texts have no grams and get the bias alone."""
 
     def factory():
-        table, places = fold_table(), places_of(model.slots)
+        table, places = per_process(("toxicity letters",), fold_table), places_of(model.slots)
 
         def work(texts):
             owner, feature = features_of(texts, places, len(model.slots), table)

@@ -65,3 +65,19 @@ def test_odd_documents(spark):
     assert sharding.placed_documents(empty_documents(spark)).collect() == []
     with pytest.raises(ValueError):
         sharding.shard_of(F.col("x"), [1.0, 0.0])
+
+
+def test_rows_of_one_key_are_numbered_in_many_pieces(spark):
+    """A third of all rows has one key, and as many have none; every slot is there once, and no piece holds more than a few hundredths of the rows."""
+    rows = [(7 if i % 3 == 0 else None if i % 3 == 1 else i, f"text {i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    out = sharding.placed_documents(df).collect()
+    for shard in {r.shard for r in out}:
+        own = sorted(r.slot for r in out if r.shard == shard)
+        assert own == list(range(len(own)))
+    slim = df.select("doc_id", F.crc32(F.col("text").cast("binary")).alias("c"))
+    plan = sharding.assign(slim, "doc_id", [1.0] * 4, ["c"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "shard piece" in plan
+    pieces = slim.groupBy(F.pmod(F.xxhash64(F.lit("piece"), "doc_id", "c"), F.lit(sharding.PIECES))).count()
+    assert pieces.agg(F.max("count")).first()[0] < 60
+    assert all(r.grown_shard in (r.shard, 40) for r in out)
