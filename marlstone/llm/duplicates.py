@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,8 +16,8 @@ WORDS = 5
 PERCENT = 75
 #: Bins of a signature and bins of a band. 32 bands of 4 miss a pair of similarity 0.75 with probability 0.00001.
 BINS, ROWS = 128, 4
-#: Ratio of the sizes at the ends of a size band of the prefix filter.
-WIDTH = 1.05
+#: Members of a group that one task compares in its memory at most, and their shingles; larger groups are split by their differences first.
+HELD_MEMBERS, HELD_ITEMS = 512, 4_000_000
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -152,40 +153,110 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").withColumn("both", both).filter(100 * F.col("both") >= PERCENT * (F.col("n") + F.col("m") - F.col("both"))).select("a", "b")
 
 
-def star(members: DataFrame, centres: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of each centre (bucket, centre, centre_n) and the members of its bucket whose size allows a link."""
-    met = members.join(centres, "bucket").filter(F.col("node") != F.col("centre")).filter(similar_sizes(F.col("n"), F.col("centre_n")))
-    return met.select(*pair(F.col("node"), F.col("centre"))).distinct()
+def compared(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, label: str) -> DataFrame:
+    """Confirmed links among the distinct ``pairs`` (node, centre) that are in different components and of sizes that allow a link.
+
+    ``nodes`` (id, n, label) has the size and the component of every node.
+    """
+    one = nodes.select(F.col("id").alias("node"), F.col("n").alias("n"), F.col("label").alias("l"))
+    two = nodes.select(F.col("id").alias("centre"), F.col("n").alias("m"), F.col("label").alias("k"))
+    met = pairs.select("node", "centre").join(one, "node").join(two, "centre").filter((F.col("l") != F.col("k")) & similar_sizes(F.col("n"), F.col("m")))
+    return written(confirmed(written(met.select(*pair(F.col("node"), F.col("centre"))).distinct(), f"{label}-pairs"), sets), f"{label}-links")
+
+
+def relabelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """``nodes`` after ``links`` (node ids a, b) joined their components. Links are taken between components, one for each pair of them."""
+    if links.isEmpty():
+        return nodes
+    ends = nodes.select("id", "label")
+    between = links.join(ends.toDF("a", "la"), "a").join(ends.toDF("b", "lb"), "b").select(*pair(F.col("la"), F.col("lb"))).filter("a <> b").distinct()
+    found = components(between)
+    return written(nodes.join(found.toDF("label", "low"), "label", "left").select("id", "n", F.coalesce("low", "label").alias("label")), "nodes")
 
 
-def prefix_pairs(nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of ``nodes`` (node, label) with different labels, among them every such pair that ``confirmed`` keeps.
+def mixed(groups: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of ``groups`` (g, node, ...) whose group still has members of several components. Of groups with the same members one stays."""
+    named = groups.join(nodes.select(F.col("id").alias("node"), "label"), "node")
+    members = F.struct(F.bit_xor(F.xxhash64("node")).alias("mixed"), F.count(F.lit(1)).alias("size"), F.min("node").alias("first")).alias("members")
+    split = named.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high"), members).filter("low <> high")
+    chosen = split.groupBy("members").agg(F.min("g").alias("g")).select("g")
+    return written(groups.join(chosen, "g"), "groups")
+
+
+def common_items(sets: list[np.ndarray], width: int = 1 << 14) -> np.ndarray:
+    """How many items any two sets have in common, as a matrix; ``width`` items are looked at at a time."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    distinct, item = np.unique(np.concatenate([*sets, np.empty(0, np.int32)]), return_inverse=True)
+    order = np.argsort(item, kind="stable")
+    owner, item = owner[order], item[order]
+    both = np.zeros((len(sets), len(sets)), dtype=np.int64)
+    for start in range(0, len(distinct), width):
+        low, high = np.searchsorted(item, (start, start + width))
+        holds = np.zeros((len(sets), width), dtype=np.float32)
+        holds[owner[low:high], item[low:high] - start] = 1
+        both += (holds @ holds.T).astype(np.int64)
+    return both
+
+
+def links_within(rows: DataFrame) -> DataFrame:
+    """Links (a, b) that join the components of groups of bounded size. ``rows``: g, node, label, n, items.
+
+    A task holds one group, compares members of different components on their full sets, and gives out a link only where two components
+    become one; so a group of m members has at most m - 1 rows.
+    """
 
-    A set's shingles are ordered by the number of sets that hold them, rare ones first. A linked pair of n <= m shingles has
-    3 (n + m) / 7 in common, so the first common one stands before as many others in both sets. Only these prefixes meet:
-    at most a seventh of the smaller set, and a quarter of the larger one. The smaller set's prefix is cut for each band of
-    sizes it can meet, so shingles that thousands of sets share meet only where they could make a link.
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        nodes, sizes, label = (group[c].to_numpy(copy=True) for c in ("node", "n", "label"))
+        both = common_items([np.asarray(x) for x in group["items"]])
+        linked = 100 * both >= PERCENT * (sizes[:, None] + sizes[None, :] - both)
+        found = []
+        for i, j in np.argwhere(np.triu(linked, 1)).tolist():
+            if label[i] != label[j]:
+                found.append((int(nodes[i]), int(nodes[j])))
+                label[label == label[j]] = label[i]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return rows.groupBy("g").applyInPandas(compare, "a long, b long")
+
+
+def split_by_differences(rows: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Stars and smaller groups for the members ``rows`` (g, node, n, items) of groups: pairs (node, centre), the groups (g, node, parent)
+    that the other links are in, and the differences (parent, node, n, items) by which those can be split again. ``nodes`` has the components.
+
+    A group has a core: the items that more than half of its members hold. A member is known by its difference from the core, the
+    items it has besides and those of the core that it lacks. Differences differ where the sets do, so A and B have a link if their differences
+    differ in at most (n of A + n of B) / 7 places. If the differences have nothing in common, their sizes add up to no more
+    than that. Then the member with the most room, n / 7 less the size of its difference, has a link to both: it is the centre of the
+    group's star, and nobody else needs to be compared for such links. All others have a difference in common. Members that share one are a
+    smaller group; as at most half of a group share one, groups halve from level to level.
+
+    Of a difference only the rarest items count. Let a member's lack be the size of its difference less n / 7. Two linked differences have at least the mean of
+    their lacks in common, so the one of smaller lack has a common item among its rarest n / 7 + 1 (it asks there), and the other one among
+    as many as a link could lack at all, a third of its n, and one.
     """
-    some = sets.join(nodes.select(F.col("node").alias("id"), "label"), "id").select("id", "label", "n", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
-    some = written(some, "shingles")
-    common = some.groupBy("shingle").agg(F.count(F.lit(1)).alias("held"))
-    # a shingle of one set meets no other, but keeps its place
-    held = some.join(common, "shingle").groupBy("id", "label", "n", "size").agg(F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("rare"))
-    head = F.slice("rare", F.lit(1), F.greatest(F.lit(0), F.col("size") - F.ceil(3 * F.col("n") / 4).cast("int") + 1))
-    found = written(held.select("id", "label", "n", "size", F.posexplode(head).alias("place", "c")).filter("c.held > 1").select("id", "label", "n", (F.col("size") - F.col("place")).alias("left"), F.col("c.shingle").alias("shingle")), "prefixes")
-
-    def band(n: Column) -> Column:
-        return F.floor(F.log(n) / F.log(F.lit(WIDTH))).cast("int")
-
-    small = found.select(F.col("id").alias("one"), F.col("label").alias("one_label"), F.col("n").alias("one_n"), F.col("left").alias("one_left"), "shingle")
-    small = small.withColumn("band", F.explode(F.sequence(band(F.col("one_n")), band(F.col("one_n") * 4 / 3 + 0.01))))
-    lowest = F.greatest(F.col("one_n"), F.floor(F.pow(F.lit(WIDTH), "band")))
-    small = small.filter(7 * F.col("one_left") >= 3 * (F.col("one_n") + lowest))
-    large = found.withColumn("band", band(F.col("n")))
-    ordered = F.struct("one_n", "one") < F.struct("n", "id")
-    enough = 7 * F.least("one_left", "left") >= 3 * (F.col("one_n") + F.col("n"))
-    met = small.join(large, ["shingle", "band"]).filter(ordered & (F.col("one_label") != F.col("label")) & similar_sizes(F.col("one_n"), F.col("n")) & enough)
-    return met.select(*pair(F.col("one"), F.col("id"))).distinct()
+    sizes = rows.groupBy("g").agg(F.count(F.lit(1)).alias("size"))
+    held = rows.select("g", F.explode("items").alias("item")).groupBy("g", "item").agg(F.count(F.lit(1)).alias("held")).filter("held > 1").join(sizes, "g")
+    in_core = 2 * F.col("held") > F.col("size")
+    cores = held.filter(in_core).groupBy("g").agg(F.collect_list("item").alias("core"))
+    core = F.coalesce("core", F.array().cast("array<int>"))
+    different = F.concat(F.array_except("items", core), F.array_except(core, F.col("items")))
+    known = written(rows.join(cores, "g", "left").select("g", "node", "n", different.alias("items")), "differences")
+    room = F.struct((F.col("n") - 7 * F.size("items")).alias("room"), (-F.col("node")).alias("minus"))
+    centres = known.groupBy("g").agg((-F.max(room)["minus"]).alias("centre"))
+    stars = known.select("g", "node").join(centres, "g").filter("node <> centre")
+    rest = known.join(centres, "g").filter("node <> centre").join(nodes.select(F.col("id").alias("node"), "label"), "node")
+    rest = rest.select("g", "node", "label", "n", F.size("items").alias("size"), F.explode("items").alias("item"))
+    # only a difference that members of several components share can lead to a link that matters
+    often = rest.groupBy("g", "item").agg(F.count(F.lit(1)).alias("often"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
+    shared = rest.drop("label").join(often.select("g", "item", "often"), ["g", "item"])
+    rare = shared.groupBy("g", "node", "n", "size").agg(F.sort_array(F.collect_list(F.struct("often", "item"))).alias("rare"))
+    # the others come first in the order, as the rarest ones
+    alone = F.col("size") - F.size("rare")
+    enough = F.greatest(F.lit(0), F.floor(F.col("n") / 3).cast("int") + 1 - alone)
+    placed = rare.select("g", "node", F.floor(F.col("n") / 7).cast("int").alias("first"), alone.alias("alone"), F.posexplode(F.slice("rare", F.lit(1), enough)).alias("place", "c"))
+    smaller = placed.select(F.xxhash64("g", "c.item").alias("g"), "node", F.col("g").alias("parent"), (F.col("alone") + F.col("place") <= F.col("first")).alias("asks"))
+    asked = smaller.groupBy("g").agg(F.count(F.lit(1)).alias("size"), F.bool_or("asks").alias("any")).filter("size > 1 AND any").select("g")
+    return stars, written(smaller.join(asked, "g").select("g", "node", "parent"), "smaller"), known.withColumnRenamed("g", "parent")
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -195,18 +266,19 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     words, all of them as one. Null, empty and blank texts have empty sets and are linked with nothing.
 
     1. Documents of one set become a class, named by its smallest id; only classes go on.
-    2. Classes that share a band key share a bucket. Each bucket has two stars: from its smallest class, and from the one that
-       shares most buckets with others (the text that copies were made from). Pairs whose sizes rule a link out are
-       left out, the others are confirmed on full sets.
-    3. Only a link between different components could still change the result. Each bucket with members outside the component of its
-       second centre has a third star from one of them, drawn by a hash, to the members of other components.
-    4. Members that are no centre and are still in different components of one bucket have not been compared. Those of all
-       buckets meet by a prefix filter on their full sets, which misses no linked pair.
+    2. Classes that share a band key share a bucket. A bucket's centre is the class that shares most buckets with others (the text that
+       copies were made from), so all buckets of a group of copies have one centre. A class is compared with its best centre
+       first, and with the centres of its other buckets only if they are in other components by then.
+    3. Classes of one centre that are still in different components are a group. A group of at most HELD_MEMBERS (and HELD_ITEMS) is compared in the memory of one task.
+       The links of a larger one are those that a star from the member next to the group's core finds, and those between members that share a rare
+       difference from that core (``split_by_differences``). Members that share one are a group of at most half the size, and so on until
+       all groups are of one component.
 
-    So every linked pair that shares a bucket is compared, unless its ends are in one component already.
+    Every linked pair that shares a bucket ends in one component. Pairs whose sizes rule a link out are left out, all others are
+    confirmed on full sets. What is written grows with the members, never with pairs of a group.
 
     Rows of equal id count as one node; rows of null id belong to no group (component_id null, kept). Empty tables give
-    no rows. Texts of classes in shared buckets are read again and shuffled; no other text is.
+    no rows. Very long texts are one set of many shingles. Texts of classes in shared buckets are read again and shuffled; no other text is.
     """
     documents = df.select(df[key].cast("long").alias("id"), df[text].cast("string").alias("text"))
     signs = written(signed(documents, "id", "text"), "signatures")
@@ -216,38 +288,40 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     dealt = classes.select(F.explode("bands").alias("bucket"), "node", "n")
     crowded = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = written(dealt.join(crowded, "bucket"), "members")
-    mates = members.groupBy("node").agg(F.sum(F.col("size") - 1).alias("mates"), F.max("n").alias("n"))
-    mates = written(mates, "mates")
-    sets = written(shingle_sets(documents.join(mates.select(F.col("node").alias("id")), "id", "left_semi")).join(mates.select(F.col("node").alias("id"), "n"), "id"), "sets")
-    by_mates = F.struct("mates", (-F.col("node")).alias("minus"), "n")
-    heads = members.join(mates.select("node", "mates"), "node").groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("least"), F.max(by_mates).alias("most"))
-    heads = written(heads.select("bucket", "least", F.struct((-F.col("most.minus")).alias("node"), F.col("most.n").alias("n")).alias("most")), "heads")
-    both = heads.select("bucket", F.explode(F.array_distinct(F.array("least", "most"))).alias("c"))
-    tested = written(star(members, both.select("bucket", F.col("c.node").alias("centre"), F.col("c.n").alias("centre_n"))), "pairs")
-    links = written(confirmed(tested, sets), "links")
-    labels = components(links)
-    home = heads.select("bucket", F.col("most.node").alias("id")).join(labels, "id", "left").select("bucket", F.coalesce("label", "id").alias("home"))
-    named = members.join(labels, members["node"] == labels["id"], "left").select("bucket", "node", "n", F.coalesce("label", "node").alias("label"))
-    named = written(named.join(home, "bucket"), "named")
-    drawn = F.min(F.struct(F.xxhash64("bucket", "node").alias("draw"), "node", "n", "label"))
-    third = named.filter("label <> home").groupBy("bucket").agg(drawn.alias("c"))
-    third = third.select("bucket", F.col("c.node").alias("centre"), F.col("c.n").alias("centre_n"), F.col("c.label").alias("away"))
-    apart = named.join(third.select("bucket", "away"), "bucket").filter("label <> away").drop("away")
-    fresh = star(apart, third.drop("away")).join(tested, ["a", "b"], "left_anti")
-    more = written(confirmed(fresh, sets), "links")
-    if not more.isEmpty():
-        links = links.union(more)
-        labels = components(links)
-    centres = both.select("bucket", F.col("c.node").alias("node")).union(third.select("bucket", F.col("centre").alias("node")))
-    rest = members.select("bucket", "node").join(centres, ["bucket", "node"], "left_anti").join(labels, F.col("node") == labels["id"], "left")
-    rest = written(rest.select("bucket", "node", F.coalesce("label", "node").alias("label")), "rest")
-    mixed = rest.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("bucket")
-    nodes = written(rest.join(mixed, "bucket").select("node", "label").distinct(), "uncompared")
-    if not nodes.isEmpty():
-        last = written(confirmed(prefix_pairs(nodes, sets), sets), "links")
-        if not last.isEmpty():
-            labels = components(links.union(last))
-    found = classes.join(labels, classes["node"] == labels["id"], "left").select("set_low", "set_high", F.coalesce("label", "node").alias("label"))
+    mates = written(members.groupBy("node").agg(F.sum(F.col("size") - 1).alias("mates"), F.max("n").alias("n")), "mates")
+    chosen = mates.select(F.col("node").alias("id"), "n")
+    sets = written(shingle_sets(documents.join(chosen.select("id"), "id", "left_semi")).join(chosen, "id"), "sets")
+    by_mates = F.struct("mates", (-F.col("node")).alias("minus"))
+    heads = members.join(mates.select("node", "mates"), "node").groupBy("bucket").agg(F.max(by_mates).alias("most"))
+    centred = members.select("bucket", "node").join(heads, "bucket").groupBy("node", (-F.col("most.minus")).alias("centre")).agg(F.max("most.mates").alias("mates"))
+    centred = written(centred.filter("node <> centre"), "centred")
+    best = centred.groupBy("node").agg((-F.max(F.struct("mates", (-F.col("centre")).alias("minus")))["minus"]).alias("centre"))
+    nodes = chosen.withColumn("label", F.col("id"))
+    nodes = relabelled(nodes, compared(best, nodes, sets, "best"))
+    nodes = relabelled(nodes, compared(centred, nodes, sets, "other"))
+    groups = mixed(centred.select(F.col("centre").alias("g"), "node"), nodes)
+    whole = sets.select(F.col("id").alias("node"), "n", F.col("shingles").alias("items"))
+    known, keys = whole.withColumn("n", F.size("items").cast("long")), ["node"]
+    while not groups.isEmpty():
+        sizes = groups.join(chosen.select(F.col("id").alias("node"), "n"), "node").groupBy("g").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("n"))
+        small = (F.col("size") <= HELD_MEMBERS) & (F.col("n") <= HELD_ITEMS)
+        held = groups.join(sizes.filter(small), "g").select("g", "node")
+        links = links_within(held.join(nodes.select(F.col("id").alias("node"), "label"), "node").join(whole, "node"))
+        nodes = relabelled(nodes, written(links, "group-links"))
+        large = mixed(groups.join(sizes.filter(~small).select("g"), "g"), nodes)
+        if large.isEmpty():
+            break
+        rows = written(large.join(known, keys).select("g", "node", "n", "items"), "rows")
+        stars, groups, known = split_by_differences(rows, nodes)
+        keys = ["parent", "node"]
+        nodes = relabelled(nodes, compared(stars, nodes, sets, "level"))
+        # groups have members in common: their first ones are centres of a star each
+        groups = mixed(groups, nodes)
+        first = groups.join(groups.groupBy("g").agg(F.min("node").alias("centre")), "g").filter("node <> centre")
+        nodes = relabelled(nodes, compared(first, nodes, sets, "first"))
+        groups = mixed(groups, nodes)
+    labels = nodes.select(F.col("id").alias("node"), "label")
+    found = classes.join(labels, "node", "left").select("set_low", "set_high", F.coalesce("label", "node").alias("label"))
     grouped = signs.join(found, ["set_low", "set_high"], "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("id").isNotNull(), F.col("label")).otherwise(F.col("id"))
     return grouped.select(F.col("id").alias("doc_id"), "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
