@@ -173,12 +173,12 @@ def recommendations(test_coverage: Column, mutation: Column, complexity: Column,
     """What to improve, as an array of messages."""
     return F.array_compact(
         F.array(
-            F.when(test_coverage < 0.80, F.format_string("Increase test coverage from %.1f%% to at least 80%%", test_coverage * 100)),
-            F.when(mutation < 0.70, F.format_string("Improve mutation score from %.1f%% to at least 70%%", mutation * 100)),
-            F.when(complexity > 10, F.format_string("Reduce cyclomatic complexity from %.1f to under 10", complexity)),
+            F.when(test_coverage < 0.80, F.format_string("tests cover %.1f%%, below 80%%", test_coverage * 100)),
+            F.when(mutation < 0.70, F.format_string("mutants caught: %.1f%%, below 70%%", mutation * 100)),
+            F.when(complexity > 10, F.format_string("mean complexity %.1f, above 10", complexity)),
             F.when(
                 documentation < 0.50,
-                F.format_string("Add documentation to reach at least 50%% coverage (currently %.1f%%)", documentation * 100),
+                F.format_string("documented: %.1f%%, below 50%%", documentation * 100),
             ),
         )
     )
@@ -232,19 +232,19 @@ def input_violations(
 ) -> Column:
     """Length, blocked patterns and personal data, as an array of messages; an empty array passes."""
     long = F.when(
-        F.length(text) > max_length, F.format_string("Prompt exceeds max length: %d > %d", F.length(text), F.lit(max_length))
+        F.length(text) > max_length, F.format_string("input length over the limit: %d > %d", F.length(text), F.lit(max_length))
     )
-    named = F.transform(found_patterns(text, blocked), lambda p: F.concat(F.lit("Blocked pattern detected: "), p))
+    named = F.transform(found_patterns(text, blocked), lambda p: F.concat(F.lit("forbidden text: "), p))
     personal = [
-        F.when(has_email_signs(text), F.lit("PII detected: email address")),
-        F.when(has_ten_digits(text), F.lit("PII detected: phone number")),
+        F.when(has_email_signs(text), F.lit("personal data: e-mail")),
+        F.when(has_ten_digits(text), F.lit("personal data: phone")),
     ]
     return F.concat(F.array_compact(F.array(long)), named, F.array_compact(F.array(*personal)) if pii else F.array().cast("array<string>"))
 
 
 def output_violations(text: Column, max_length: int = MAX_OUTPUT_LENGTH) -> Column:
     long = F.when(
-        F.length(text) > max_length, F.format_string("Output exceeds max length: %d > %d", F.length(text), F.lit(max_length))
+        F.length(text) > max_length, F.format_string("answer length over the limit: %d > %d", F.length(text), F.lit(max_length))
     )
     return F.array_compact(F.array(long))
 

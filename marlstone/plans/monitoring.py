@@ -132,10 +132,10 @@ def weighted_grade(spark, folder):
     "mon_06_gate_report",
     f"""WITH {_CHECKS_SQL}, r AS (SELECT user_id, bool_and(passed) AS passed, count(*) FILTER (passed) AS n_passed,
       coalesce(string_agg(message, '; ' ORDER BY message) FILTER (NOT passed), '') AS failures FROM checks GROUP BY 1), {_COMPONENTS_SQL}
-    SELECT r.*, concat_ws('; ', CASE WHEN line_coverage / 100 < 0.80 THEN printf('Increase test coverage from %.1f%% to at least 80%%', floor(line_coverage * 10 + 0.5) / 10) END,
-      CASE WHEN mutation_score / 100 < 0.70 THEN printf('Improve mutation score from %.1f%% to at least 70%%', floor(mutation_score * 10 + 0.5) / 10) END,
-      CASE WHEN cyclomatic_avg > 10 THEN printf('Reduce cyclomatic complexity from %.1f to under 10', floor(cyclomatic_avg * 10 + 0.5) / 10) END,
-      CASE WHEN doc_coverage / 100 < 0.5 THEN printf('Add documentation to reach at least 50%% coverage (currently %.1f%%)', floor(doc_coverage * 10 + 0.5) / 10) END) AS recommendations
+    SELECT r.*, concat_ws('; ', CASE WHEN line_coverage / 100 < 0.80 THEN printf('tests cover %.1f%%, below 80%%', floor(line_coverage * 10 + 0.5) / 10) END,
+      CASE WHEN mutation_score / 100 < 0.70 THEN printf('mutants caught: %.1f%%, below 70%%', floor(mutation_score * 10 + 0.5) / 10) END,
+      CASE WHEN cyclomatic_avg > 10 THEN printf('mean complexity %.1f, above 10', floor(cyclomatic_avg * 10 + 0.5) / 10) END,
+      CASE WHEN doc_coverage / 100 < 0.5 THEN printf('documented: %.1f%%, below 50%%', floor(doc_coverage * 10 + 0.5) / 10) END) AS recommendations
     FROM r JOIN m USING (user_id)""",
 )
 def gate_report(spark, folder):
@@ -179,10 +179,10 @@ def expectations(spark, folder):
     )
 
 
-INPUT_GUARD_SQL = f"""SELECT doc_id, concat_ws('; ', CASE WHEN length(text) > 4096 THEN 'Prompt exceeds max length: ' || length(text) || ' > 4096' END,
-    {", ".join(f"CASE WHEN contains(lower(text), '{p}') THEN 'Blocked pattern detected: {p}' END" for p in qu.BLOCKED_PATTERNS)},
-    CASE WHEN contains(text, '@') AND contains(text, '.') THEN 'PII detected: email address' END,
-    CASE WHEN length(regexp_replace(text, '[^0-9]', '', 'g')) >= 10 THEN 'PII detected: phone number' END) AS violations FROM documents"""
+INPUT_GUARD_SQL = f"""SELECT doc_id, concat_ws('; ', CASE WHEN length(text) > 4096 THEN 'input length over the limit: ' || length(text) || ' > 4096' END,
+    {", ".join(f"CASE WHEN contains(lower(text), '{p}') THEN 'forbidden text: {p}' END" for p in qu.BLOCKED_PATTERNS)},
+    CASE WHEN contains(text, '@') AND contains(text, '.') THEN 'personal data: e-mail' END,
+    CASE WHEN length(regexp_replace(text, '[^0-9]', '', 'g')) >= 10 THEN 'personal data: phone' END) AS violations FROM documents"""
 
 
 @query("mon_09_input_guard", f"SELECT doc_id, violations = '' AS passed, violations FROM ({INPUT_GUARD_SQL})")
@@ -193,7 +193,7 @@ def input_guard(spark, folder):
 
 @query(
     "mon_10_output_guard",
-    """SELECT doc_id, length(text) <= 2048 AS passed, CASE WHEN length(text) > 2048 THEN 'Output exceeds max length: ' || length(text) || ' > 2048'
+    """SELECT doc_id, length(text) <= 2048 AS passed, CASE WHEN length(text) > 2048 THEN 'answer length over the limit: ' || length(text) || ' > 2048'
     ELSE '' END AS violations FROM documents""",
 )
 def output_guard(spark, folder):

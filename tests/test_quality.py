@@ -79,10 +79,10 @@ def test_guards(spark):
         return one(spark, qu.input_violations(F.lit(text)))
 
     assert check("What is machine learning?") == []
-    assert check("My password is secret123") == ["Blocked pattern detected: password"]
-    assert check("Contact user@email.com") == ["PII detected: email address"]
-    assert check("call 555-123-4567 x") == ["PII detected: phone number"]
-    assert check("a" * 4097) == ["Prompt exceeds max length: 4097 > 4096"]
+    assert check("My password is secret123") == ["forbidden text: password"]
+    assert check("Contact user@email.com") == ["personal data: e-mail"]
+    assert check("call 555-123-4567 x") == ["personal data: phone"]
+    assert check("a" * 4097) == ["input length over the limit: 4097 > 4096"]
     assert one(spark, qu.output_violations(F.lit("a" * 2048))) == []
 
 
