@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # fixed values: a placeholder in a template
 PLACEHOLDER = r"\{(\w+)\}"
@@ -153,3 +155,57 @@ def batch_model(call: Callable[[list[str]], list[str]]):
             yield pd.Series(call(list(prompts)), index=prompts.index, dtype=object)
 
     return run
+
+
+def ask_stored(prompts: DataFrame, keys: Sequence[str], prompt: str, call: Callable[[list[str]], list[str]], path: str, batch: int = 64, retries: int = 2) -> DataFrame:
+    """(keys..., answer, error, tries) of every prompt, with the answers stored at ``path`` as they come.
+
+    Only prompts without a stored answer are asked, so a second run asks again where the first one failed and for new prompts. ``call`` gets up to
+    ``batch`` prompts; when it raises, or returns another number of answers, each of them is asked alone, up to ``retries`` times more, and one that
+    still fails has the last error instead of an answer. Keys are unique and not null; a null prompt is asked as ''. A run that is broken off
+    stores nothing of its own, and what earlier runs stored stays.
+    """
+    spark = prompts.sparkSession
+    schema = T.StructType([*(prompts.schema[k] for k in keys), *T._parse_datatype_string("answer string, error string, tries int").fields])
+
+    def stored() -> DataFrame:
+        try:
+            return spark.read.schema(schema).parquet(path)
+        except AnalysisException:  # nothing has been stored yet
+            return spark.createDataFrame([], schema)
+
+    def answers(texts: list[str]) -> list[str]:
+        found = list(call(texts))
+        if len(found) != len(texts):
+            raise ValueError(f"{len(found)} answers to {len(texts)} prompts")
+        return found
+
+    def alone(text: str) -> tuple[str | None, str | None, int]:
+        error = None
+        for tries in range(1, retries + 2):
+            try:
+                return answers([text])[0], None, tries
+            except Exception as e:  # whatever a model raises is the row's error
+                error = f"{type(e).__name__}: {e}"
+        return None, error, retries + 1
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for start in range(0, len(frame), batch):
+                part = frame.iloc[start : start + batch]
+                texts = part["prompt to ask"].tolist()
+                try:
+                    rows = [(a, None, 1) for a in answers(texts)]
+                except Exception:
+                    rows = [alone(t) for t in texts]
+                made = part[list(keys)].reset_index(drop=True)
+                made[["answer", "error", "tries"]] = pd.DataFrame(rows, columns=["answer", "error", "tries"], dtype=object)
+                yield made
+
+    asked = prompts.select(*keys, F.coalesce(F.col(prompt), F.lit("")).alias("prompt to ask"))
+    answered = stored().where("error IS NULL").select(*keys).distinct()
+    asked.join(answered, list(keys), "left_anti").mapInPandas(run, schema).write.mode("append").parquet(path)
+    # an answer comes before the errors of earlier runs
+    last = F.min_by(F.struct("answer", "error", "tries"), F.col("error").isNotNull().cast("int")).alias("last")
+    latest = stored().groupBy(*keys).agg(last).select(*keys, "last.*")
+    return prompts.select(*keys).join(latest, list(keys))

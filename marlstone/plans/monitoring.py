@@ -237,6 +237,23 @@ _VARIANTS = [("control", 0.5), ("treatment", 0.3), ("holdout", 0.2)]
 _VARIANT_SQL = "CASE WHEN {0} < 0.5 THEN 'control' WHEN {0} < 0.8 THEN 'treatment' ELSE 'holdout' END"
 
 
+@query(
+    "mon_12_many_patterns",
+    """WITH w AS (SELECT DISTINCT lower(p) AS p FROM (SELECT unnest(string_split(p_name, ' ')) AS p FROM part UNION ALL SELECT p_brand FROM part UNION ALL SELECT text FROM benchmark) WHERE p <> ''),
+    h AS (SELECT doc_id, count(*) AS n, min(p) AS first FROM documents JOIN w ON contains(lower(text), p) GROUP BY 1)
+    SELECT doc_id, coalesce(n, 0) AS n_found, first FROM documents LEFT JOIN h USING (doc_id)""",
+)
+def many_patterns(spark, folder):
+    """How many of all part words, brands and benchmark texts a document holds, and the first one of them."""
+    parts = table(spark, folder, "part")
+    words = parts.select(F.explode(F.split("p_name", " ")).alias("p")).unionByName(parts.select(F.col("p_brand").alias("p"))).unionByName(table(spark, folder, "benchmark").select(F.col("text").alias("p")))
+    # as many as the automaton takes; more are refused
+    patterns = sorted(r["p"] for r in words.select(F.lower("p").alias("p")).where("p <> ''").distinct().collect())
+    found = tx.found_many(F.col("text"), patterns)
+    listed = F.array(*[F.lit(p) for p in patterns])
+    return table(spark, folder, "documents").select("doc_id", found.alias("f")).select("doc_id", F.size("f").cast("bigint").alias("n_found"), F.get(listed, F.get("f", F.lit(0))).alias("first"))
+
+
 @query(
     "mon_13_variant_assignment",
     f"""SELECT event_id, user_id, CASE WHEN ts < TIMESTAMP '2024-01-25' THEN {_VARIANT_SQL.format("(user_id % 100) / 100")} END AS variant,

@@ -12,7 +12,7 @@ from marlstone.operators import tokens as tk
 from marlstone.plans.registry import query, table
 from marlstone.plans.retrieval import _words
 from marlstone.sources.logs import CHAT_PAIRS_SQL, REQUEST_LOG_SQL, chat_pairs, request_log
-from marlstone.workspace import temp_view, written
+from marlstone.workspace import scratch, temp_view, written
 
 VOCABULARY_SQL = f"""all_words AS (SELECT doc_id, lang, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos
     FROM (SELECT doc_id, lang, {_words("lower(text)")} AS ws FROM documents)),
@@ -357,3 +357,22 @@ def batch_model(spark, folder):
     view = temp_view(table(spark, folder, "conversations"), "conversations")
     spark.udf.register(f"ask_{view}", pr.batch_model(answer))
     return spark.sql(f"SELECT conv_id, turn, ask_{view}(concat('', text)) AS answer FROM {view}")
+
+
+@query(
+    "txt_22_stored_answers",
+    """SELECT conv_id, turn, CASE WHEN contains(text, '1') THEN NULL ELSE strip_accents(coalesce(text, '')) END AS answer,
+    CASE WHEN contains(text, '1') THEN 'ValueError: no digits, please' END AS error FROM conversations""",
+)
+def stored_answers(spark, folder):
+    """Answers of a callable that refuses some prompts; the others of their batch are answered all the same, and a second run asks the refused ones only."""
+
+    def answer(prompts: list[str]) -> list[str]:
+        if any("1" in p for p in prompts):
+            raise ValueError("no digits, please")
+        return ["".join(c for c in unicodedata.normalize("NFD", p) if not unicodedata.combining(c)) for p in prompts]
+
+    chats, path = table(spark, folder, "conversations").select("conv_id", "turn", "text"), scratch(spark, "answers")
+    for _ in range(2):
+        found = pr.ask_stored(chats, ["conv_id", "turn"], "text", answer, path)
+    return found.select("conv_id", "turn", "answer", "error")

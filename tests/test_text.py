@@ -152,3 +152,61 @@ def test_filling_rare_words_takes_linear_time(spark):
         took.append(time.time() - began)
         assert row["tokens"] == [tokens.BOS, *range(4, n + 4), tokens.EOS]
     assert took[2] < 3 * took[1] + 1
+
+
+def test_many_patterns_equal_one_by_one(spark):
+    import random
+
+    from marlstone.functions import text as tx
+
+    rng = random.Random(3)
+    patterns = ["".join(rng.choice("abAB é") for _ in range(rng.randrange(0, 5))) for _ in range(300)] + ["zz", "ZZ"]
+    texts = [None, "", "ZzZ", *("".join(rng.choice("abABé z") for _ in range(rng.randrange(40))) for _ in range(200))]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string").repartition(3)
+    got = {r.id: r.f for r in df.select("id", tx.found_many(F.col("text"), patterns).alias("f")).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == ([k for k, p in enumerate(patterns) if p.lower() in t.lower()] if t is not None else [])
+    with pytest.raises(ValueError, match="more than"):
+        tx.found_many(F.col("text"), ["x" * (tx.AUTOMATON_CHARS + 1)])
+
+
+def test_ten_thousand_patterns_cost_about_as_much_as_ten(spark):
+    import time
+
+    from marlstone.functions import text as tx
+
+    df = spark.range(2000).selectExpr("repeat(concat('some words about item ', id, ' and more '), 40) AS text").repartition(4).cache()
+    df.count()
+    took = {}
+    for n in (10, 10, 10_000):
+        began = time.time()
+        df.select(F.size(tx.found_many(F.col("text"), [f"item {i} and" for i in range(n)])).alias("n")).agg(F.sum("n")).collect()
+        took[n] = time.time() - began
+    assert took[10_000] < 4 * took[10] + 2
+
+
+def test_model_calls_that_fail_cost_their_own_rows_only(spark, tmp_path):
+    from marlstone.operators import prompts as pr
+
+    calls = str(tmp_path / "calls")
+
+    def model(broken):
+        def call(texts):
+            with open(f"{calls}-{broken}", "a") as file:
+                file.write("".join(t + "\n" for t in texts))
+            if any(t in broken for t in texts):
+                raise RuntimeError("down")
+            return [t.upper() for t in texts]
+
+        return call
+
+    df = spark.createDataFrame([(i, f"p{i}") for i in range(50)] + [(50, None)], "id int, prompt string").repartition(3)
+    path = str(tmp_path / "answers")
+    first = {r.id: (r.answer, r.error) for r in pr.ask_stored(df, ["id"], "prompt", model(("p7", "p30")), path, batch=8).collect()}
+    assert {i for i, (_, e) in first.items() if e} == {7, 30} and first[7] == (None, "RuntimeError: down")
+    assert all(first[i][0] == f"P{i}" for i in range(50) if i not in (7, 30)) and first[50][0] == ""
+    more = df.unionByName(spark.createDataFrame([(99, "new")], df.schema))
+    second = {r.id: (r.answer, r.error) for r in pr.ask_stored(more, ["id"], "prompt", model(("none",)), path, batch=8).collect()}
+    assert all(e is None for _, e in second.values()) and len(second) == 52
+    with open(f"{calls}-{('none',)}") as file:
+        assert sorted(file.read().split()) == ["new", "p30", "p7"]
