@@ -1,5 +1,7 @@
 """Stored quantile sketches: rank errors of merged ones."""
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -39,3 +41,24 @@ def test_spans_of_any_length_come_from_the_same_sketches(log):
 
 def test_empty_log(log):
     assert sketches.daily(log.limit(0), "ts", ["endpoint"], "ms").collect() == []
+
+
+def test_settled_percentile_is_the_value_at_its_rank(spark):
+    rng = random.Random(9)
+    values = {"a": [float(rng.randrange(10**6)) for _ in range(30000)], "b": [1.0] * 150 + [2.0], "c": [None, None], None: [5.0, 7.0, None]}
+    rows = [(k, v) for k, found in values.items() for v in found]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "kind string, value double").repartition(7)
+    got = {r.kind: r for r in sketches.settled(df, "kind", "value", 99).collect()}
+    assert set(got) == set(values)
+    for k, found in values.items():
+        held = sorted(v for v in found if v is not None)
+        assert got[k].n == len(found) and got[k].within
+        assert got[k].p99 == (held[-(-99 * len(held) // 100) - 1] if held else None)
+
+
+def test_approximate_percentile_has_a_twin_with_its_rows(spark, folder):
+    from marlstone.plans import load
+
+    twin = load()["agg_08_approximate_p99"]
+    assert twin.sql and {"n", "within", "p99"} <= set(twin.run(spark, folder).columns)
