@@ -1,19 +1,21 @@
-"""Hash embeddings of text as Arrow-batched UDFs.
+"""Hash embeddings of text as Arrow-batched UDFs, a bounded run of texts at a time.
 
 Counting slots with array functions costs (slots x characters) per text; numpy does it in one pass
-over the characters of a whole batch. Words are split by the JVM expression in ``functions.text``, so
+over the characters of a run of texts. Words are split by the JVM expression in ``functions.text``, so
 both sides agree on what a word is. A real model plugs in by ``embed_with``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from marlstone.functions.slices import by_slices
 from marlstone.functions.text import words
 
 _SPACE = 32
@@ -56,14 +58,20 @@ def spaced_words(text: Column, lower: bool = True) -> Column:
 
 
 def embed_with(embed: Callable[[Iterable[str | None], int], np.ndarray], dim: int):
-    """Iterator UDF text -> array<double>. ``embed`` gets a batch of texts and returns a matrix; set-up of a model belongs before the loop."""
+    """Iterator UDF text -> array<double>. ``embed`` gets a run of texts and returns a matrix; set-up of a model belongs into the factory.
 
-    @F.pandas_udf("array<double>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series(list(embed(texts, dim)), dtype=object)
+    The work arrays of a hash take over a hundred bytes a character, so a run is a few hundred KB of text.
+    """
 
-    return run
+    def factory():
+        def work(texts: pa.Array) -> pa.Array:
+            found = np.asarray(embed(texts.to_pylist(), dim), dtype=float)
+            ends = np.arange(len(found) + 1, dtype=np.int32) * found.shape[1]
+            return pa.ListArray.from_arrays(ends, found.ravel())
+
+        return work
+
+    return by_slices(factory, T.ArrayType(T.DoubleType()))
 
 
 def word_embedding(text: Column, dim: int, lower: bool = True) -> Column:

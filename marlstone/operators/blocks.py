@@ -20,7 +20,9 @@ from pyspark.sql import types as T
 from marlstone.workspace import written
 
 BLOCK_QUERIES = 2048
-MATRIX_CELLS = 4_000_000
+MATRIX_CELLS = 1_000_000
+#: Characters of text that are scored at a time, unless a single text is longer.
+SLICE_CHARS = 300_000
 SCORE_DIGITS = 8
 
 # prepares the queries once and returns a function: corpus batch -> matrix (rows x queries)
@@ -61,11 +63,20 @@ def _score_batch(pdf, score, query_ids, ids, k):
 
 
 def _slices(batches: Iterator[pd.DataFrame], n_queries: int) -> Iterator[pd.DataFrame]:
-    """Batches cut so that a score matrix has at most ``MATRIX_CELLS`` cells."""
+    """Batches cut so that a score matrix has at most ``MATRIX_CELLS`` cells and is made from ``SLICE_CHARS`` characters at most."""
     rows = max(1, MATRIX_CELLS // max(n_queries, 1))
     for pdf in batches:
-        for at in range(0, len(pdf), rows):
-            yield pdf.iloc[at : at + rows]
+        sizes = np.zeros(len(pdf), dtype=np.int64)
+        for c in pdf.columns:
+            if pdf[c].dtype == object:
+                sizes += [len(v) if isinstance(v, str) else 0 for v in pdf[c]]
+        ends = np.cumsum(sizes)
+        at = 0
+        while at < len(pdf):
+            fit = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE_CHARS, side="right"))
+            stop = max(at + 1, min(at + rows, fit))
+            yield pdf.iloc[at:stop]
+            at = stop
 
 
 def _merged(batches: Iterator[pd.DataFrame], score, query_ids, ids, k) -> pd.DataFrame | None:
