@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from marlstone.functions.slices import listed as listed_udf
 from marlstone.functions.text import words
 
+_TEXTS = T.ArrayType(T.StringType())
+_PLACES = [T.StructField("start_char", T.LongType()), T.StructField("end_char", T.LongType())]
+_SOURCED = T.ArrayType(T.StructType([*_PLACES, T.StructField("text", T.StringType())]))
+
 
 def _check(size: int, overlap: int) -> None:
     if size < 1 or overlap < 0 or overlap >= size:
@@ -59,12 +64,10 @@ def char_chunks(df: DataFrame, doc_id: str, text: str, size: int, overlap: int)
     step = size - overlap
 
     # a substring of a Spark string is looked for from its beginning, so all chunks of a text are cut in one walk here
-    @F.pandas_udf("array<struct<start_char:bigint,end_char:bigint,text:string>>")
-    def cut(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
-            yield pd.Series([[{"start_char": s, "end_char": min(s + size, len(t)), "text": t[s : s + size]} for s in range(0, max(len(t) - overlap, 1), step)] if t else [] for t in batch], dtype=object)
+    def cut(t: str | None) -> list[dict]:
+        return [{"start_char": s, "end_char": min(s + size, len(t)), "text": t[s : s + size]} for s in range(0, max(len(t) - overlap, 1), step)] if t else []
 
-    return df.select(doc_id, F.posexplode(cut(F.col(text))).alias("chunk_no", "_c")).select(doc_id, "chunk_no", "_c.start_char", "_c.end_char", "_c.text")
+    return df.select(doc_id, F.posexplode(listed_udf(cut, _SOURCED)(F.col(text))).alias("chunk_no", "_c")).select(doc_id, "chunk_no", "_c.start_char", "_c.end_char", "_c.text")
 
 
 _WORD = re.compile(r"[^ \t\n\x0b\f\r]+")
@@ -77,14 +80,11 @@ def word_chunk_offsets(df: DataFrame, doc_id: str, text: str, size: int, overlap
     """
     _check(size, overlap)
 
-    @F.pandas_udf("array<struct<start_char:bigint,end_char:bigint,source:string>>")
-    def offsets(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
-            found = [_offsets(t or "", size, overlap) for t in batch]
-            yield pd.Series([[{**c, "source": t[c["start_char"] : c["end_char"]] if source else None} for c in cs] for t, cs in zip(batch, found, strict=True)], dtype=object)
+    def offsets(t: str | None) -> list[dict]:
+        return [{**c, "text": t[c["start_char"] : c["end_char"]] if source else None} for c in _offsets(t or "", size, overlap)]
 
-    cut = df.select(doc_id, *carry, F.posexplode(offsets(F.col(text))).alias("chunk_no", "_o"))
-    return cut.select(doc_id, *carry, "chunk_no", "_o.start_char", "_o.end_char", *(["_o.source"] if source else []))
+    cut = df.select(doc_id, *carry, F.posexplode(listed_udf(offsets, _SOURCED)(F.col(text))).alias("chunk_no", "_o"))
+    return cut.select(doc_id, *carry, "chunk_no", "_o.start_char", "_o.end_char", *([F.col("_o.text").alias("source")] if source else []))
 
 
 def _offsets(text: str, size: int, overlap: int) -> list[dict]:
@@ -118,12 +118,10 @@ def _packed(pieces: Sequence[str], separator: str, size: int) -> list[str]:
 def packed_chunks(df: DataFrame, doc_id: str, text: str, size: int, separator: str = "\n") -> DataFrame:
     """(doc_id, chunk_no, text): paragraphs packed up to ``size`` characters, trimmed."""
 
-    @F.pandas_udf("array<string>")
-    def pack(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
-            yield pd.Series([_packed((t or "").split(separator), separator, size) for t in batch], dtype=object)
+    def pack(t: str | None) -> list[str]:
+        return _packed((t or "").split(separator), separator, size)
 
-    return df.select(doc_id, F.posexplode(pack(F.col(text))).alias("chunk_no", "text"))
+    return df.select(doc_id, F.posexplode(listed_udf(pack, _TEXTS)(F.col(text))).alias("chunk_no", "text"))
 
 
 def _merged(pieces: Sequence[str], size: int, overlap: int) -> list[str]:
@@ -174,12 +172,10 @@ def recursive_chunks(
     _check(size, overlap)
     listed = list(separators)
 
-    @F.pandas_udf("array<string>")
-    def split(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
-            yield pd.Series([split_recursively(t or "", listed, size, overlap) for t in batch], dtype=object)
+    def split(t: str | None) -> list[str]:
+        return split_recursively(t or "", listed, size, overlap)
 
-    return df.select(doc_id, F.posexplode(split(F.col(text))).alias("chunk_no", "text"))
+    return df.select(doc_id, F.posexplode(listed_udf(split, _TEXTS)(F.col(text))).alias("chunk_no", "text"))
 
 
 def sentences(text: Column) -> Column:
@@ -191,9 +187,7 @@ def sentences(text: Column) -> Column:
 def sentence_chunks(df: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
     """(doc_id, chunk_no, text): whole sentences packed up to ``size`` characters."""
 
-    @F.pandas_udf("array<string>")
-    def pack(lists: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in lists:
-            yield pd.Series([_packed(list(s), " ", size) for s in batch], dtype=object)
+    def pack(found: list[str] | None) -> list[str]:
+        return _packed(found or [], " ", size)
 
-    return df.select(doc_id, F.posexplode(pack(sentences(F.col(text)))).alias("chunk_no", "text"))
+    return df.select(doc_id, F.posexplode(listed_udf(pack, _TEXTS)(sentences(F.col(text)))).alias("chunk_no", "text"))

@@ -13,8 +13,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marlstone.functions.embed import spaced_words, word_embedding, word_hash
+from marlstone.functions.slices import listed as listed_udf
 from marlstone.functions.text import found_patterns, overlap, share, word_set, words
 from marlstone.operators import postings
 from marlstone.operators.blocks import Scorer, top_k
@@ -144,7 +146,7 @@ def bm25_search(corpus: DataFrame, ids: list[str], questions: DataFrame, k: int,
     meet the asked ones, so a frequent word is one row per task. A second pass scores; no word is joined to documents.
     """
     texts = corpus.select(*ids, spaced_words(F.col("text")).alias("text"))
-    listed = F.when(F.col("text") == "", F.array().cast("array<string>")).otherwise(F.split("text", " "))
+    listed = F.when(F.coalesce("text", F.lit("")) == "", F.array().cast("array<string>")).otherwise(F.split("text", " "))
     # the term null stands for the text itself; length and terms are one value that the explode takes apart, or the text would be split for every term
     sized = F.transform(F.array(listed), lambda listed: F.struct(F.size(listed).alias("length"), F.concat(F.array_distinct(listed), F.array(F.lit(None).cast("string"))).alias("terms")))
     spread = texts.select(F.inline(sized)).select("length", F.explode("terms").alias("term"))
@@ -341,30 +343,30 @@ def response_quality(results: DataFrame, questions: DataFrame, threshold: float)
 # --- semantic chunks ------------------------------------------------------------------
 
 
+def _joined(sentences: list[str], threshold: float, dim: int) -> list[str]:
+    if len(sentences) == 0:
+        return []
+    vectors = word_hash([" ".join(s.lower().split()) for s in sentences], dim)
+    near = np.round((vectors[1:] * vectors[:-1]).sum(axis=1), 8)
+    chunks, held = [], [sentences[0]]
+    for s, c in zip(sentences[1:], near, strict=True):
+        if c < threshold or math.isnan(c):
+            chunks.append(" ".join(held))
+            held = []
+        held.append(s)
+    return [*chunks, " ".join(held)]
+
+
 def semantic_breaks(lists: pd.Series, threshold: float, dim: int) -> pd.Series:
     """Sentences of each text joined while neighbours have a cosine of at least ``threshold``."""
 
-    def joined(sentences) -> list[str]:
-        if len(sentences) == 0:
-            return []
-        vectors = word_hash([" ".join(s.lower().split()) for s in sentences], dim)
-        near = np.round((vectors[1:] * vectors[:-1]).sum(axis=1), 8)
-        chunks, held = [], [sentences[0]]
-        for s, c in zip(sentences[1:], near, strict=True):
-            if c < threshold or math.isnan(c):
-                chunks.append(" ".join(held))
-                held = []
-            held.append(s)
-        return [*chunks, " ".join(held)]
-
-    return pd.Series([joined(list(s)) for s in lists], dtype=object)
+    return pd.Series([_joined(list(s), threshold, dim) for s in lists], dtype=object)
 
 
 def semantic_chunks(df: DataFrame, doc_id: str, listed: Column, threshold: float, dim: int = DIM) -> DataFrame:
     """(doc_id, chunk_no, text): a new chunk starts where neighbouring sentences differ."""
 
-    @F.pandas_udf("array<string>")
-    def cut(lists: pd.Series) -> pd.Series:
-        return semantic_breaks(lists, threshold, dim)
+    def cut(sentences: list[str] | None) -> list[str]:
+        return _joined(sentences or [], threshold, dim)
 
-    return df.select(doc_id, F.posexplode(cut(listed)).alias("chunk_no", "text"))
+    return df.select(doc_id, F.posexplode(listed_udf(cut, T.ArrayType(T.StringType()))(listed)).alias("chunk_no", "text"))
