@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from marlstone.functions.slices import by_slices, row_slices
 from marlstone.functions.text import words
 from marlstone.operators.ordered import row_numbers
 from marlstone.workspace import written
@@ -53,23 +57,35 @@ def _looked_up(rows: DataFrame, listed: str, found: str, rare: Callable[[Column]
     # every rare place comes back, those without a match as nulls
     back = sent.join(table, "key", "left").groupBy("_row").agg(F.collect_list(F.struct("_at", "value")).alias("_back"))
 
-    @F.pandas_udf(rows.schema[found].dataType)
-    def fill(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for values, places, others in batches:
-            out = []
-            for row, at, new in zip(values, places, others, strict=True):
-                if at is not None:
-                    row = list(row)
-                    for i, v in zip(at, new, strict=True):
-                        row[i] = default if pd.isna(v) else v
-                out.append(row)
-            yield pd.Series(out, dtype=object)
+    @F.arrow_udf(rows.schema[found].dataType)
+    def fill(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for columns in batches:
+            for part in row_slices(columns):
+                yield _put(*part, default)
 
     joined = placed.join(back, "_row", "left")
     filled = fill(found, F.transform("_back", lambda e: e["_at"]), F.transform("_back", lambda e: e["value"]))
     return joined.withColumn(name, filled).drop("_row", "_rare", "_back")
 
 
+def _ends(lists: pa.Array) -> np.ndarray:
+    """Where each list begins among the values of all, and their number."""
+    return np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))])
+
+
+def _put(values: pa.Array, places: pa.Array, others: pa.Array, default) -> pa.Array:
+    """Lists ``values`` with ``others`` at their ``places``, nulls as ``default``; without a Python object per value."""
+    ends, sizes = _ends(values), np.diff(_ends(places))
+    flat, new = values.flatten(), others.flatten()
+    at = np.repeat(ends[:-1], sizes) + places.flatten().to_numpy(zero_copy_only=False)
+    if len(at):
+        mask = np.zeros(len(flat), dtype=bool)
+        mask[at] = True
+        new = new.take(pa.array(np.argsort(at))).cast(flat.type)
+        flat = pc.replace_with_mask(flat, pa.array(mask), new if default is None else pc.fill_null(new, default))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
+
+
 def encode(
     df: DataFrame, key: str, text: str, vocabulary: DataFrame, special: bool = True, carry: Sequence[str] = (), shared_words: int = SHARED_WORDS
 ) -> DataFrame:
@@ -79,12 +95,11 @@ def encode(
     """
     shared = _shared(vocabulary, shared_words)
 
-    @F.pandas_udf("array<int>")
-    def look_up(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def factory():
         ids = dict(zip(*shared.value, strict=True))
-        for batch in texts:
-            yield pd.Series([[ids.get(w, _RARE) for w in t.split(" ") if w] for t in batch], dtype=object)
+        return lambda texts: pa.array([[ids.get(w, _RARE) for w in t.split(" ") if w] for t in texts.to_pylist()], type=pa.list_(pa.int32()))
 
+    look_up = by_slices(factory, T.ArrayType(T.IntegerType()))
     listed = F.coalesce(words(F.col(text)), F.array().cast("array<string>"))
     coded = df.select(key, *carry, listed.alias("_words")).withColumn("_found", look_up(F.array_join("_words", " ")))
     table = vocabulary.select(F.col("word").alias("key"), F.col("token").alias("value"))
@@ -98,13 +113,21 @@ def decode(df: DataFrame, key: str, tokens: str, vocabulary: DataFrame, shared_w
     """(key, text): words of the ids, special tokens and unknown ids left out. Rare ids are joined as in ``encode``."""
     shared = _shared(vocabulary, shared_words)
 
-    @F.pandas_udf("array<string>")
-    def look_up(lists: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def factory():
         named, ids = shared.value
-        names = dict(zip(ids, named, strict=True))
-        for batch in lists:
-            yield pd.Series([[names.get(t) for t in listed] for listed in batch], dtype=object)
+        order = np.argsort(ids)
+        known, names = np.array(ids, dtype=np.int64)[order], pa.array([*named, None], type=pa.string())
+        place = np.append(order, len(named))
+
+        def work(lists: pa.Array) -> pa.Array:
+            asked = lists.flatten().to_numpy(zero_copy_only=False)
+            at = np.searchsorted(known, asked)
+            hit = np.append(known, -1)[at] == asked
+            return pa.ListArray.from_arrays(pa.array(_ends(lists), pa.int32()), names.take(pa.array(place[np.where(hit, at, len(known))])))
+
+        return work
 
+    look_up = by_slices(factory, T.ArrayType(T.StringType()))
     plain = df.select(key, F.filter(F.col(tokens), lambda t: t >= FIRST_ID).alias("_ids"))
     named = plain.withColumn("_found", look_up("_ids"))
     table = vocabulary.select(F.col("token").alias("key"), F.col("word").alias("value"))

@@ -1,11 +1,12 @@
 """Python sees a bounded run of rows at a time, whatever the size of an Arrow batch."""
 
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from marlstone.functions import embed
 from marlstone.functions.slices import row_slices
-from marlstone.operators import blocks
+from marlstone.operators import blocks, tokens
 
 
 def test_runs_hold_all_rows_in_order_and_stay_below_the_limit():
@@ -35,3 +36,12 @@ def test_scored_slices_are_bounded_by_their_text():
     parts = list(blocks._slices(iter([pdf]), 1))
     assert pd.concat(parts).equals(pdf)
     assert all(p["text"].str.len().sum() <= blocks.SLICE_CHARS or len(p) == 1 for p in parts)
+
+
+@pytest.mark.parametrize("default", [1, None])
+def test_values_are_put_at_their_places(default):
+    values = pa.array([[7, -1, 8, -1], [], [-1], [5]], type=pa.list_(pa.int32())).slice(0, 4)
+    places = pa.array([[3, 1], None, [0], None], type=pa.list_(pa.int32()))
+    others = pa.array([[40, 20], None, [None], None], type=pa.list_(pa.int32()))
+    assert tokens._put(values, places, others, default).to_pylist() == [[7, 20, 8, 40], [], [default], [5]]
+    assert tokens._put(values.slice(2), places.slice(2), others.slice(2), default).to_pylist() == [[default], [5]]
