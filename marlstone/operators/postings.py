@@ -1,8 +1,8 @@
 """A stored inverted index of texts, read for the asked terms only, with exact search by block maxima.
 
 Texts are cut into tiles of a fixed number, where the scan put them. A posting block is one term in one tile: the ids of the
-texts that hold it, how often, and how long they are. So a block is made inside a task, and no word is ever shuffled to
-its postings; only finished blocks are, once, to lay them out by term.
+texts that hold it, how often, and how long they are. The blocks of a term in a segment of many tiles are one stored row. So blocks
+are made inside a task, by numpy, and no word is ever shuffled to its postings; only finished rows are, once, to lay them out by term.
 
 A search first reads block maxima: their weighted sum over a question's terms bounds every score in a tile. The best tiles
 are scored in full, which gives a score that the k-th best result reaches at least; only tiles whose bound is
@@ -11,13 +11,15 @@ not below it are scored as well. The result is the same as without bounds.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marlstone.functions.embed import spaced_words
 from marlstone.functions.text import word_set
@@ -25,6 +27,8 @@ from marlstone.operators.blocks import SCORE_DIGITS
 from marlstone.workspace import written
 
 TILE, BUCKETS = 64, 32
+#: A segment has at most so many texts and about so many bytes of them; a task holds one at a time.
+SEGMENT, SEGMENT_BYTES = 2048, 8_000_000
 #: Tiles of each question that are scored first.
 FIRST_TILES = 3
 #: Room for the rounding of sums that are added up in another order.
@@ -37,76 +41,130 @@ def _bucket(term: Column) -> Column:
 
 @dataclass(frozen=True)
 class Index:
-    """Tables of a stored index: ``blocks`` (bucket, term, tile, ids, counts, lengths, top), ``terms`` (bucket, term, n, occurrences), ``size`` (n, mean)."""
+    """Tables of a stored index: ``stored`` (bucket, term, segment, tiles: the blocks), ``terms`` (bucket, term, n, occurrences), ``size`` (n, mean)."""
 
     ids: tuple[str, ...]
-    blocks: DataFrame
+    stored: DataFrame
     terms: DataFrame
     size: DataFrame
 
+    @property
+    def blocks(self) -> DataFrame:
+        """(bucket, term, tile, ids, counts, lengths, parts, top), one row per term and tile."""
+        return self.stored.select("bucket", "term", F.explode("tiles").alias("_t")).select("bucket", "term", "_t.*")
+
     @staticmethod
     def read(spark: SparkSession, path: str) -> Index:
-        blocks = spark.read.parquet(f"{path}/blocks")
-        ids = tuple(blocks.schema["ids"].dataType.elementType.names)
-        return Index(ids, blocks, spark.read.parquet(f"{path}/terms"), spark.read.parquet(f"{path}/size"))
-
-
-def tiled(corpus: DataFrame, ids: Sequence[str], text: str, tile: int = TILE) -> DataFrame:
-    """Posting blocks (term, tile, ids, counts, lengths) of the lower-case words of ``text``, tile by tile; the term null holds all texts of a tile.
-
-    A tile is a run of rows of one partition. Null and blank texts have length 0.
+        size = spark.read.parquet(f"{path}/size")
+        item = size.schema["ids"].dataType  # the tables of an empty corpus have no file that tells it
+        tile = f"tile:bigint,ids:{item.simpleString()},counts:array<int>,lengths:array<int>,parts:array<double>,top:double"
+        stored = spark.read.schema(f"term string, segment bigint, tiles array<struct<{tile}>>, bucket int").parquet(f"{path}/blocks")
+        terms = spark.read.schema("term string, n bigint, occurrences bigint, n_blocks bigint, bucket int").parquet(f"{path}/terms")
+        return Index(tuple(item.elementType.names), stored, terms, size.select("n", "mean"))
+
+    def met(self, asked: DataFrame, *fields: str) -> DataFrame:
+        """Columns of ``asked`` (bucket, term, ...) with ``fields`` of every block of its term. Rows of other terms are dropped before they are taken apart."""
+        rows = self.stored.select("bucket", "term", *[F.col(f"tiles.{f}").alias(f) for f in fields]).join(asked, ["bucket", "term"])
+        return rows.select(*asked.columns, F.explode(F.arrays_zip(*fields)).alias("_t")).select(*asked.columns, *[F.col(f"_t.{f}").alias(f) for f in fields])
+
+
+def _pieces(batch: pa.RecordBatch, room: int, room_bytes: int) -> int:
+    """How many rows of the batch fit; at least one."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+    return max(1, min(room, int(np.searchsorted(ends, room_bytes, side="right"))))
+
+
+def _lists(values: pa.Array, starts: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), values)
+
+
+def _segment(rows: pa.Table, ids: Sequence[str], tile: int, first_tile: int, segment: int) -> pa.RecordBatch:
+    """One row per term of the texts: its blocks, by tile. The row of the term null has the number and the words of all texts."""
+    n = rows.num_rows
+    split = pc.split_pattern(pc.fill_null(rows.column("text").combine_chunks(), ""), " ")
+    split = split.combine_chunks() if isinstance(split, pa.ChunkedArray) else split
+    at, flat = np.repeat(np.arange(n), pc.list_value_length(split).to_numpy(zero_copy_only=False)), split.flatten()
+    named = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
+    at, coded = at[named], flat.filter(pa.array(named)).dictionary_encode()
+    lengths = np.bincount(at, minlength=n).astype(np.int32)
+    pairs, counts = np.unique(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * n + at, return_counts=True)
+    term, row = pairs // n, pairs % n
+    block = term * (n // tile + 1) + row // tile
+    begins = np.flatnonzero(np.diff(block, prepend=-1))  # of the blocks among the postings
+    of_term = np.flatnonzero(np.diff(term[begins], prepend=-1))  # of the terms among the blocks
+    key = pa.StructArray.from_arrays([rows.column(i).combine_chunks() for i in ids], list(ids)).take(pa.array(row))
+    # the row of all texts comes last, with one posting without a text
+    key = pa.concat_arrays([key, pa.array([None], key.type)])
+    counts, long = np.append(counts, n).astype(np.int32), np.append(lengths[row], lengths.sum()).astype(np.int32)
+    starts = np.concatenate([begins, [len(row), len(row) + 1]])
+    numbers = np.append(first_tile + row[begins] // tile, first_tile)
+    tiles = pa.StructArray.from_arrays(
+        [pa.array(numbers, pa.int64()), _lists(key, starts), _lists(pa.array(counts), starts), _lists(pa.array(long), starts)], ["tile", "ids", "counts", "lengths"]
+    )
+    terms = pa.concat_arrays([coded.dictionary.cast(pa.string()), pa.array([None], pa.string())])
+    blocks = _lists(tiles, np.concatenate([of_term, [len(begins), len(begins) + 1]]))
+    return pa.RecordBatch.from_arrays([terms, pa.array(np.full(len(terms), segment), pa.int64()), blocks], names=["term", "segment", "tiles"])
+
+
+def segments(corpus: DataFrame, ids: Sequence[str], text: str, tile: int = TILE) -> DataFrame:
+    """(term, segment, tiles): the posting blocks (tile, ids, counts, lengths) of the lower-case words of ``text``, a row per term and segment.
+
+    A segment is a run of rows of one partition. The term null has one block, whose count and length are the number and the words of
+    the segment's texts. Null and blank texts have length 0.
     """
     types = {f.name: f.dataType.simpleString() for f in corpus.schema if f.name in ids}
-    item = f"struct<{', '.join(f'{i}:{types[i]}' for i in ids)}>"
+    item = f"struct<{','.join(f'{i}:{types[i]}' for i in ids)}>"
+    names = list(ids)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part, number = TaskContext.get().partitionId(), 0
-        held: list[tuple] = []
-
-        def blocks():
-            nonlocal number
-            postings: dict[str | None, list] = {None: []}
-            for key, body in held:
-                listed = body.split(" ") if body else []
-                postings[None].append((key, 1, len(listed)))
-                for term, n in Counter(listed).items():
-                    postings.setdefault(term, []).append((key, n, len(listed)))
-            rows = [(term, (part << 33) + number, *map(list, zip(*found, strict=True))) for term, found in postings.items()]
-            number += 1
-            held.clear()
-            return pd.DataFrame(rows, columns=["term", "tile", "ids", "counts", "lengths"])
-
+        held: list[pa.RecordBatch] = []
+        n = size = 0
         for batch in batches:
-            for *key, body in batch.itertuples(index=False, name=None):
-                held.append((tuple(None if k is pd.NA else k for k in key), body))
-                if len(held) == tile:
-                    yield blocks()
+            while batch.num_rows:
+                fit = _pieces(batch, SEGMENT - n, SEGMENT_BYTES - size)
+                piece, batch = batch.slice(0, fit), batch.slice(fit)
+                held.append(piece)
+                n, size = n + fit, size + piece.column("text").nbytes
+                if n >= SEGMENT or size >= SEGMENT_BYTES or batch.num_rows:
+                    yield _segment(pa.Table.from_batches(held), names, tile, (part << 33) + number, (part << 33) + number)
+                    number += -(-n // tile)
+                    held, n, size = [], 0, 0
         if held:
-            yield blocks()
+            yield _segment(pa.Table.from_batches(held), names, tile, (part << 33) + number, (part << 33) + number)
 
     rows = corpus.select(*ids, spaced_words(F.col(text)).alias("text"))
-    return rows.mapInPandas(run, f"term string, tile long, ids array<{item}>, counts array<int>, lengths array<int>")
+    return rows.mapInArrow(run, f"term string, segment long, tiles array<struct<tile:bigint,ids:array<{item}>,counts:array<int>,lengths:array<int>>>")
 
 
 def build(corpus: DataFrame, ids: Sequence[str], text: str, path: str, k1: float = 1.5, b: float = 0.75, tile: int = TILE) -> Index:
     """Store the index of ``corpus`` below ``path``: laid out by term hash, with the largest BM25 part of each block. The texts are read once."""
     spark = corpus.sparkSession
-    made = written(tiled(corpus, ids, text, tile), "blocks")
-    every = F.aggregate("lengths", F.lit(0).cast("bigint"), lambda a, x: a + x)
-    size = made.where("term IS NULL").agg(F.coalesce(F.sum(F.size("ids")), F.lit(0)).cast("bigint").alias("n"), F.try_divide(F.sum(every), F.sum(F.size("ids"))).alias("mean"))
+    made = written(segments(corpus, ids, text, tile), "blocks")
+    whole = made.where("term IS NULL").select(F.col("tiles")[0].alias("_all"))
+    n, long = F.sum(F.col("_all.counts")[0].cast("bigint")), F.sum(F.col("_all.lengths")[0].cast("bigint"))
+    kind = made.schema["tiles"].dataType.elementType["ids"].dataType
+    size = whole.agg(F.coalesce(n, F.lit(0)).cast("bigint").alias("n"), F.try_divide(long, n).alias("mean"), F.lit(None).cast(kind).alias("ids"))
     size.coalesce(1).write.parquet(f"{path}/size")
     mean = spark.read.parquet(f"{path}/size").select("mean").scalar()
-    part = F.zip_with("counts", "lengths", lambda n, long: n * (k1 + 1) / (n + k1 * (1 - b + b * long / F.col("_mean"))))
-    named = made.where("term IS NOT NULL").withColumn("bucket", _bucket(F.col("term"))).withColumn("_mean", mean)
-    blocks = named.withColumn("parts", part).withColumn("top", F.array_max("parts")).drop("_mean")
-    # a frequent term has many blocks, so its bucket is dealt by tile as well
-    laid = blocks.repartition("bucket", F.pmod("tile", F.lit(8))).sortWithinPartitions("bucket", "term", "tile")
-    laid.write.partitionBy("bucket").parquet(f"{path}/blocks")
-    stored = spark.read.parquet(f"{path}/blocks")
-    seen = F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, x: a + x)
-    terms = stored.groupBy("bucket", "term").agg(F.sum(F.size("ids")).cast("bigint").alias("n"), F.sum(seen).alias("occurrences"), F.count(F.lit(1)).alias("n_blocks"))
+    named = made.where("term IS NOT NULL").withColumn("bucket", _bucket(F.col("term")))
+    # a frequent term has a row in every segment, so its bucket is dealt by segment as well; scores are added behind the shuffle
+    laid = named.repartition("bucket", F.pmod(F.xxhash64("segment"), F.lit(8))).sortWithinPartitions("bucket", "term", "segment").withColumn("_mean", mean)
+
+    def part(t: Column) -> Column:
+        return F.zip_with(t["counts"], t["lengths"], lambda n, long: n * (k1 + 1) / (n + k1 * (1 - b + b * long / F.col("_mean"))))
+
+    held = ["tile", "ids", "counts", "lengths"]
+    scored_tiles = F.transform("tiles", lambda t: F.struct(*[t[c].alias(c) for c in held], part(t).alias("parts")))
+    topped = F.transform(scored_tiles, lambda t: F.struct(*[t[c].alias(c) for c in [*held, "parts"]], F.array_max(t["parts"]).alias("top")))
+    laid.select("bucket", "term", "segment", topped.alias("tiles")).write.partitionBy("bucket").parquet(f"{path}/blocks")
+    seen = F.aggregate(F.flatten("tiles.counts"), F.lit(0).cast("bigint"), lambda a, x: a + x)
+    texts, n_tiles = F.size(F.flatten("tiles.counts")), F.size("tiles.tile")
+    schema = made.select("term", "tiles").withColumn("bucket", F.lit(0)).schema
+    stored = spark.read.schema(T.StructType([schema["term"], schema["tiles"], schema["bucket"]])).parquet(f"{path}/blocks")
+    terms = stored.groupBy("bucket", "term").agg(F.sum(texts).cast("bigint").alias("n"), F.sum(seen).alias("occurrences"), F.sum(n_tiles).cast("bigint").alias("n_blocks"))
     terms.write.partitionBy("bucket").parquet(f"{path}/terms")
     return Index.read(spark, path)
 
@@ -121,14 +179,13 @@ def asked_terms(index: Index, questions: DataFrame) -> DataFrame:
 
 def bounds(index: Index, asked: DataFrame) -> DataFrame:
     """(query_id, tile, bound): no text of the tile scores more. Only block maxima are read."""
-    met = index.blocks.select("bucket", "term", "tile", "top").join(asked, ["bucket", "term"])
-    return met.groupBy("query_id", "tile").agg(F.sum(F.col("weight") * F.col("top")).alias("bound"))
+    return index.met(asked, "tile", "top").groupBy("query_id", "tile").agg(F.sum(F.col("weight") * F.col("top")).alias("bound"))
 
 
 def scored(index: Index, asked: DataFrame, tiles: DataFrame) -> DataFrame:
     """(query_id, ids..., score) of all texts in ``tiles`` (query_id, tile) that hold a word of the question."""
     wanted = tiles.select("query_id", "tile").join(asked, "query_id")
-    met = index.blocks.select("bucket", "term", "tile", "ids", "parts").join(wanted, ["bucket", "term", "tile"])
+    met = index.met(asked.select("bucket", "term").distinct(), "tile", "ids", "parts").join(wanted, ["bucket", "term", "tile"])
     rows = met.select("query_id", "weight", F.explode(F.arrays_zip("ids", "parts")).alias("p"))
     rows = rows.select("query_id", *[F.col(f"p.ids.{i}").alias(i) for i in index.ids], (F.col("weight") * F.col("p.parts")).alias("_part"))
     return rows.groupBy("query_id", *index.ids).agg(F.round(F.sum("_part"), SCORE_DIGITS).alias("score"))
@@ -158,6 +215,6 @@ def occurrences(index: Index, wanted: DataFrame) -> DataFrame:
     """``wanted`` (query_id, ids..., term) with ``n``, how often the text holds the term; rows without an occurrence are left out."""
     asked = wanted.withColumn("bucket", _bucket(F.col("term")))
     terms = asked.select("bucket", "term").distinct()
-    met = index.blocks.select("bucket", "term", "ids", "counts").join(terms, ["bucket", "term"])
+    met = index.met(terms, "ids", "counts")
     rows = met.select("term", F.explode(F.arrays_zip("ids", "counts")).alias("p")).select("term", *[F.col(f"p.ids.{i}").alias(i) for i in index.ids], F.col("p.counts").alias("n"))
     return wanted.join(rows, [*index.ids, "term"])
