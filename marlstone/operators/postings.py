@@ -11,7 +11,7 @@ not below it are scored as well. The result is the same as without bounds.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,10 +19,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from marlstone.functions.embed import spaced_words
-from marlstone.functions.text import word_set
+from marlstone.functions.text import word_set, words
 from marlstone.operators.blocks import SCORE_DIGITS
 from marlstone.workspace import written
 
@@ -41,26 +40,27 @@ def _bucket(term: Column) -> Column:
 
 @dataclass(frozen=True)
 class Index:
-    """Tables of a stored index: ``stored`` (bucket, term, segment, tiles: the blocks), ``terms`` (bucket, term, n, occurrences), ``size`` (n, mean)."""
+    """Tables of a stored index: ``stored`` (bucket, term, segment, tiles: the blocks), ``terms`` (bucket, term, n, occurrences), ``size`` (n, mean), ``weights`` (mean, k1, b)."""
 
     ids: tuple[str, ...]
     stored: DataFrame
     terms: DataFrame
     size: DataFrame
+    weights: DataFrame
 
     @property
     def blocks(self) -> DataFrame:
-        """(bucket, term, tile, ids, counts, lengths, parts, top), one row per term and tile."""
+        """(bucket, term, tile, ids, counts, lengths, top), one row per term and tile."""
         return self.stored.select("bucket", "term", F.explode("tiles").alias("_t")).select("bucket", "term", "_t.*")
 
     @staticmethod
     def read(spark: SparkSession, path: str) -> Index:
         size = spark.read.parquet(f"{path}/size")
         item = size.schema["ids"].dataType  # the tables of an empty corpus have no file that tells it
-        tile = f"tile:bigint,ids:{item.simpleString()},counts:array<int>,lengths:array<int>,parts:array<double>,top:double"
+        tile = f"tile:bigint,ids:{item.simpleString()},counts:array<int>,lengths:array<int>,top:double"
         stored = spark.read.schema(f"term string, segment bigint, tiles array<struct<{tile}>>, bucket int").parquet(f"{path}/blocks")
         terms = spark.read.schema("term string, n bigint, occurrences bigint, n_blocks bigint, bucket int").parquet(f"{path}/terms")
-        return Index(tuple(item.elementType.names), stored, terms, size.select("n", "mean"))
+        return Index(tuple(item.elementType.names), stored, terms, size.select("n", "mean"), size.select("mean", "k1", "b"))
 
     def met(self, asked: DataFrame, *fields: str) -> DataFrame:
         """Columns of ``asked`` (bucket, term, ...) with ``fields`` of every block of its term. Rows of other terms are dropped before they are taken apart."""
@@ -78,8 +78,8 @@ def _lists(values: pa.Array, starts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), values)
 
 
-def _segment(rows: pa.Table, ids: Sequence[str], tile: int, first_tile: int, segment: int) -> pa.RecordBatch:
-    """One row per term of the texts: its blocks, by tile. The row of the term null has the number and the words of all texts."""
+def _segment(rows: pa.Table, ids: Sequence[str], tile: int, first_tile: int, part: Callable) -> pa.RecordBatch:
+    """One row per term of the texts: its blocks, by tile, with the largest ``part(counts, lengths)`` of each."""
     n = rows.num_rows
     split = pc.split_pattern(pc.fill_null(rows.column("text").combine_chunks(), ""), " ")
     split = split.combine_chunks() if isinstance(split, pa.ChunkedArray) else split
@@ -93,24 +93,21 @@ def _segment(rows: pa.Table, ids: Sequence[str], tile: int, first_tile: int, seg
     begins = np.flatnonzero(np.diff(block, prepend=-1))  # of the blocks among the postings
     of_term = np.flatnonzero(np.diff(term[begins], prepend=-1))  # of the terms among the blocks
     key = pa.StructArray.from_arrays([rows.column(i).combine_chunks() for i in ids], list(ids)).take(pa.array(row))
-    # the row of all texts comes last, with one posting without a text
-    key = pa.concat_arrays([key, pa.array([None], key.type)])
-    counts, long = np.append(counts, n).astype(np.int32), np.append(lengths[row], lengths.sum()).astype(np.int32)
-    starts = np.concatenate([begins, [len(row), len(row) + 1]])
-    numbers = np.append(first_tile + row[begins] // tile, first_tile)
+    counts, long = counts.astype(np.int32), lengths[row]
+    tops = np.maximum.reduceat(part(counts.astype(float), long.astype(float)), begins) if len(row) else np.zeros(0)
+    starts = np.append(begins, len(row))
     tiles = pa.StructArray.from_arrays(
-        [pa.array(numbers, pa.int64()), _lists(key, starts), _lists(pa.array(counts), starts), _lists(pa.array(long), starts)], ["tile", "ids", "counts", "lengths"]
+        [pa.array(first_tile + row[begins] // tile, pa.int64()), *[_lists(x, starts) for x in (key, pa.array(counts), pa.array(long))], pa.array(tops)],
+        ["tile", "ids", "counts", "lengths", "top"],
     )
-    terms = pa.concat_arrays([coded.dictionary.cast(pa.string()), pa.array([None], pa.string())])
-    blocks = _lists(tiles, np.concatenate([of_term, [len(begins), len(begins) + 1]]))
-    return pa.RecordBatch.from_arrays([terms, pa.array(np.full(len(terms), segment), pa.int64()), blocks], names=["term", "segment", "tiles"])
+    terms, blocks = coded.dictionary.cast(pa.string()), _lists(tiles, np.append(of_term, len(begins)))
+    return pa.RecordBatch.from_arrays([terms, pa.array(np.full(len(terms), first_tile), pa.int64()), blocks], names=["term", "segment", "tiles"])
 
 
-def segments(corpus: DataFrame, ids: Sequence[str], text: str, tile: int = TILE) -> DataFrame:
-    """(term, segment, tiles): the posting blocks (tile, ids, counts, lengths) of the lower-case words of ``text``, a row per term and segment.
+def segments(corpus: DataFrame, ids: Sequence[str], text: str, part: Callable, tile: int = TILE) -> DataFrame:
+    """(term, segment, tiles): the posting blocks (tile, ids, counts, lengths, top) of the lower-case words of ``text``, a row per term and segment.
 
-    A segment is a run of rows of one partition. The term null has one block, whose count and length are the number and the words of
-    the segment's texts. Null and blank texts have length 0.
+    A segment is a run of rows of one partition; ``top`` is the largest ``part(counts, lengths)`` of a block. Null and blank texts have length 0.
     """
     types = {f.name: f.dataType.simpleString() for f in corpus.schema if f.name in ids}
     item = f"struct<{','.join(f'{i}:{types[i]}' for i in ids)}>"
@@ -119,7 +116,7 @@ def segments(corpus: DataFrame, ids: Sequence[str], text: str, tile: int = TILE)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, number = TaskContext.get().partitionId(), 0
+        task, number = TaskContext.get().partitionId(), 0
         held: list[pa.RecordBatch] = []
         n = size = 0
         for batch in batches:
@@ -129,41 +126,41 @@ def segments(corpus: DataFrame, ids: Sequence[str], text: str, tile: int = TILE)
                 held.append(piece)
                 n, size = n + fit, size + piece.column("text").nbytes
                 if n >= SEGMENT or size >= SEGMENT_BYTES or batch.num_rows:
-                    yield _segment(pa.Table.from_batches(held), names, tile, (part << 33) + number, (part << 33) + number)
+                    yield _segment(pa.Table.from_batches(held), names, tile, (task << 33) + number, part)
                     number += -(-n // tile)
                     held, n, size = [], 0, 0
         if held:
-            yield _segment(pa.Table.from_batches(held), names, tile, (part << 33) + number, (part << 33) + number)
+            yield _segment(pa.Table.from_batches(held), names, tile, (task << 33) + number, part)
 
     rows = corpus.select(*ids, spaced_words(F.col(text)).alias("text"))
-    return rows.mapInArrow(run, f"term string, segment long, tiles array<struct<tile:bigint,ids:array<{item}>,counts:array<int>,lengths:array<int>>>")
+    return rows.mapInArrow(run, f"term string, segment long, tiles array<struct<tile:bigint,ids:array<{item}>,counts:array<int>,lengths:array<int>,top:double>>")
+
+
+def _part(n, long, mean, k1, b):
+    """What ``n`` occurrences in a text of ``long`` words count; of columns and of arrays."""
+    return n * (k1 + 1) / (n + k1 * (1 - b + b * long / mean))
 
 
 def build(corpus: DataFrame, ids: Sequence[str], text: str, path: str, k1: float = 1.5, b: float = 0.75, tile: int = TILE) -> Index:
-    """Store the index of ``corpus`` below ``path``: laid out by term hash, with the largest BM25 part of each block. The texts are read once."""
+    """Store the index of ``corpus`` below ``path``: laid out by term hash, with the largest BM25 part of each block.
+
+    The texts are read twice: their mean length is known before the blocks are made, which go straight to where they stay.
+    """
     spark = corpus.sparkSession
-    made = written(segments(corpus, ids, text, tile), "blocks")
-    whole = made.where("term IS NULL").select(F.col("tiles")[0].alias("_all"))
-    n, long = F.sum(F.col("_all.counts")[0].cast("bigint")), F.sum(F.col("_all.lengths")[0].cast("bigint"))
-    kind = made.schema["tiles"].dataType.elementType["ids"].dataType
-    size = whole.agg(F.coalesce(n, F.lit(0)).cast("bigint").alias("n"), F.try_divide(long, n).alias("mean"), F.lit(None).cast(kind).alias("ids"))
+    length = F.size(F.coalesce(words(F.col(text)), F.array().cast("array<string>"))).cast("bigint")
+    types = {f.name: f.dataType.simpleString() for f in corpus.schema if f.name in ids}
+    item = f"array<struct<{','.join(f'{i}:{types[i]}' for i in ids)}>>"
+    size = corpus.select(length.alias("_long")).agg(F.count(F.lit(1)).alias("n"), F.try_divide(F.sum("_long"), F.count(F.lit(1))).alias("mean"))
+    size = size.select("n", "mean", F.lit(float(k1)).alias("k1"), F.lit(float(b)).alias("b"), F.lit(None).cast(item).alias("ids"))
     size.coalesce(1).write.parquet(f"{path}/size")
-    mean = spark.read.parquet(f"{path}/size").select("mean").scalar()
-    named = made.where("term IS NOT NULL").withColumn("bucket", _bucket(F.col("term")))
-    # a frequent term has a row in every segment, so its bucket is dealt by segment as well; scores are added behind the shuffle
-    laid = named.repartition("bucket", F.pmod(F.xxhash64("segment"), F.lit(8))).sortWithinPartitions("bucket", "term", "segment").withColumn("_mean", mean)
-
-    def part(t: Column) -> Column:
-        return F.zip_with(t["counts"], t["lengths"], lambda n, long: n * (k1 + 1) / (n + k1 * (1 - b + b * long / F.col("_mean"))))
-
-    held = ["tile", "ids", "counts", "lengths"]
-    scored_tiles = F.transform("tiles", lambda t: F.struct(*[t[c].alias(c) for c in held], part(t).alias("parts")))
-    topped = F.transform(scored_tiles, lambda t: F.struct(*[t[c].alias(c) for c in [*held, "parts"]], F.array_max(t["parts"]).alias("top")))
-    laid.select("bucket", "term", "segment", topped.alias("tiles")).write.partitionBy("bucket").parquet(f"{path}/blocks")
+    mean = spark.read.parquet(f"{path}/size").first()["mean"] or 1.0  # without words there is no block
+    made = segments(corpus, ids, text, lambda n, long: _part(n, long, mean, k1, b), tile).withColumn("bucket", _bucket(F.col("term")))
+    # a frequent term has a row in every segment, so its bucket is dealt by segment as well
+    laid = made.repartition("bucket", F.pmod(F.xxhash64("segment"), F.lit(8))).sortWithinPartitions("bucket", "term", "segment")
+    laid.write.partitionBy("bucket").parquet(f"{path}/blocks")
     seen = F.aggregate(F.flatten("tiles.counts"), F.lit(0).cast("bigint"), lambda a, x: a + x)
     texts, n_tiles = F.size(F.flatten("tiles.counts")), F.size("tiles.tile")
-    schema = made.select("term", "tiles").withColumn("bucket", F.lit(0)).schema
-    stored = spark.read.schema(T.StructType([schema["term"], schema["tiles"], schema["bucket"]])).parquet(f"{path}/blocks")
+    stored = spark.read.schema(made.schema).parquet(f"{path}/blocks")
     terms = stored.groupBy("bucket", "term").agg(F.sum(texts).cast("bigint").alias("n"), F.sum(seen).alias("occurrences"), F.sum(n_tiles).cast("bigint").alias("n_blocks"))
     terms.write.partitionBy("bucket").parquet(f"{path}/terms")
     return Index.read(spark, path)
@@ -185,9 +182,11 @@ def bounds(index: Index, asked: DataFrame) -> DataFrame:
 def scored(index: Index, asked: DataFrame, tiles: DataFrame) -> DataFrame:
     """(query_id, ids..., score) of all texts in ``tiles`` (query_id, tile) that hold a word of the question."""
     wanted = tiles.select("query_id", "tile").join(asked, "query_id")
-    met = index.met(asked.select("bucket", "term").distinct(), "tile", "ids", "parts").join(wanted, ["bucket", "term", "tile"])
-    rows = met.select("query_id", "weight", F.explode(F.arrays_zip("ids", "parts")).alias("p"))
-    rows = rows.select("query_id", *[F.col(f"p.ids.{i}").alias(i) for i in index.ids], (F.col("weight") * F.col("p.parts")).alias("_part"))
+    met = index.met(asked.select("bucket", "term").distinct(), "tile", "ids", "counts", "lengths").join(wanted, ["bucket", "term", "tile"])
+    rows = met.select("query_id", "weight", F.explode(F.arrays_zip("ids", "counts", "lengths")).alias("p"))
+    mean, k1, b = (index.weights.select(c).scalar() for c in ("mean", "k1", "b"))
+    part = F.col("weight") * _part(F.col("p.counts"), F.col("p.lengths"), mean, k1, b)
+    rows = rows.select("query_id", *[F.col(f"p.ids.{i}").alias(i) for i in index.ids], part.alias("_part"))
     return rows.groupBy("query_id", *index.ids).agg(F.round(F.sum("_part"), SCORE_DIGITS).alias("score"))
 
 
