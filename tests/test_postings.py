@@ -120,3 +120,75 @@ def test_a_term_has_one_stored_row_per_segment(spark):
     every = next(r for r in held if r.term == "every")
     assert len(every.tiles) == -(-1000 // ps.TILE) and sum(len(t.ids) for t in every.tiles) == 990
     assert {t.top for t in every.tiles} == {0.5}
+
+
+def folder_bytes(path):
+    return sum(p.stat().st_size for p in path.rglob("*.parquet"))
+
+
+def test_the_stored_index_is_smaller_than_the_texts(spark, tmp_path):
+    """Before, each rare word was a nested row of its own, stored and shuffled; the index took several times the texts."""
+    rng = random.Random(5)
+    texts = [(i, " ".join(f"{rng.choice('abcdefgh')}{rng.randrange(30_000)}" for _ in range(300))) for i in range(600)]
+    texts = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(2)
+    texts.write.parquet(str(tmp_path / "texts"))
+    index = ps.build(spark.read.parquet(str(tmp_path / "texts")), ["doc_id"], "text", str(tmp_path / "index"))
+    assert folder_bytes(tmp_path / "index" / "blocks") < folder_bytes(tmp_path / "texts")
+    assert index.stored.count() <= 2 * (ps.BUCKETS + 1)
+
+
+def test_bounds_shuffle_no_stored_row_to_its_term(spark, index, questions):
+    """Before, the whole index was shuffled to be joined when the asked terms were not broadcast, and each (question, tile, bucket) was a row."""
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    asked = ps.written(ps.asked_terms(index, questions), "asked")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = ps.bounds(index, asked)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+    assert "SortMergeJoin" not in plan
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert shuffles and all("hashpartitioning(segment" in line or "hashpartitioning(bucket" in line for line in shuffles)
+
+
+@pytest.mark.parametrize("limit", ["BLOCK_QUERIES", "BLOCK_TERMS", "SEGMENT", "SEGMENT_BYTES", "MATRIX_CELLS"])
+def test_search_in_many_parts_equals_the_scan(spark, corpus, questions, tmp_path, monkeypatch, limit):
+    monkeypatch.setattr(ps, limit, {"SEGMENT": 70, "SEGMENT_BYTES": 2000, "MATRIX_CELLS": 9}.get(limit, 3))
+    index = ps.build(corpus, ["doc_id", "part"], "text", str(tmp_path / "index"))
+    got = {(r.query_id, r.doc_id, r.part, r.score, r["rank"]) for r in ps.search(index, questions, 5).collect()}
+    want = {(r.query_id, r.doc_id, r.part, r.score, r["rank"]) for r in re.bm25_search(corpus, ["doc_id", "part"], questions, 5).collect()}
+    assert got == want and got
+    wanted = corpus.selectExpr("CAST(1 AS BIGINT) AS query_id", "doc_id", "part", "explode(array('w1', 'w2', 'again', 'never', NULL, '')) AS term")
+    found = ps.occurrences(index, wanted).collect()
+    words = {r.doc_id: (r.text or "").split() for r in corpus.collect()}
+    assert {(r.doc_id, r.term): r.n for r in found} == {(i, t): w.count(t) for i, w in words.items() for t in ("w1", "w2", "again") if t in w}
+
+
+def test_terms_counted_in_pieces_are_each_there_once(spark, corpus, index, tmp_path, monkeypatch):
+    monkeypatch.setattr(ps, "PIECE_TERMS", 7)
+    pieces = ps.counted_terms(index.stored).select("bucket", "term", "n", "occurrences", "n_blocks")
+    assert sorted(map(tuple, pieces.collect())) == sorted(map(tuple, index.terms.select(*pieces.columns).collect()))
+
+
+def test_ids_of_other_kinds_and_odd_words(spark, tmp_path):
+    rows = [(None, "ß Straße 語 w"), ("b", "w W w x 🙂"), ("a", "w w w\ttab"), ("", "🙂 " * 300), ("z", "x" * 100_000 + " w"), ("n", None)]
+    corpus = spark.createDataFrame(rows, "id string, text string")
+    index = ps.build(corpus, ["id"], "text", str(tmp_path / "index"))
+    asked = spark.createDataFrame([("q1", "w"), ("q2", "🙂 語"), (None, "w"), ("q3", "x" * 100_000)], "query_id string, question string")
+    got = [(r.query_id, r.id, r.score, r["rank"]) for r in ps.search(index, asked, 4).collect()]
+    want = [(r.query_id, r.id, r.score, r["rank"]) for r in re.bm25_search(corpus.where("id IS NOT NULL"), ["id"], asked.where("query_id IS NOT NULL"), 4).collect()]
+    assert {q for q, *_ in got} == {"q1", "q2", "q3"} == {q for q, *_ in want}
+    assert sorted(i or "" for q, i, *_ in got if q == "q1") == ["", "a", "b", "z"] and [i for q, i, *_ in got if q == "q3"] == ["z"]
+    tied = spark.createDataFrame([("b", "w"), (None, "w"), ("a", "w")], "id string, text string")
+    same = ps.search(ps.build(tied, ["id"], "text", str(tmp_path / "tied")), asked, 3).where("query_id = 'q1'").orderBy("rank").collect()
+    assert [r.id for r in same] == [None, "a", "b"]
+
+
+def test_packed_columns_come_back_as_they_were():
+    import numpy as np
+
+    columns = [np.array([0, 255, 256, 1 << 40]), np.array([], dtype=np.int64), np.zeros(3, np.int64), np.arange(70_000)]
+    assert [list(c) for c in ps._unpack(ps._pack(*columns))] == [list(c) for c in columns]
+    tops = np.array([0.5, 1 / 3, 2.4999999, 1e-9, 12345.678])
+    read = ps._tops(ps._rounded_up(tops))
+    assert (read >= tops).all() and (read <= tops * 1.001).all() and read[0] == 0.5
