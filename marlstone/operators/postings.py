@@ -25,8 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marlstone.functions.embed import spaced_words
-from marlstone.functions.text import word_set, words
+from marlstone.functions.text import word_count, word_set
 from marlstone.operators.blocks import BLOCK_QUERIES, MATRIX_CELLS, SCORE_DIGITS, _best
 from marlstone.workspace import written
 
@@ -159,9 +158,9 @@ def _pieces(batch: pa.RecordBatch, room: int, room_bytes: int) -> int:
 
 
 def _segment(rows: pa.Table, ids: Sequence[str], tile: int, first_tile: int, part: Callable) -> pa.RecordBatch:
-    """The packed rows of the texts: one per bucket of terms, with the largest ``part(counts, lengths)`` of each block, and one of ids and lengths."""
+    """The packed rows of the lower-case texts: one per bucket of terms, with the largest ``part(counts, lengths)`` of each block, and one of ids and lengths."""
     n = rows.num_rows
-    split = pc.split_pattern(pc.fill_null(rows.column("text").combine_chunks(), ""), " ")
+    split = pc.ascii_split_whitespace(pc.fill_null(rows.column("text").combine_chunks(), ""))  # at the same characters as the JVM
     split = split.combine_chunks() if isinstance(split, pa.ChunkedArray) else split
     at, flat = np.repeat(np.arange(n), pc.list_value_length(split).to_numpy(zero_copy_only=False)), split.flatten()
     named = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
@@ -233,7 +232,7 @@ def packed(corpus: DataFrame, ids: Sequence[str], text: str, part: Callable, til
         if held:
             yield _segment(pa.Table.from_batches(held), names, tile, (task << 33) + (number << SEGMENT_BITS), part)
 
-    rows = corpus.select(*ids, spaced_words(F.col(text)).alias("text"))
+    rows = corpus.select(*ids, F.lower(text).alias("text"))
     return rows.mapInArrow(run, "segment bigint, bucket int, words binary, tiles binary, tops binary, postings binary, ids binary, lengths binary")
 
 
@@ -296,7 +295,7 @@ def build(corpus: DataFrame, ids: Sequence[str], text: str, path: str, k1: float
     The texts are read twice: their mean length is known before the blocks are made, which go straight to where they stay.
     """
     spark = corpus.sparkSession
-    length = F.size(F.coalesce(words(F.col(text)), F.array().cast("array<string>"))).cast("bigint")
+    length = F.coalesce(word_count(F.col(text)), F.lit(0))
     size = corpus.select(length.alias("_long")).agg(F.count(F.lit(1)).alias("n"), F.try_divide(F.sum("_long"), F.count(F.lit(1))).alias("mean"))
     size = size.select("n", "mean", F.lit(float(k1)).alias("k1"), F.lit(float(b)).alias("b"), F.lit(None).cast(T.ArrayType(_item(corpus, ids))).alias("ids"))
     size.coalesce(1).write.parquet(f"{path}/size")
